@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,43 +52,44 @@ class Run:
             points(self.spark, self.folder), order, self.spec, SCALE, self.staging
         )
 
+    @cached_property
     def segments(self) -> DataFrame:
         return self.staging.table(self.lazy_segments(), "segments")
 
     def smoothed(self) -> DataFrame:
-        return smoothing.moving_average(self.segments(), self.spec, SCALE, self.staging)
+        return smoothing.moving_average(self.segments, self.spec, SCALE, self.staging)
 
     def cut_segments(self) -> DataFrame:
-        return symbols.with_breakpoints(self.segments(), self.spec, SCALE, self.staging)
+        return symbols.with_breakpoints(self.segments, self.spec, SCALE, self.staging)
 
     def lettered(self) -> DataFrame:
         return symbols.letter_segments(self.cut_segments(), self.spec)
 
     def transitions(self, segments_: DataFrame | None = None) -> DataFrame:
-        segments_ = self.segments() if segments_ is None else segments_
+        segments_ = self.segments if segments_ is None else segments_
         return batch.transition_table(segments_, self.spec, SCALE, self.staging)
 
     def word_columns(self, a: int) -> DataFrame:
         return words.word_columns(words.sliding_words(self.lettered(), a), a)
 
-    def compared(self, segments_: DataFrame | None = None) -> tuple[DataFrame, DataFrame, int]:
-        """(transitions of the subjects, pooled templates of the cohort, number of templates)."""
-        table = self.staging.table(self.transitions(segments_), "transitions")
-        templates = self.staging.table(
-            tp.build_templates(table.filter(COHORT), self.spec), "templates"
-        )
-        return table.filter(f"not ({COHORT})"), templates, templates.count()
+    def templates(self, segments_: DataFrame) -> DataFrame:
+        """Pooled templates of the cohort."""
+        table = self.transitions(segments_.filter(COHORT))
+        return self.staging.table(tp.build_templates(table, self.spec), "templates")
+
+    def matched(self) -> DataFrame:
+        stored = self.segments
+        subjects = self.transitions(stored.filter(f"not ({COHORT})"))
+        return tp.match_templates(subjects, self.templates(stored), self.spec, SCALE)
 
     def distances(self) -> DataFrame:
-        subjects, templates, n = self.compared()
-        return tp.template_distance(
-            tp.match_templates(subjects, templates, self.spec, n), self.spec
-        )
+        return tp.template_distance(self.matched(), self.spec)
 
-    def features(self) -> DataFrame:
-        stored = self.segments()
-        subjects, templates, n = self.compared(stored)
-        return batch.features(stored, subjects, templates, self.spec, n)
+    def features(self, templates: DataFrame | None = None) -> DataFrame:
+        stored = self.segments
+        templates = self.templates(stored) if templates is None else templates
+        subjects = stored.filter(f"not ({COHORT})")
+        return batch.features(subjects, templates, self.spec, SCALE, self.staging)
 
 
 def rounded(df: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
@@ -127,25 +129,27 @@ def flawed_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ingest_records(spark: SparkSession, folder: str) -> DataFrame:
-    good, _ = records.ingest(flawed_messages(spark, folder), SCALE, Staging(spark))
-    return good.select(*RECORD_KEY, F.posexplode("data").alias("pos", "x"))
+    good, _ = records.ingest(flawed_messages(spark, folder), SPEC, SCALE, Staging(spark))
+    return segments.explode_points(good)
 
 
 def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    _, bad = records.ingest(flawed_messages(spark, folder), SCALE, Staging(spark))
+    _, bad = records.ingest(flawed_messages(spark, folder), SPEC, SCALE, Staging(spark))
     return bad.groupBy("reason").agg(
         F.count(F.lit(1)).alias("n"), F.count("id").alias("n_id"), F.count("sid").alias("n_sid")
     )
 
 
 def batch_profile(spark: SparkSession, folder: str) -> DataFrame:
-    good, bad = records.ingest(flawed_messages(spark, folder), SCALE, Staging(spark))
-    sizes = good.select("id", F.size("data").alias("n"), F.lit(0).alias("bad"))
-    both = sizes.unionByName(bad.select("id", F.lit(0).alias("n"), F.lit(1).alias("bad")))
+    good, bad = records.ingest(flawed_messages(spark, folder), SPEC, SCALE, Staging(spark))
+    sizes = good.select((F.col("start") == 0).alias("good"), F.lit(False).alias("bad"), "n")
+    both = sizes.unionByName(
+        bad.select(F.lit(False).alias("good"), F.lit(True).alias("bad"), F.lit(0).alias("n"))
+    )
     return both.agg(
-        F.count(F.lit(1)).alias("n_messages"),
-        F.count_if(F.col("bad") == 0).alias("n_records"),
-        F.count_if(F.col("bad") == 1).alias("n_rejects"),
+        F.count_if(F.col("good") | F.col("bad")).alias("n_messages"),
+        F.count_if("good").alias("n_records"),
+        F.count_if("bad").alias("n_rejects"),
         F.sum("n").alias("n_points"),
     )
 
@@ -179,7 +183,7 @@ def moving_average(spark: SparkSession, folder: str) -> DataFrame:
 
 def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "lineitem")
-    stored = run.segments()
+    stored = run.segments
     sizes = key_sizes(stored, ["id"], SCALE, weight="n")
     smoothed = smoothing.moving_average(stored, SPEC, SCALE, run.staging)
     return quantile_columns(bp.breakpoints(smoothed, SPEC, sizes))
@@ -238,18 +242,18 @@ def word_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def template_build(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "lineitem")
-    built = tp.build_templates(run.transitions().filter(COHORT), SPEC)
+    built = tp.build_templates(run.transitions(run.segments.filter(COHORT)), SPEC)
     return rounded(built, list(SPEC.letters)).drop("weight")
 
 
 def template_rows(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "events")
-    return tp.build_templates(run.transitions().filter(COHORT), SPEC, mode="rows")
+    return tp.build_templates(run.transitions(run.segments.filter(COHORT)), SPEC, mode="rows")
 
 
 def template_read(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "events")
-    built = tp.build_templates(run.transitions().filter(COHORT), SPEC).drop("weight")
+    built = tp.build_templates(run.transitions(run.segments.filter(COHORT)), SPEC).drop("weight")
     path = run.staging.folder("collection")
     stored = built.withColumn("_id", F.sha2(F.concat("word_length", "SEQ"), 256))
     for a in SPEC.word_lengths:
@@ -258,8 +262,7 @@ def template_read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def template_match(spark: SparkSession, folder: str) -> DataFrame:
-    subjects, templates, n = Run(spark, folder, "events").compared()
-    matched = tp.match_templates(subjects, templates, SPEC, n).drop("weight", "HEX")
+    matched = Run(spark, folder, "events").matched().drop("weight", "HEX")
     return rounded(matched, [f"t{c}" for c in SPEC.letters])
 
 
@@ -283,16 +286,17 @@ def distance_reduce(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distance_features(spark: SparkSession, folder: str) -> DataFrame:
-    run = Run(spark, folder, "lineitem")
-    subjects, templates, n = run.compared()
+    merged = ft.merge_lengths(
+        ft.distance_sums(Run(spark, folder, "lineitem").distances(), SPEC), SPEC
+    )
     return rounded(
-        batch.distances(subjects, templates, SPEC, n), [f"dist{a}" for a in SPEC.word_lengths]
+        ft.distance_features(merged, SPEC), [f"dist{a}" for a in SPEC.word_lengths]
     )
 
 
 def stats_window(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "events")
-    return rounded(ft.point_statistics(run.segments(), SCALE), DESCRIPTIVES[:-1])
+    return rounded(ft.point_statistics(run.segments, SCALE), DESCRIPTIVES[:-1])
 
 
 def descriptives(spark: SparkSession, folder: str) -> DataFrame:
@@ -381,13 +385,12 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trained_classifier(run: Run, test_ids: list[str] | None) -> batch.Classifier:
-    stored = run.segments()
-    subjects, templates, n = run.compared(stored)
-    table = batch.features(stored, subjects, templates, SPEC, n)
+    templates = run.templates(run.segments)
+    table = run.features(templates)
     vectors = run.staging.table(ft.feature_vector(table, SPEC), "vectors")
     training, _ = evaluation.split_by_id(vectors, TEST_IDS)
     fitted = model.train(training, folds=2)
-    return batch.Classifier(templates, n, fitted, test_ids, SPEC, SCALE)
+    return batch.Classifier(templates, fitted, test_ids, SPEC, SCALE)
 
 
 def pipeline_batch(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,48 +16,55 @@ from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
 
-COLUMNS = [*RECORD_KEY, "start", "n", "before", "data", "after", "head", "tail"]
-
 
 def _last(values: Column, k: int) -> Column:
     return F.slice(values, F.greatest(F.size(values) - k, F.lit(0)) + 1, k)
 
 
-def _with_ends(df: DataFrame, spec: Spec) -> DataFrame:
+def _with_ends(df: DataFrame, spec: Spec, also: list[str]) -> DataFrame:
     """Add n, head and tail to label, id, sid, start, before, data, after."""
     k = spec.lookback
     return df.select(
         *RECORD_KEY,
         F.col("start").cast("long").alias("start"),
-        F.size("data").alias("n"),
+        F.when(F.col("data").isNotNull(), F.size("data")).alias("n"),
         "before",
         "data",
         "after",
         F.when(F.col("start") == 0, F.slice("data", 1, k)).alias("head"),
         F.when(F.size("after") == 0, _last(F.concat("before", "data"), k)).alias("tail"),
+        *also,
     )
 
 
-def segments_of_records(records: DataFrame, spec: Spec, scale: Scale) -> DataFrame:
-    """Cut records (label, id, sid, data array) into segments, each inside its own row."""
+def segments_of_records(
+    records: DataFrame, spec: Spec, scale: Scale, also: list[str] | None = None
+) -> DataFrame:
+    """Cut records (label, id, sid, data array) into segments, each inside its own row.
+
+    A record without points, or with a null series, stays one row without points. `also` names
+    further columns to keep.
+    """
+    also = also or []
     k, reach, size = spec.lookback, spec.reach, scale.segment
-    starts = F.sequence(F.lit(0), F.size("data") - 1, F.lit(size))
-    cut = (
-        records.filter(F.size("data") > 0)
-        .select(*RECORD_KEY, F.col("data").alias("series"), F.explode(starts).alias("start"))
-        .select(
-            *RECORD_KEY,
-            "start",
-            F.slice(
-                "series",
-                F.greatest(F.col("start") - k, F.lit(0)) + 1,
-                F.least(F.col("start"), F.lit(k)),
-            ).alias("before"),
-            F.slice("series", F.col("start") + 1, size).alias("data"),
-            F.slice("series", F.col("start") + size + 1, reach).alias("after"),
-        )
+    starts = F.when(
+        F.size("data") > 0, F.sequence(F.lit(0), F.size("data") - 1, F.lit(size))
+    )
+    cut = records.select(
+        *RECORD_KEY, F.col("data").alias("series"), F.explode_outer(starts).alias("start"), *also
+    ).select(
+        *RECORD_KEY,
+        "start",
+        F.slice(
+            "series",
+            F.greatest(F.col("start") - k, F.lit(0)) + 1,
+            F.least(F.col("start"), F.lit(k)),
+        ).alias("before"),
+        F.slice("series", F.col("start") + 1, size).alias("data"),
+        F.slice("series", F.col("start") + size + 1, reach).alias("after"),
+        *also,
     )
-    return _with_ends(cut, spec)
+    return _with_ends(cut, spec, also)
 
 
 def segments_of_points(
@@ -99,7 +106,7 @@ def segments_of_points(
             F.slice("xs", F.col("n_before") + F.col("n_own") + 1, F.lit(reach)).alias("after"),
         )
     )
-    return _with_ends(gathered, spec)
+    return _with_ends(gathered, spec, [])
 
 
 def explode_points(segments: DataFrame) -> DataFrame:

@@ -52,14 +52,16 @@ def join_per_key(
     sizes: KeySizes,
     spread: list[str],
     how: str = "inner",
+    small_rows: int | None = None,
 ) -> DataFrame:
-    """Join `small`, at most one row per key of `sizes`, to the rows of `big`.
+    """Join `small` to the rows of `big`, whose key counts are `sizes`.
 
-    Few keys: `small` is broadcast. Otherwise both sides are shuffled by key, and a hot key is cut
-    into as many salts as it holds limits; `spread` names the columns that deal its rows out.
+    `small` has at most one row per key, or `small_rows` rows. Few rows: it is broadcast. Otherwise
+    both sides are shuffled by key, and a hot key is cut into as many salts as it holds limits;
+    `spread` names the columns that deal its rows out.
     """
     keys = list(sizes.keys)
-    if sizes.n_keys <= sizes.scale.broadcast_rows:
+    if (sizes.n_keys if small_rows is None else small_rows) <= sizes.scale.broadcast_rows:
         return big.join(F.broadcast(small), keys, how)
     hot = sizes.hot()
     if hot is None:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavesym.functions.columns import euclidean
+from wavesym.operators.skew import join_per_key, key_sizes
 from wavesym.schemas import RECORD_KEY
-from wavesym.settings import Spec
+from wavesym.settings import Scale, Spec
 
 
 def build_templates(transitions: DataFrame, spec: Spec, mode: str = "pooled") -> DataFrame:
@@ -40,20 +41,21 @@ def read_templates(spark: SparkSession, path: str, spec: Spec) -> DataFrame:
 
 
 def match_templates(
-    transitions: DataFrame, templates: DataFrame, spec: Spec, n_templates: int | None = None
+    transitions: DataFrame, templates: DataFrame, spec: Spec, scale: Scale
 ) -> DataFrame:
     """Join each prefix of a record with the template rows of the same prefix (inner).
 
-    With `n_templates`, the counted size of the table, a table of at most 4 rows for every possible
-    prefix is broadcast; without it, or above, Spark chooses from what it measures.
+    `templates` is a stored table and is counted here. Pooled, it has a row per prefix at most,
+    5^(a-1) for five letters, and is broadcast; a large set of rows is joined by prefix, common
+    prefixes in salts.
     """
-    possible = sum(len(spec.letters) ** (a - 1) for a in spec.word_lengths)
-    side = templates.select(
-        "word_length", "SEQ", "weight", *[F.col(c).alias(f"t{c}") for c in spec.letters]
-    )
-    if n_templates is not None and n_templates <= 4 * possible:
-        side = F.broadcast(side)
-    return transitions.join(side, ["word_length", "SEQ"])
+    key = ["word_length", "SEQ"]
+    side = templates.select(*key, "weight", *[F.col(c).alias(f"t{c}") for c in spec.letters])
+    n = templates.count()
+    if n <= scale.broadcast_rows:
+        return transitions.join(F.broadcast(side), key)
+    sizes = key_sizes(transitions, key, scale)
+    return join_per_key(transitions, side, sizes, spread=["id", "sid"], small_rows=n)
 
 
 def template_distance(matched: DataFrame, spec: Spec) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavesym.operators.skew import KeySizes
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Spec
 
@@ -83,8 +86,27 @@ def transition_pivot(counts: DataFrame, a: int, spec: Spec) -> DataFrame:
     )
 
 
-def transitions(lettered: DataFrame, spec: Spec) -> DataFrame:
-    """label, sid, id, word_length, A..E, SEQ, HEX for all word lengths, in one pass and one shuffle.
+def transitions(lettered: DataFrame, spec: Spec, records: KeySizes) -> DataFrame:
+    """label, sid, id, word_length, A..E, SEQ, HEX for all word lengths, in one pass.
+
+    The letters (a byte per point) are brought together by record before they become words, so no
+    words are shuffled. `records` holds the points per (id, sid): words of a hot record are counted
+    where they are, and the counts meet by record and prefix.
+    """
+    cores = lettered.sparkSession.sparkContext.defaultParallelism
+    n_tasks = max(cores, ceil(records.rows / records.scale.task_points))
+    hot = records.hot()
+    if hot is None:
+        return _shares(lettered.repartition(n_tasks, "id", "sid"), spec)
+    keys = F.broadcast(hot.select("id", "sid"))
+    cold = lettered.join(keys, ["id", "sid"], "left_anti").repartition(n_tasks, "id", "sid")
+    return _shares(cold, spec).unionByName(
+        _shares(lettered.join(keys, ["id", "sid"], "left_semi"), spec)
+    )
+
+
+def _shares(lettered: DataFrame, spec: Spec) -> DataFrame:
+    """Share of each next letter per prefix.
 
     The prefix that ends a record has no next letter: it counts in the total only.
     """

@@ -152,7 +152,7 @@ def _sql() -> dict[str, str]:
     tests = ", ".join(f"'{i}'" for i in TEST_IDS)
     return {
         "ingest_records": _with(EMBEDDINGS, kinds)
-        + "select label, id, sid, cast(pos as int) as pos, x from vec where kind not in (1, 2, 3, 4)",
+        + "select label, id, sid, pos, x from vec where kind not in (1, 2, 3, 4)",
         "ingest_rejects": """
 with k as (select vec_id % 97 as kind, 1 + cast(vec_id % 97 = 4 as int) as copies from embeddings)
 select case kind when 1 then 'bad_json' when 2 then 'bad_number' when 3 then 'null_key'

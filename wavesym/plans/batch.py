@@ -17,7 +17,7 @@ from wavesym.operators.features import (
     feature_vector,
     merge_lengths,
 )
-from wavesym.operators.segments import segments_of_records
+from wavesym.operators.skew import key_sizes
 from wavesym.operators.symbols import letter_segments, with_breakpoints
 from wavesym.operators.templates import match_templates, template_distance
 from wavesym.operators.words import transitions
@@ -32,22 +32,26 @@ def transition_table(
     segments: DataFrame, spec: Spec, scale: Scale, staging: Staging
 ) -> DataFrame:
     """Transition probabilities of every record, from stored segments."""
-    return transitions(
-        letter_segments(with_breakpoints(segments, spec, scale, staging), spec), spec
-    )
+    lettered = letter_segments(with_breakpoints(segments, spec, scale, staging), spec)
+    return transitions(lettered, spec, key_sizes(segments, ["id", "sid"], scale, weight="n"))
 
 
-def distances(transition: DataFrame, templates: DataFrame, spec: Spec, n: int | None) -> DataFrame:
-    """Distance features per record; `n` is the counted size of `templates`."""
-    dist = template_distance(match_templates(transition, templates, spec, n), spec)
+def distances(
+    transition: DataFrame, templates: DataFrame, spec: Spec, scale: Scale
+) -> DataFrame:
+    """Distance features per record."""
+    dist = template_distance(match_templates(transition, templates, spec, scale), spec)
     return distance_features(merge_lengths(distance_sums(dist, spec), spec), spec)
 
 
 def features(
-    segments: DataFrame, transition: DataFrame, templates: DataFrame, spec: Spec, n: int | None
+    segments: DataFrame, templates: DataFrame, spec: Spec, scale: Scale, staging: Staging
 ) -> DataFrame:
-    """The feature table; both sides are grouped by record, so the join adds no exchange."""
-    return feature_table(descriptives(segments), distances(transition, templates, spec, n), spec)
+    """The feature table of stored segments, against stored templates."""
+    transition = transition_table(segments, spec, scale, staging)
+    return feature_table(
+        descriptives(segments), distances(transition, templates, spec, scale), spec
+    )
 
 
 @dataclass(frozen=True)
@@ -55,7 +59,6 @@ class Classifier:
     """What a batch is compared and scored with; loaded once per run, not once per batch."""
 
     templates: DataFrame
-    n_templates: int
     model: CrossValidatorModel
     test_ids: list[str] | None = None  # None: score every record
     spec: Spec = field(default_factory=Spec)
@@ -74,12 +77,9 @@ def run_batch(
 ) -> BatchOutput:
     started = time.time()
     spec, scale = classifier.spec, classifier.scale
-    records, rejects = ingest(messages, scale, staging)
-    segments = staging.table(segments_of_records(records, spec, scale), "segments")
-    transition = transition_table(segments, spec, scale, staging)
+    segments, rejects = ingest(messages, spec, scale, staging)
     table = staging.table(
-        features(segments, transition, classifier.templates, spec, classifier.n_templates),
-        "features",
+        features(segments, classifier.templates, spec, scale, staging), "features"
     )
     vectors = feature_vector(table, spec)
     # with an empty list of test ids every record with an id is on the first side
@@ -92,7 +92,7 @@ def run_batch(
             batch_id,
             int(now * 1000),
             now - started,
-            records.count(),
+            segments.filter("start = 0").count(),
             rejects.count(),
             row.accuracy,
             row.sensitivity,

@@ -35,4 +35,5 @@ class Scale:
     segment: int = 4096  # points per array row
     hot_rows: int = 4_000_000
     hot_keys: int = 100_000
-    broadcast_rows: int = 200_000  # rows of a table with one short row per key
+    broadcast_rows: int = 200_000  # short rows a broadcast table may have, counted beforehand
+    task_points: int = 8_000_000  # points whose words one task counts

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavesym.functions.columns import parse_series
+from wavesym.operators.segments import segments_of_records
 from wavesym.operators.skew import join_per_key, key_sizes
 from wavesym.schemas import MESSAGE, RECORD_KEY
-from wavesym.settings import Scale
+from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
 
 
@@ -49,27 +50,38 @@ def decode(parsed: DataFrame) -> DataFrame:
     return series.withColumn("reason", reason)
 
 
-def ingest(messages: DataFrame, scale: Scale, staging: Staging) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects): label, id, sid, data array, and label, id, sid, text, reason.
+def ingest(
+    messages: DataFrame, spec: Spec, scale: Scale, staging: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """(segments, rejects): segments of the usable records, and label, id, sid, text, reason.
 
-    Messages are parsed once and the result is written; the check for repeated (id, sid) then reads
-    the two key columns only.
+    Messages are parsed once and written once, as segments with the rejects among them. The check
+    for repeated (id, sid) then reads the key columns only.
     """
-    decoded = staging.table(decode(parse_messages(messages)), "decoded")
-    usable = decoded.filter("reason is null")
-    records = usable.select(*RECORD_KEY, "data")
-    rejects = decoded.filter("reason is not null").select(*RECORD_KEY, "text", "reason")
+    decoded = decode(parse_messages(messages))
+    # a usable record keeps its points, a reject its text
+    either = decoded.withColumns(
+        {
+            "data": F.when(F.col("reason").isNull(), F.col("data")),
+            "text": F.when(F.col("reason").isNotNull(), F.col("text")),
+        }
+    )
+    table = staging.table(
+        segments_of_records(either, spec, scale, ["text", "reason"]), "ingested"
+    )
+    usable = table.filter("reason is null").drop("text", "reason")
+    rejects = table.filter("reason is not null").select(*RECORD_KEY, "text", "reason")
 
-    sizes = key_sizes(usable.select("id", "sid"), ["id", "sid"], scale)
+    key = ["id", "sid"]
+    sizes = key_sizes(usable.filter("start = 0"), key, scale)
     if sizes.largest <= 1:
-        return records, rejects
-    repeated = sizes.table.filter("n > 1").select("id", "sid")
-    spread = ["label", "text"]
-    kept = join_per_key(usable, repeated, sizes, spread, how="left_anti")
-    dropped = join_per_key(usable, repeated, sizes, spread, how="left_semi")
-    return (
-        kept.select(*RECORD_KEY, "data"),
-        rejects.unionByName(
-            dropped.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
-        ),
+        return usable, rejects
+    repeated = sizes.table.filter("n > 1").select(*key)
+    n = repeated.count()
+    kept = join_per_key(usable, repeated, sizes, ["start", "n"], "left_anti", small_rows=n)
+    # whole texts: only the repeated messages are taken from the source again
+    again = decoded.filter("reason is null").select(*RECORD_KEY, "text")
+    dropped = join_per_key(again, repeated, sizes, ["text"], "left_semi", small_rows=n)
+    return kept, rejects.unionByName(
+        dropped.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
     )
