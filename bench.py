@@ -9,7 +9,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,8 +47,6 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wavesym-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/lineitem.parquet").count()  # start the engine
     seconds = {}

@@ -9,7 +9,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.operators.skew import join_per_key, key_sizes
+from wavesym.operators.segments import record_sizes
+from wavesym.operators.skew import join_per_key
 from wavesym.schemas import DESCRIPTIVES, RECORD_KEY, feature_names
 from wavesym.settings import Scale, Spec
 
@@ -43,7 +44,7 @@ def point_statistics(segments: DataFrame, scale: Scale) -> DataFrame:
 
     The statistics are aggregated, then joined to whole segments before these are exploded.
     """
-    sizes = key_sizes(segments, RECORD_KEY, scale, weight="n")
+    sizes = record_sizes(segments, RECORD_KEY, scale)
     stats = segments.select(*RECORD_KEY, F.explode("data").alias("x")).groupBy(*RECORD_KEY)
     joined = join_per_key(
         segments.select(*RECORD_KEY, "start", "data"),

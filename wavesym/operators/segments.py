@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.operators.skew import positions
+from wavesym.operators.skew import KeySizes, positions, totals
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
@@ -109,6 +109,12 @@ def segments_of_points(
     return _with_ends(gathered, spec, [])
 
 
+def record_sizes(segments: DataFrame, keys: list[str], scale: Scale) -> KeySizes:
+    """Points per record, read off the last segment of each: no grouping."""
+    ends = segments.filter(F.col("tail").isNotNull())
+    return totals(ends.select(*keys, (F.col("start") + F.col("n")).alias("n")), keys, scale)
+
+
 def explode_points(segments: DataFrame) -> DataFrame:
     """One row per point: label, id, sid, pos, x."""
     return segments.select(

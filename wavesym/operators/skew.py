@@ -37,7 +37,11 @@ class KeySizes:
 
 def key_sizes(df: DataFrame, keys: list[str], scale: Scale, weight: str | None = None) -> KeySizes:
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    table = df.groupBy(*keys).agg(n.cast("long").alias("n"))
+    return totals(df.groupBy(*keys).agg(n.cast("long").alias("n")), keys, scale)
+
+
+def totals(table: DataFrame, keys: list[str], scale: Scale) -> KeySizes:
+    """Key sizes from a table that has one row per key already (keys, n)."""
     total = table.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),

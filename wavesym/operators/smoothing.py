@@ -35,6 +35,21 @@ def _whole_frames(segments: DataFrame, spec: Spec) -> DataFrame:
     )
 
 
+def _record_ends(segments: DataFrame) -> DataFrame:
+    """label, id, sid, head, tail; only records of several segments need grouping."""
+    ends = segments.select(*RECORD_KEY, "head", "tail")
+    has_head, has_tail = F.col("head").isNotNull(), F.col("tail").isNotNull()
+    halves = (
+        ends.filter(has_head != has_tail)
+        .groupBy(*RECORD_KEY)
+        .agg(
+            F.first("head", ignorenulls=True).alias("head"),
+            F.first("tail", ignorenulls=True).alias("tail"),
+        )
+    )
+    return ends.filter(has_head & has_tail).unionByName(halves)
+
+
 def _record_starts(segments: DataFrame, spec: Spec, scale: Scale, staging: Staging) -> DataFrame:
     """The first `lookback` points of each record, whose frames reach into earlier records.
 
@@ -42,16 +57,7 @@ def _record_starts(segments: DataFrame, spec: Spec, scale: Scale, staging: Stagi
     rows of a block are repeated in the next, so a frame never needs more than its own block.
     """
     k, block = spec.lookback, max(scale.hot_rows, spec.lookback)
-    ends = (
-        segments.select(*RECORD_KEY, "head", "tail")
-        .filter(F.col("head").isNotNull() | F.col("tail").isNotNull())
-        .groupBy(*RECORD_KEY)
-        .agg(
-            F.first("head", ignorenulls=True).alias("head"),
-            F.first("tail", ignorenulls=True).alias("tail"),
-        )
-    )
-    placed = positions(ends, ["id"], ["sid"], "at", scale, staging)
+    placed = positions(_record_ends(segments), ["id"], ["sid"], "at", scale, staging)
     own = F.floor(F.col("at") / block)
     wanted = F.when(F.col("at") % block >= block - k, F.array(own, own + 1)).otherwise(F.array(own))
     copies = placed.select("*", F.explode(wanted).alias("block"))

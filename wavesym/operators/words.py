@@ -93,8 +93,8 @@ def transitions(lettered: DataFrame, spec: Spec, records: KeySizes) -> DataFrame
     words are shuffled. `records` holds the points per (id, sid): words of a hot record are counted
     where they are, and the counts meet by record and prefix.
     """
-    cores = lettered.sparkSession.sparkContext.defaultParallelism
-    n_tasks = max(cores, ceil(records.rows / records.scale.task_points))
+    partitions = int(lettered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_tasks = max(partitions, ceil(records.rows / records.scale.task_points))
     hot = records.hot()
     if hot is None:
         return _shares(lettered.repartition(n_tasks, "id", "sid"), spec)

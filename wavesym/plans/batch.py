@@ -17,7 +17,7 @@ from wavesym.operators.features import (
     feature_vector,
     merge_lengths,
 )
-from wavesym.operators.skew import key_sizes
+from wavesym.operators.segments import record_sizes
 from wavesym.operators.symbols import letter_segments, with_breakpoints
 from wavesym.operators.templates import match_templates, template_distance
 from wavesym.operators.words import transitions
@@ -33,7 +33,7 @@ def transition_table(
 ) -> DataFrame:
     """Transition probabilities of every record, from stored segments."""
     lettered = letter_segments(with_breakpoints(segments, spec, scale, staging), spec)
-    return transitions(lettered, spec, key_sizes(segments, ["id", "sid"], scale, weight="n"))
+    return transitions(lettered, spec, record_sizes(segments, ["id", "sid"], scale))
 
 
 def distances(

@@ -9,19 +9,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="wavesym-")
+
+
 def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a temporary one only where everything runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="wavesym-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 class Staging:
