@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavesym.operators import breakpoints as bp
@@ -92,13 +92,18 @@ class Run:
         return batch.features(subjects, templates, self.spec, SCALE, self.staging)
 
 
-def rounded(df: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def tidy(column: Column) -> Column:
+    """Six digits; moved off exact ties, which the noise of another summation order would decide."""
+    return F.round(column + 1e-9, DIGITS)
+
+
+def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({c: tidy(F.col(c)) for c in columns})
 
 
 def quantile_columns(df: DataFrame) -> DataFrame:
     cuts = [
-        F.round(F.get("quantiles", F.lit(i)), DIGITS).alias(f"q{i + 1}")
+        tidy(F.get("quantiles", F.lit(i))).alias(f"q{i + 1}")
         for i in range(len(SPEC.probs))
     ]
     return df.select("id", *cuts)
@@ -306,9 +311,12 @@ def descriptives(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     names = feature_names(SPEC.word_lengths)
-    table = rounded(Run(spark, folder, "lineitem").features(), names)
+    table = Run(spark, folder, "lineitem").features()
     # of the order of 1e9: six digits are beyond what a double holds
-    return table.withColumn("variance", F.round("variance", 0))
+    variance = F.round(F.col("variance") + 1e-3, 0).alias("variance")
+    return table.select(
+        *RECORD_KEY, *[variance if n == "variance" else tidy(F.col(n)).alias(n) for n in names]
+    )
 
 
 def feature_vector(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,7 +327,7 @@ def feature_vector(spark: SparkSession, folder: str) -> DataFrame:
     values = vectors.withColumn("v", vector_to_array("features"))
     return values.select(
         *RECORD_KEY,
-        *[F.round(F.get("v", F.lit(i)), DIGITS).alias(f"f{i + 1}") for i in range(len(names))],
+        *[tidy(F.get("v", F.lit(i))).alias(f"f{i + 1}") for i in range(len(names))],
     )
 
 

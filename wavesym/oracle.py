@@ -127,15 +127,16 @@ def _with(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
 
+# rounded values are moved off their ties first (as in the queries): engines add up in other orders
 def _rounded(names, digits: int = 6) -> str:
-    return ", ".join(f"round({n}, {digits}) as {n}" for n in names)
+    return ", ".join(f"round({n} + 1e-9, {digits}) as {n}" for n in names)
 
 
 def _sql() -> dict[str, str]:
     to_sax = (SMOOTH, SAX)
     compared = (*to_sax, all_transitions(), TEMPLATES)
     probs = ", ".join(f"p{c} as {c}" for c in LETTERS)
-    pooled = ", ".join(f"round(r{c}, 6) as {c}" for c in LETTERS)
+    pooled = ", ".join(f"round(r{c} + 1e-9, 6) as {c}" for c in LETTERS)
     s16 = ", ".join(
         f"lead(s, {i - 1}) over (partition by id, sid order by pos) as s{i}" for i in range(1, 7)
     )
@@ -143,10 +144,10 @@ def _sql() -> dict[str, str]:
     prefix = "label, sid, id, s1, s2, s3, s4, s5"
     kinds = "vec as (select *, cast(id as bigint) % 97 as kind from pts)"
     features = f"""select label, id, sid, {_rounded([n for n in _NAMES if n != 'variance'])},
-      round(variance, 0) as variance, round(dist6, 6) as dist6, round(dist7, 6) as dist7
+      round(variance + 1e-3, 0) as variance, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7
       from stats join dist using (label, id, sid)"""
     numbered = ", ".join(
-        f"round(coalesce({n}, cast('nan' as double)), 6) as f{i + 1}"
+        f"round(coalesce({n}, cast('nan' as double)) + 1e-9, 6) as f{i + 1}"
         for i, n in enumerate([*_NAMES, "dist6", "dist7"])
     )
     tests = ", ".join(f"'{i}'" for i in TEST_IDS)
@@ -187,19 +188,19 @@ from d, c""",
             + CELLS.format(group="cast(id as bigint) % 3 as batch_id,")
             + " group by cast(id as bigint) % 3)",
         )
-        + f"""select batch_id, round({_ratio('hits', 'total')}, 6) as accuracy,
-        round({_ratio('tp', 'tp + fn')}, 6) as sensitivity,
-        round({_ratio('tn', 'tn + fp')}, 6) as specificity, round({_F1}, 6) as f1 from c""",
+        + f"""select batch_id, round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
+        round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
+        round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
         "explode_points": _with(LINEITEM) + "select label, id, sid, pos, x from pts",
         "moving_average": _with(LINEITEM, SMOOTH)
-        + 'select label, id, sid, pos, x, round(ma, 6) as "movingAvg" from ma',
+        + 'select label, id, sid, pos, x, round(ma + 1e-9, 6) as "movingAvg" from ma',
         "quantile_breakpoints": _with(LINEITEM, SMOOTH)
         + "select id, "
-        + ", ".join(f"round(q[{i}], 6) as q{i}" for i in range(1, 5))
+        + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
         + " from q",
         "quantiles_sql": _with(EVENTS, SMOOTH)
         + "select id, "
-        + ", ".join(f"round(q[{i}], 6) as q{i}" for i in range(1, 5))
+        + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
         + " from q order by id",
         "sax_symbols": _with(LINEITEM, *to_sax)
         + 'select label, id, sid, pos, x, s as "SAX" from sax',
@@ -232,19 +233,19 @@ from d, c""",
         + f'select word_length, seq as "SEQ", hex(seq) as "HEX", {pooled} from tpl',
         "template_match": _with(EVENTS, *compared)
         + f"""select label, id, sid, word_length, seq as "SEQ", {probs},
-             {", ".join(f'round(r{c}, 6) as "t{c}"' for c in LETTERS)}
+             {", ".join(f'round(r{c} + 1e-9, 6) as "t{c}"' for c in LETTERS)}
              from t join tpl using (word_length, seq) where not ({COHORT})""",
         "template_distance": _with(LINEITEM, *compared, DISTANCES)
         + """select label, id, sid, word_length, seq as "SEQ", hex(seq) as "HEX",
-             round(dist, 6) as dist from d""",
+             round(dist + 1e-9, 6) as dist from d""",
         "merge_lengths": _with(EVENTS, *compared, DISTANCES, MERGED)
         + """select label, id, sid, cast(pairs as double) as pairs,
-             round(total6, 6) as dist6_total, round(total7, 6) as dist7_total from dist""",
+             round(total6 + 1e-9, 6) as dist6_total, round(total7 + 1e-9, 6) as dist7_total from dist""",
         "distance_reduce": _with(EVENTS, *compared, DISTANCES)
-        + """select label, id, sid, word_length, round(sqrt(sum(dist)) / count(id), 6) as dist
+        + """select label, id, sid, word_length, round(sqrt(sum(dist)) / count(id) + 1e-9, 6) as dist
              from d group by label, id, sid, word_length""",
         "distance_features": _with(LINEITEM, *compared, DISTANCES, MERGED)
-        + "select label, id, sid, round(dist6, 6) as dist6, round(dist7, 6) as dist7 from dist",
+        + "select label, id, sid, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7 from dist",
         "stats_window": _with(EVENTS, STATS)
         + f"""select label, id, sid, pos, x, {_rounded(_NAMES[:-1])}
              from pts join stats using (label, id, sid)""",
@@ -260,12 +261,12 @@ select distinct cast(user_id % 2 as int) as label, cast(user_id as varchar) as i
 from events""",
         "confusion": _with(GUESSES) + CELLS.format(group=""),
         "metrics": _with(GUESSES, "c as (" + CELLS.format(group="") + ")")
-        + f"""select round({_ratio('hits', 'total')}, 6) as accuracy,
-        round({_ratio('tp + tn', 'total')}, 6) as acc,
-        round({_ratio('tp', 'tp + fp')}, 6) as precision,
-        round({_ratio('tp', 'tp + fn')}, 6) as recall,
-        round({_ratio('tp', 'tp + fn')}, 6) as sensitivity,
-        round({_ratio('tn', 'tn + fp')}, 6) as specificity, round({_F1}, 6) as f1 from c""",
+        + f"""select round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
+        round({_ratio('tp + tn', 'total')} + 1e-9, 6) as acc,
+        round({_ratio('tp', 'tp + fp')} + 1e-9, 6) as precision,
+        round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as recall,
+        round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
+        round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
         "stream_features": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, STATS)
         + f"""select label, id, sid, {_rounded([*_NAMES, 'dist6', 'dist7'])}
         from stats join dist using (label, id, sid)""",
