@@ -115,7 +115,7 @@ def test_breakpoints_in_two_steps_keep_the_rank_error(spark):
     ).repartition(16)
     spec = Spec(accuracy=accuracy)
     sizes = key_sizes(df, ["id"], Scale(hot_rows=10_000, hot_keys=1000))
-    assert [r.id for r in sizes.hot().collect()] == ["b"]
+    assert [r.id for r in sizes.hot.collect()] == ["b"]
     got = {r.id: r.quantiles for r in bp.breakpoints(df, spec, sizes).collect()}
     values = {}
     for r in df.collect():
@@ -184,7 +184,7 @@ def test_join_strategies_agree(spark, how):
     want = None
     for scale in (Scale(), Scale(broadcast_rows=0), Scale(broadcast_rows=0, hot_rows=100)):
         sizes = key_sizes(big, ["k"], scale)
-        assert (sizes.hot() is None) == (scale.hot_rows > 1500)
+        assert (sizes.hot is None) == (scale.hot_rows > 1500)
         got = as_set(join_per_key(big, small, sizes, ["row"], how))
         want = want or got
         assert got == want and got
@@ -203,4 +203,4 @@ def test_point_statistics_equal_the_descriptives(records, points, staging):
 def test_few_keys_are_ever_hot(spark):
     df = spark.range(1000).select((F.col("id") % 100).alias("k"))
     sizes = key_sizes(df, ["k"], Scale(hot_rows=1, hot_keys=50))
-    assert sizes.limit == 20 and sizes.hot() is None
+    assert sizes.limit == 20 and sizes.hot is None

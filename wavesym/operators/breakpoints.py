@@ -14,7 +14,7 @@ def breakpoints(smoothed: DataFrame, spec: Spec, sizes: KeySizes) -> DataFrame:
 
     A hot id has a digest in almost every map task; those are merged in two steps.
     """
-    hot = sizes.hot()
+    hot = sizes.hot
     if hot is None:
         return _direct(smoothed, spec)
     hot_ids = F.broadcast(hot.select("id"))

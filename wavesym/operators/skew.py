@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,7 @@ class KeySizes:
     def limit(self) -> int:
         return max(self.scale.hot_rows, self.rows // self.scale.hot_keys)
 
+    @cached_property
     def hot(self) -> DataFrame | None:
         """Keys above the limit, with their counts; fewer than `hot_keys` by construction."""
         if self.largest <= self.limit:
@@ -67,7 +69,7 @@ def join_per_key(
     keys = list(sizes.keys)
     if (sizes.n_keys if small_rows is None else small_rows) <= sizes.scale.broadcast_rows:
         return big.join(F.broadcast(small), keys, how)
-    hot = sizes.hot()
+    hot = sizes.hot
     if hot is None:
         return big.join(small, keys, how)
     salts = F.broadcast(hot.select(*keys, F.ceil(F.col("n") / sizes.limit).alias("_salts")))
@@ -97,7 +99,7 @@ def positions(
     inside = Window.partitionBy(*group).orderBy(*order)
     number = (F.row_number().over(inside).cast("long") - 1).alias(name)
     sizes = key_sizes(df, group, scale)
-    hot = sizes.hot()
+    hot = sizes.hot
     if hot is None:
         return df.select("*", number)
     hot_keys = F.broadcast(hot.select(*group))

@@ -25,6 +25,9 @@ def with_breakpoints(
     sizes: KeySizes = key_sizes(segments, ["id"], scale, weight="n")
     smoothed = moving_average(segments, spec, scale, staging)
     cuts = breakpoints(smoothed, spec, sizes)
+    if sizes.hot is not None:
+        # hot records are counted apart from the others: both passes read the cuts
+        cuts = staging.table(cuts, "breakpoints")
     return join_per_key(segments, cuts, sizes, spread=["sid", "start"])
 
 

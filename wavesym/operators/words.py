@@ -95,7 +95,7 @@ def transitions(lettered: DataFrame, spec: Spec, records: KeySizes) -> DataFrame
     """
     partitions = int(lettered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_tasks = max(partitions, ceil(records.rows / records.scale.task_points))
-    hot = records.hot()
+    hot = records.hot
     if hot is None:
         return _shares(lettered.repartition(n_tasks, "id", "sid"), spec)
     keys = F.broadcast(hot.select("id", "sid"))
