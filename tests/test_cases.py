@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wavesym import Scale, Spec
 from wavesym.operators import segments, smoothing, symbols
+from wavesym.operators.breakpoints import breakpoints
 from wavesym.operators.features import (
     descriptives,
     distance_features,
@@ -16,9 +17,7 @@ from wavesym.operators.features import (
     merge_lengths,
 )
 from wavesym.operators.skew import key_sizes
-from wavesym.operators.breakpoints import breakpoints
 from wavesym.plans.batch import transition_table
-from wavesym.settings import Spec as _Spec
 from wavesym.sources.records import decode, ingest, parse_messages, read_messages
 from wavesym.sources.staging import Staging
 
@@ -31,12 +30,12 @@ def staging(spark):
         yield s
 
 
-def stored(spark, staging, *records, spec=SPEC):
+def stored(spark, staging, *records):
     df = spark.createDataFrame(
         [(la, i, s, [float(v) for v in d]) for la, i, s, d in records],
         "label string, id string, sid string, data array<double>",
     )
-    return staging.table(segments.segments_of_records(df, spec, SCALE), "segments")
+    return staging.table(segments.segments_of_records(df, SPEC, SCALE), "segments")
 
 
 def letters(made, staging):
@@ -76,7 +75,7 @@ def test_single_point(spark, staging):
     row = descriptives(made).first()
     assert (row.mean, row.sum, row.range) == (3.5, 3.5, 0.0)
     assert [row[c] for c in ("stdev", "variance", "kurt", "skew")] == [None] * 4
-    two = _Spec(word_lengths=(2, 3))
+    two = Spec(word_lengths=(2, 3))
     found = transition_table(made, two, SCALE, staging).collect()
     assert [(r.word_length, r.SEQ, r.A, r.E) for r in found] == [(2, "E", 0.0, 0.0)]
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from wavesym.catalog import Run, trained_classifier
 from wavesym.operators.evaluation import split_by_id
 from wavesym.operators.features import feature_vector
+from wavesym.operators.symbols import point_symbols, with_breakpoints
 from wavesym.plans import batch, model
 from wavesym.schemas import RESULT
 from wavesym.sources import results, tables
-from wavesym.sources.records import stream_messages
+from wavesym.sources.records import ingest, stream_messages
 from wavesym.sources.staging import Staging
 from wavesym.streaming.run import classify_stream
 
@@ -82,9 +83,6 @@ def test_an_id_in_two_batches_has_two_sets_of_breakpoints(spark, run, classifier
     def letters(lines):
         df = spark.createDataFrame([(x,) for x in lines], "value string")
         with Staging(spark) as staging:
-            from wavesym.operators.symbols import point_symbols, with_breakpoints
-            from wavesym.sources.records import ingest
-
             made, _ = ingest(df, classifier.spec, classifier.scale, staging)
             cut = with_breakpoints(made, classifier.spec, classifier.scale, staging)
             rows = point_symbols(cut, classifier.spec).orderBy("sid", "pos").collect()

@@ -17,7 +17,7 @@ from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
 
 
-def _last(values: Column, k: int) -> Column:
+def last_points(values: Column, k: int) -> Column:
     return F.slice(values, F.greatest(F.size(values) - k, F.lit(0)) + 1, k)
 
 
@@ -32,7 +32,7 @@ def _with_ends(df: DataFrame, spec: Spec, also: list[str]) -> DataFrame:
         "data",
         "after",
         F.when(F.col("start") == 0, F.slice("data", 1, k)).alias("head"),
-        F.when(F.size("after") == 0, _last(F.concat("before", "data"), k)).alias("tail"),
+        F.when(F.size("after") == 0, last_points(F.concat("before", "data"), k)).alias("tail"),
         *also,
     )
 

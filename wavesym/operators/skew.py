@@ -113,7 +113,8 @@ def positions(
     )
     # written out, so that the ranges are facts for both passes below
     ranged = staging.table(ranged, "ranges")
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    by_range = Window.partitionBy(*group).orderBy("_range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
     # one row per range and hot group in it: at most n_ranges + the number of hot groups
     offsets = (
         ranged.groupBy(*group, "_range")

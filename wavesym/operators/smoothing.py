@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavesym.functions.columns import trailing_mean
-from wavesym.operators.segments import _last
+from wavesym.operators.segments import last_points
 from wavesym.operators.skew import positions
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
@@ -65,7 +65,7 @@ def _record_starts(segments: DataFrame, spec: Spec, scale: Scale, staging: Stagi
     carried = (
         copies.withColumn("tails", F.collect_list("tail").over(previous))
         .filter(F.col("block") == own)
-        .withColumn("carried", _last(F.flatten("tails"), k))
+        .withColumn("carried", last_points(F.flatten("tails"), k))
     )
     at = F.col("i") + F.size("carried")
     frame = F.slice(

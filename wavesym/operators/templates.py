@@ -33,7 +33,7 @@ def write_templates(templates: DataFrame, path: str, mode: str = "append") -> No
 
 
 def read_templates(spark: SparkSession, path: str, spec: Spec) -> DataFrame:
-    """A stored collection: its `_id` is dropped, nulls are zeros, a row without weight counts once."""
+    """A stored collection, without its `_id`; nulls are zeros, a row without weight counts once."""
     stored = spark.read.parquet(path).drop("_id")
     if "weight" not in stored.columns:
         stored = stored.withColumn("weight", F.lit(1).cast("long"))
@@ -59,7 +59,7 @@ def match_templates(
 
 
 def template_distance(matched: DataFrame, spec: Spec) -> DataFrame:
-    """label, id, sid, word_length, SEQ, HEX, weight, dist: Euclidean distance of the probabilities."""
+    """label, id, sid, word_length, SEQ, HEX, weight, dist (Euclidean, of the probabilities)."""
     dist = euclidean(
         [F.col(c) for c in spec.letters], [F.col(f"t{c}") for c in spec.letters]
     )

@@ -30,7 +30,9 @@ def _part(first: Column, length: int) -> Column:
 def sliding_words(lettered: DataFrame, a: int) -> DataFrame:
     """label, id, sid, pos, word: the a letters from pos on, fewer at the end of the record."""
     return _points(lettered).select(
-        *RECORD_KEY, (F.col("start") + F.col("i") - 1).alias("pos"), _part(F.col("i"), a).alias("word")
+        *RECORD_KEY,
+        (F.col("start") + F.col("i") - 1).alias("pos"),
+        _part(F.col("i"), a).alias("word"),
     )
 
 
@@ -129,5 +131,7 @@ def _shares(lettered: DataFrame, spec: Spec) -> DataFrame:
     return (
         words.groupBy(*KEY)
         .agg(*[(F.count_if(F.col("next") == c) / total).alias(c) for c in spec.letters])
-        .select("label", "sid", "id", "word_length", *spec.letters, "SEQ", F.hex("SEQ").alias("HEX"))
+        .select(
+            "label", "sid", "id", "word_length", *spec.letters, "SEQ", F.hex("SEQ").alias("HEX")
+        )
     )

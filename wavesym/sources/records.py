@@ -18,7 +18,9 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_messages(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
     """The same files as a stream. A queue source with a string `value` column fits as well."""
     reader = spark.readStream
     if files_per_batch:

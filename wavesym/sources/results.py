@@ -24,7 +24,7 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """The schema of a collection as rows (position, column, type), with the nulls of each column."""
+    """The schema of a collection as rows (position, column, type) with the nulls of each."""
     described = F.array(
         *[
             F.struct(

@@ -6,11 +6,11 @@ points, or the whole series as ``data``. Rows without a full key or a value are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavesym.functions.columns import format_series
-from wavesym.schemas import MESSAGE, RECORD_KEY
+from wavesym.schemas import RECORD_KEY
 
 EVENT_ORDER = ["ts", "event_id"]
 LINEITEM_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
@@ -49,7 +49,5 @@ def embedding_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def to_messages(records: DataFrame) -> DataFrame:
     """One JSON text per record, in column `value`."""
-    fields: list[Column] = [F.col(name) for name in RECORD_KEY]
     text = format_series(F.col("data")).alias("data")
-    assert [*RECORD_KEY, "data"] == MESSAGE.names
-    return records.select(F.to_json(F.struct(*fields, text)).alias("value"))
+    return records.select(F.to_json(F.struct(*RECORD_KEY, text)).alias("value"))
