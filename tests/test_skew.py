@@ -16,7 +16,7 @@ from wavesym.sources.staging import Staging
 
 SPEC = Spec()
 WIDE = Scale()
-TIGHT = Scale(segment=32, hot_rows=40, hot_keys=1000, broadcast_rows=0, task_points=64)
+TIGHT = Scale(segment=32, hot_rows=40, hot_keys=1000, broadcast_rows=0, task_points=(20, 64))
 RECORDS = fixtures.series(3, fixtures.SHAPE)
 
 

@@ -190,7 +190,7 @@ def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "lineitem")
     stored = run.segments
     sizes = key_sizes(stored, ["id"], SCALE, weight="n")
-    smoothed = smoothing.moving_average(stored, SPEC, SCALE, run.staging)
+    smoothed = smoothing.moving_average(stored, SPEC, SCALE, run.staging, sizes)
     return quantile_columns(bp.breakpoints(smoothed, SPEC, sizes))
 
 

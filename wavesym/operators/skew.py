@@ -90,14 +90,18 @@ def positions(
     name: str,
     scale: Scale,
     staging: Staging,
+    cold: bool = False,
 ) -> DataFrame:
     """Add the 0-based rank of each row inside its group; `group` holds no nulls.
 
+    `cold` says that no group is known to be hot; otherwise the groups are counted first.
     Ordinary groups take one window. Rows of hot groups are sorted across tasks by range, numbered
     inside each range, and moved up by the rows of their group in earlier ranges.
     """
     inside = Window.partitionBy(*group).orderBy(*order)
     number = (F.row_number().over(inside).cast("long") - 1).alias(name)
+    if cold:
+        return df.select("*", number)
     sizes = key_sizes(df, group, scale)
     hot = sizes.hot
     if hot is None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wavesym.functions.columns import trailing_mean
 from wavesym.operators.segments import last_points
-from wavesym.operators.skew import positions
+from wavesym.operators.skew import KeySizes, positions
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
@@ -50,14 +50,16 @@ def _record_ends(segments: DataFrame) -> DataFrame:
     return ends.filter(has_head & has_tail).unionByName(halves)
 
 
-def _record_starts(segments: DataFrame, spec: Spec, scale: Scale, staging: Staging) -> DataFrame:
+def _record_starts(
+    segments: DataFrame, spec: Spec, scale: Scale, staging: Staging, cold: bool
+) -> DataFrame:
     """The first `lookback` points of each record, whose frames reach into earlier records.
 
     Works on one short row per record (its two ends). Records of an id are taken in blocks; the last
     rows of a block are repeated in the next, so a frame never needs more than its own block.
     """
     k, block = spec.lookback, max(scale.hot_rows, spec.lookback)
-    placed = positions(_record_ends(segments), ["id"], ["sid"], "at", scale, staging)
+    placed = positions(_record_ends(segments), ["id"], ["sid"], "at", scale, staging, cold)
     own = F.floor(F.col("at") / block)
     wanted = F.when(F.col("at") % block >= block - k, F.array(own, own + 1)).otherwise(F.array(own))
     copies = placed.select("*", F.explode(wanted).alias("block"))
@@ -81,7 +83,15 @@ def _record_starts(segments: DataFrame, spec: Spec, scale: Scale, staging: Stagi
     )
 
 
-def moving_average(segments: DataFrame, spec: Spec, scale: Scale, staging: Staging) -> DataFrame:
-    """label, id, sid, pos, x, movingAvg for every point."""
-    starts = _record_starts(segments, spec, scale, staging)
+def moving_average(
+    segments: DataFrame,
+    spec: Spec,
+    scale: Scale,
+    staging: Staging,
+    sizes: KeySizes | None = None,
+) -> DataFrame:
+    """label, id, sid, pos, x, movingAvg for every point; `sizes` are the points per id, if known."""
+    # an id has at least as many points as records
+    cold = sizes is not None and sizes.hot is None
+    starts = _record_starts(segments, spec, scale, staging, cold)
     return _whole_frames(segments, spec).unionByName(starts)

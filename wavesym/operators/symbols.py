@@ -19,11 +19,15 @@ def _cuts(spec: Spec):
 
 
 def with_breakpoints(
-    segments: DataFrame, spec: Spec, scale: Scale, staging: Staging
+    segments: DataFrame,
+    spec: Spec,
+    scale: Scale,
+    staging: Staging,
+    sizes: KeySizes | None = None,
 ) -> DataFrame:
-    """Segments with the breakpoints of their id."""
-    sizes: KeySizes = key_sizes(segments, ["id"], scale, weight="n")
-    smoothed = moving_average(segments, spec, scale, staging)
+    """Segments with the breakpoints of their id; `sizes` are the points per id, if known."""
+    sizes = sizes or key_sizes(segments, ["id"], scale, weight="n")
+    smoothed = moving_average(segments, spec, scale, staging, sizes)
     cuts = breakpoints(smoothed, spec, sizes)
     if sizes.hot is not None:
         # hot records are counted apart from the others: both passes read the cuts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavesym.operators.skew import KeySizes
@@ -88,15 +88,22 @@ def transition_pivot(counts: DataFrame, a: int, spec: Spec) -> DataFrame:
     )
 
 
+def _word_tasks(spark: SparkSession, records: KeySizes) -> int:
+    """As many tasks as the session shuffles to, fewer for few points, more for very many."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = records.scale.task_points
+    return max(1, min(partitions, ceil(records.rows / few)), ceil(records.rows / many))
+
+
 def transitions(lettered: DataFrame, spec: Spec, records: KeySizes) -> DataFrame:
     """label, sid, id, word_length, A..E, SEQ, HEX for all word lengths, in one pass.
 
     The letters (a byte per point) are brought together by record before they become words, so no
     words are shuffled. `records` holds the points per (id, sid): words of a hot record are counted
-    where they are, and the counts meet by record and prefix.
+    where they are, and the counts meet by record and prefix. (Points per id will do as `records`
+    if no id is hot.)
     """
-    partitions = int(lettered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_tasks = max(partitions, ceil(records.rows / records.scale.task_points))
+    n_tasks = _word_tasks(lettered.sparkSession, records)
     hot = records.hot
     if hot is None:
         return _shares(lettered.repartition(n_tasks, "id", "sid"), spec)

@@ -18,6 +18,7 @@ from wavesym.operators.features import (
     merge_lengths,
 )
 from wavesym.operators.segments import record_sizes
+from wavesym.operators.skew import key_sizes
 from wavesym.operators.symbols import letter_segments, with_breakpoints
 from wavesym.operators.templates import match_templates, template_distance
 from wavesym.operators.words import transitions
@@ -32,8 +33,11 @@ def transition_table(
     segments: DataFrame, spec: Spec, scale: Scale, staging: Staging
 ) -> DataFrame:
     """Transition probabilities of every record, from stored segments."""
-    lettered = letter_segments(with_breakpoints(segments, spec, scale, staging), spec)
-    return transitions(lettered, spec, record_sizes(segments, ["id", "sid"], scale))
+    ids = key_sizes(segments, ["id"], scale, weight="n")
+    lettered = letter_segments(with_breakpoints(segments, spec, scale, staging, ids), spec)
+    # without a hot id there is no hot record
+    records = ids if ids.hot is None else record_sizes(segments, ["id", "sid"], scale)
+    return transitions(lettered, spec, records)
 
 
 def distances(

@@ -36,4 +36,4 @@ class Scale:
     hot_rows: int = 4_000_000
     hot_keys: int = 100_000
     broadcast_rows: int = 200_000  # short rows a broadcast table may have, counted beforehand
-    task_points: int = 64_000_000  # points whose words one task counts, at most on average
+    task_points: tuple[int, int] = (50_000, 64_000_000)  # whose words one task counts: few, many
