@@ -66,6 +66,32 @@ def test_positions_of_a_table_with_one_key(spark, staging):
     assert got.filter("pos <> t").count() == 0
 
 
+def test_copies_are_spread_over_the_ranges(spark):
+    stored = []
+
+    class Watched(Staging):
+        def table(self, df, name):
+            stored.append(super().table(df, name))
+            return stored[-1]
+
+    copies = spark.range(0, 4000, 1, 8).select(F.lit("k").alias("id"), F.lit(1).alias("t"))
+    with Watched(spark) as staging:
+        got = positions(copies, ["id"], ["t"], "pos", Scale(hot_rows=500), staging)
+        assert sorted(r.pos for r in got.collect()) == list(range(4000))
+        sizes = [r["count"] for r in stored[0].groupBy("_range").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 1000
+
+
+def test_join_deals_copies_out(spark, staging):
+    big = staging.table(spark.range(3000).select(F.lit(1).alias("k"), F.lit(2).alias("v")), "big")
+    small = spark.createDataFrame([(1, 5)], "k int, w int")
+    sizes = key_sizes(big, ["k"], Scale(broadcast_rows=0, hot_rows=100))
+    joined = join_per_key(big, small, sizes, None)
+    assert joined.count() == 3000
+    assert join_per_key(big, small, sizes, None, "left_anti").count() == 0
+    assert join_per_key(big, small, sizes, None, "left_semi").count() == 3000
+
+
 @pytest.mark.parametrize("kind", ["records", "points"])
 @pytest.mark.parametrize("scale", [WIDE, TIGHT], ids=["wide", "tight"])
 def test_segments_hold_every_point_once(records, points, staging, kind, scale):

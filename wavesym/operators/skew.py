@@ -56,7 +56,7 @@ def join_per_key(
     big: DataFrame,
     small: DataFrame,
     sizes: KeySizes,
-    spread: list[str],
+    spread: list[str] | None,
     how: str = "inner",
     small_rows: int | None = None,
 ) -> DataFrame:
@@ -64,7 +64,8 @@ def join_per_key(
 
     `small` has at most one row per key, or `small_rows` rows. Few rows: it is broadcast. Otherwise
     both sides are shuffled by key, and a hot key is cut into as many salts as it holds limits;
-    `spread` names the columns that deal its rows out.
+    `spread` names the columns that deal its rows out. None deals them out by their place in the
+    table, copies too; `big` must then come straight from a stored table, whose order is fixed.
     """
     keys = list(sizes.keys)
     if (sizes.n_keys if small_rows is None else small_rows) <= sizes.scale.broadcast_rows:
@@ -74,9 +75,8 @@ def join_per_key(
         return big.join(small, keys, how)
     salts = F.broadcast(hot.select(*keys, F.ceil(F.col("n") / sizes.limit).alias("_salts")))
     n_salts = F.coalesce("_salts", F.lit(1))
-    big = big.join(salts, keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), n_salts)
-    )
+    deal = F.xxhash64(*spread) if spread else F.monotonically_increasing_id()
+    big = big.join(salts, keys, "left").withColumn("_salt", F.pmod(deal, n_salts))
     small = small.join(salts, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts - 1))
     )
@@ -96,7 +96,8 @@ def positions(
 
     `cold` says that no group is known to be hot; otherwise the groups are counted first.
     Ordinary groups take one window. Rows of hot groups are sorted across tasks by range, numbered
-    inside each range, and moved up by the rows of their group in earlier ranges.
+    inside each range, and moved up by the rows of their group in earlier ranges. Rows that are
+    equal in group and order, in whatever number, are told apart by their place in `df`.
     """
     inside = Window.partitionBy(*group).orderBy(*order)
     number = (F.row_number().over(inside).cast("long") - 1).alias(name)
@@ -112,7 +113,8 @@ def positions(
     n_ranges = max(1, ceil(hot.agg(F.sum("n")).first()[0] / sizes.limit) * 2)
     ranged = (
         df.join(hot_keys, group, "left_semi")
-        .repartitionByRange(n_ranges, *group, *order)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .repartitionByRange(n_ranges, *group, *order, "_place")
         .withColumn("_range", F.spark_partition_id())
     )
     # written out, so that the ranges are facts for both passes below
@@ -125,7 +127,7 @@ def positions(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    in_range = Window.partitionBy("_range", *group).orderBy(*order)
+    in_range = Window.partitionBy("_range", *group).orderBy(*order, "_place")
     spread = (
         ranged.withColumn("_row", F.row_number().over(in_range).cast("long") - 1)
         .join(F.broadcast(offsets), [*group, "_range"])

@@ -80,10 +80,10 @@ def ingest(
         return usable, rejects
     repeated = sizes.table.filter("n > 1").select(*key)
     n = repeated.count()
-    kept = join_per_key(usable, repeated, sizes, ["start", "n"], "left_anti", small_rows=n)
+    kept = join_per_key(usable, repeated, sizes, None, "left_anti", small_rows=n)
     # whole texts: only the repeated messages are taken from the source again
     again = decoded.filter("reason is null").select(*RECORD_KEY, "text")
-    dropped = join_per_key(again, repeated, sizes, ["text"], "left_semi", small_rows=n)
+    dropped = join_per_key(again, repeated, sizes, None, "left_semi", small_rows=n)
     return kept, rejects.unionByName(
         dropped.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
     )
