@@ -153,6 +153,15 @@ def test_decode(spark, text, reason, values):
         assert row.data == values
 
 
+def test_arrays_and_blank_messages(spark):
+    two = f'[{message(id="a")}, {message(id="b")}]'
+    df = spark.createDataFrame([(two,), ("",), ("  ",), (message(id="c"),), ("[1",)], "value string")
+    rows = decode(parse_messages(df)).collect()
+    assert [(r.id, r.reason) for r in rows] == [
+        ("a", None), ("b", None), ("c", None), (None, "bad_json")
+    ]
+
+
 def test_a_bad_record_does_not_fail_the_batch(spark, staging, tmp_path):
     lines = [
         message(id="a"),

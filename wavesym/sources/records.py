@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wavesym.functions.columns import parse_series
 from wavesym.operators.segments import segments_of_records
@@ -29,9 +30,17 @@ def stream_messages(
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """label, id, sid, data as text; numbers become text, malformed JSON a row of nulls."""
-    parsed = F.from_json(F.col("value").cast("string"), MESSAGE, {"mode": "PERMISSIVE"})
-    return messages.select(parsed.alias("m")).select("m.*")
+    """label, id, sid, data as text; numbers become text, malformed JSON a row of nulls.
+
+    As in Spark's JSON reader, a message that is an array holds several records, and a blank one none.
+    """
+    value = F.col("value").cast("string")
+    several = F.from_json(value, T.ArrayType(MESSAGE), {"mode": "PERMISSIVE"})
+    return (
+        messages.filter(F.length(F.trim(value)) > 0)
+        .select(F.explode_outer(several).alias("m"))
+        .select("m.*")
+    )
 
 
 def decode(parsed: DataFrame) -> DataFrame:
