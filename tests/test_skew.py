@@ -133,15 +133,16 @@ def test_many_short_records_across_blocks(spark, staging):
         assert r.movingAvg == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
 
 
-def test_breakpoints_in_two_steps_keep_the_rank_error(spark):
+@pytest.mark.parametrize("hot_rows", [200, 10_000])
+def test_breakpoints_in_two_steps_keep_the_rank_error(spark, hot_rows):
     n, accuracy = 20_000, 100
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("id"),
         F.pmod(F.hash("id"), F.lit(10_007)).cast("double").alias("movingAvg"),
     ).repartition(16)
     spec = Spec(accuracy=accuracy)
-    sizes = key_sizes(df, ["id"], Scale(hot_rows=10_000, hot_keys=1000))
-    assert [r.id for r in sizes.hot.collect()] == ["b"]
+    sizes = key_sizes(df, ["id"], Scale(hot_rows=hot_rows, hot_keys=1000))
+    assert "b" in [r.id for r in sizes.hot.collect()]
     got = {r.id: r.quantiles for r in bp.breakpoints(df, spec, sizes).collect()}
     values = {}
     for r in df.collect():
