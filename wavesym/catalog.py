@@ -305,8 +305,7 @@ def stats_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def descriptives(spark: SparkSession, folder: str) -> DataFrame:
-    # one pass over the segments: nothing to store
-    return rounded(ft.descriptives(Run(spark, folder, "events").lazy_segments()), DESCRIPTIVES)
+    return rounded(ft.descriptives(tables.event_points(spark, folder)), DESCRIPTIVES)
 
 
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +342,7 @@ def labelled_guesses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_by_id(spark: SparkSession, folder: str) -> DataFrame:
-    described = ft.descriptives(Run(spark, folder, "events").lazy_segments())
+    described = ft.descriptives(tables.event_points(spark, folder))
     training, testing = evaluation.split_by_id(described.select(*RECORD_KEY), TEST_IDS)
     return training.withColumn("part", F.lit("training")).unionByName(
         testing.withColumn("part", F.lit("testing"))

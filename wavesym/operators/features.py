@@ -29,8 +29,13 @@ def statistics(x: str = "x") -> list[Column]:
     ]
 
 
-def descriptives(segments: DataFrame) -> DataFrame:
-    points = segments.select(*RECORD_KEY, F.explode("data").alias("x"))
+def values(segments: DataFrame) -> DataFrame:
+    """label, id, sid, x: the points of segments, without their places."""
+    return segments.select(*RECORD_KEY, F.explode("data").alias("x"))
+
+
+def descriptives(points: DataFrame) -> DataFrame:
+    """The nine descriptives per record of points (label, id, sid, x), in any order."""
     return (
         points.groupBy(*RECORD_KEY)
         .agg(*statistics())
@@ -45,10 +50,9 @@ def point_statistics(segments: DataFrame, scale: Scale) -> DataFrame:
     The statistics are aggregated, then joined to whole segments before these are exploded.
     """
     sizes = record_sizes(segments, RECORD_KEY, scale)
-    stats = segments.select(*RECORD_KEY, F.explode("data").alias("x")).groupBy(*RECORD_KEY)
     joined = join_per_key(
         segments.select(*RECORD_KEY, "start", "data"),
-        stats.agg(*statistics()),
+        values(segments).groupBy(*RECORD_KEY).agg(*statistics()),
         sizes,
         spread=["start"],
     )

@@ -16,6 +16,7 @@ from wavesym.operators.features import (
     feature_table,
     feature_vector,
     merge_lengths,
+    values,
 )
 from wavesym.operators.segments import record_sizes
 from wavesym.operators.skew import key_sizes
@@ -54,7 +55,7 @@ def features(
     """The feature table of stored segments, against stored templates."""
     transition = transition_table(segments, spec, scale, staging)
     return feature_table(
-        descriptives(segments), distances(transition, templates, spec, scale), spec
+        descriptives(values(segments)), distances(transition, templates, spec, scale), spec
     )
 
 
