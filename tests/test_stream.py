@@ -13,7 +13,7 @@ from wavesym.plans import batch, model
 from wavesym.schemas import RESULT
 from wavesym.sources import results, tables
 from wavesym.sources.records import ingest, stream_messages
-from wavesym.sources.staging import Staging
+from wavesym.sources.staging import Staging, shared_folder
 from wavesym.streaming.run import classify_stream
 
 FOLDER = "/root/testdata/sf0.001"
@@ -129,3 +129,21 @@ def test_staging_folders_are_removed(spark):
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         assert fs.exists(path)
     assert not fs.exists(path)
+
+
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})()
+
+    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[8]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("spark://host:7077"))
