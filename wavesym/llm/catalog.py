@@ -36,7 +36,42 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.toxicity import toxicity as score
+
+    return score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.quality import quality as score
+
+    return score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.secret_scan import secrets
+
+    return secrets(table(spark, folder, "documents"))
+
+
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op5_decontamination": decontamination,
+    "op2_secret_scan": secret_scan,
+    "op7_quality": quality,
+    "op8_toxicity": toxicity,
+    "op1_minhash_near_dedup": minhash_near_dedup,
     "op4_token_blocks": token_blocks,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,

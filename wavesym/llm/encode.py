@@ -37,7 +37,7 @@ _LETTERS = _byte_letters()
 class Encoder:
     """Encodes slices of texts; pieces seen before come from a bounded table."""
 
-    MOST_PIECES, MOST_IDS = 2_000_000, 16_000_000
+    MOST_PIECES, MOST_IDS = 1_000_000, 8_000_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,7 +51,8 @@ class Encoder:
 
     def _reset(self) -> None:
         self.tails: dict[str, list[int]] = {}
-        self.known: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # ascending, with the entry of each
+        self.entries = np.zeros(0, np.int64)
         self.start = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int64)
@@ -62,9 +63,9 @@ class Encoder:
 
     def _make_room(self) -> None:
         """Keeps the pieces that came back in a later slice, if they are at most half of the table."""
-        n = len(self.known)
-        names = np.fromiter(self.known, np.uint64, n)
-        keep = np.flatnonzero(self.hits[:n] > 1)
+        names = np.empty(len(self.keys), np.uint64)
+        names[self.entries] = self.keys
+        keep = np.flatnonzero(self.hits[: len(names)] > 1)
         if len(keep) > self.MOST_PIECES // 2 or int(self.size[keep].sum()) > self.MOST_IDS // 2:
             return self._reset()
         sizes = self.size[keep]
@@ -72,7 +73,7 @@ class Encoder:
         take = np.repeat(self.start[keep] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
         flat, length, head = self.pool[take], self.length[keep], self.head[keep]
         self._reset()
-        self._append(names[keep].tolist(), flat, sizes, length, head)
+        self._append(names[keep], flat, sizes, length, head)
 
     def _word(self, word: str, spaced: bool) -> list[int] | None:
         """Letters with punctuation after them; None for anything else."""
@@ -118,7 +119,7 @@ class Encoder:
         self._append(keys, flat, sizes, lengths, heads)
 
     def _append(self, keys, flat, sizes, lengths, heads) -> None:
-        n = len(self.known)
+        n = len(self.keys)
         while n + len(keys) > len(self.start):
             for name in ("start", "size", "length", "head", "hits"):
                 old = getattr(self, name)
@@ -130,7 +131,10 @@ class Encoder:
         self.start[at] = self.used + np.cumsum(sizes) - sizes
         self.size[at], self.length[at], self.head[at] = sizes, lengths, heads
         self.used += len(flat)
-        self.known.update(zip(keys, range(n, n + len(keys))))
+        order = np.argsort(keys)
+        place = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, place, keys[order])
+        self.entries = np.insert(self.entries, place, order + n)
 
     def _whole(self, data: np.ndarray) -> np.ndarray:
         text = data.tobytes().decode("utf-8", "replace")
@@ -176,19 +180,21 @@ class Encoder:
         padded = np.concatenate([data, np.zeros(8, np.uint8)])
         heads = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))[starts]
         heads &= np.where(lengths >= 8, U64(2**64 - 1), (U64(1) << (U64(8) * np.minimum(lengths, 7).astype(np.uint64))) - U64(1))
-        if len(self.known) + len(keys) > self.MOST_PIECES or self.used > self.MOST_IDS:
+        if len(self.keys) + len(keys) > self.MOST_PIECES or self.used > self.MOST_IDS:
             self._make_room()
-        names = keys.tolist()
-        entry = np.array([self.known.get(key, -1) for key in names], np.int64)
+        entry = np.full(len(keys), -1)
+        if len(self.keys):
+            near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            entry = np.where(self.keys[near] == keys, self.entries[near], -1)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
-            entry[missing] = np.arange(len(self.known), len(self.known) + len(missing))
+            entry[missing] = np.arange(len(self.keys), len(self.keys) + len(missing))
             at = some[missing]
             pieces = [
                 (data[s:e].tobytes().decode("utf-8", "replace"), p)
                 for s, e, p in zip(starts[at].tolist(), ends[at].tolist(), spaced[at].tolist())
             ]
-            self._add([names[k] for k in missing.tolist()], pieces, lengths[at], heads[at])
+            self._add(keys[missing], pieces, lengths[at], heads[at])
         self.hits[entry] += 1
         entry = entry[codes]
         # equal hashes of different pieces: such rows go the whole way

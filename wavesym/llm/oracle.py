@@ -12,4 +12,42 @@ select doc_id,
 from normal
 """
 
-ORACLE_SQL = {"op10_exact_dedup": EXACT_DEDUP}
+MINHASH_NEAR_DEDUP = r"""
+with recursive words as (
+    select doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+shingles as (
+    select doc_id,
+           case when len(w) = 0 then []
+                else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 4, 1) + 1)])
+           end as s
+    from words
+),
+sizes as (select doc_id, len(s) as n from shingles),
+single as (select doc_id, unnest(s) as shingle from shingles),
+shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as n
+    from single x join single y on x.shingle = y.shingle and x.doc_id < y.doc_id
+    group by all
+),
+links as (
+    select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+),
+edges as (select a, b from links union select b, a from links),
+reach as (
+    select doc_id as a, doc_id as b from sizes
+    union
+    select reach.a, edges.b from reach join edges on reach.b = edges.a
+)
+select sizes.doc_id, any_value(sizes.n) as n_shingles, min(reach.b) as component_id,
+       sizes.doc_id = min(reach.b) as kept
+from sizes join reach on reach.a = sizes.doc_id
+group by sizes.doc_id
+"""
+
+ORACLE_SQL = {"op1_minhash_near_dedup": MINHASH_NEAR_DEDUP, "op10_exact_dedup": EXACT_DEDUP}
