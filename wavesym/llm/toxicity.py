@@ -1,10 +1,11 @@
 """Toxicity by two Kneser-Ney models of the bytes of words, one per class.
 
-A byte follows the four before it within its word. A class model takes its counts of such grams from the
-labelled documents of the class, discounts them, and gives what it saved to a distribution that both classes
-share: continuation counts over all documents, labelled or not, interpolated down to single bytes. A document
-is scored by the difference of the two log-likelihoods per byte, over the whole text and over its worst window
-of words; a logistic curve, fitted on a bounded sample, makes it a probability.
+A byte is foretold by all bytes of its word before it, up to seven; further on in a long word by the last
+four. A class model takes its counts of such grams from the labelled documents of the class, discounts them,
+and gives what it saved to a distribution that both classes share: continuation counts over all documents,
+labelled or not, interpolated down to single bytes. A document
+is scored by the difference of the two log-likelihoods per byte, over the whole text and over its worst window,
+and by that of its worst words; a logistic curve, fitted on a bounded sample, makes it a probability.
 
 Each labelled document falls in one of two folds, and the sample is scored by a model of the other fold, so
 that no document is scored by counts it took part in.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from wavesym.llm.store import Work
 from wavesym.llm.text import U64, mix, slices, word_bounds, word_hashes
 
-ORDER = 5
+HEAD, ORDER = 8, 5
 DISCOUNT = 0.75
 SLOTS = 1 << 22  # of the scoring table: a slot keeps its weightiest gram
 SAMPLE = 20_000  # labelled rows that the logistic curve is fitted on
@@ -37,18 +38,22 @@ _FOLD[65:91] += U64(32)
 
 
 def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of words, five bytes each as a number, and the word each is of; a word ends in a space."""
+    """The grams of words as numbers, and the word each is of; a word ends in a space.
+
+    A gram has HEAD bytes, spaces before the word, where it reaches the start of the word, and ORDER elsewhere.
+    """
     sizes = ends - starts + 1
     word = np.repeat(np.arange(len(starts)), sizes)
-    at = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[word]
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = nth + starts[word]
     grams = np.zeros(len(word), np.uint64)
     low, high = starts[word], ends[word]
-    for back in range(ORDER - 1, -1, -1):
+    for back in range(HEAD - 1, -1, -1):
         place = at - back
         inside = (place >= low) & (place < high)
         byte = np.where(inside, _FOLD[data[np.where(inside, place, 0)]], U64(32))
         grams = (grams << U64(8)) | byte
-    return grams, word
+    return np.where(nth < HEAD, grams, grams & U64((1 << 8 * ORDER) - 1)), word
 
 
 def _distinct(hashes: np.ndarray):
@@ -119,7 +124,7 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     negative.
     """
     columns = {(kind, m): sum(F.col(f"{kind}{f}") for f in folds) for m, folds in MODELS.items() for kind in ("ord", "tox")}
-    seen = shared_model(grams).withColumn("context", F.shiftright("gram", 8))
+    seen = shared_model(grams).withColumn("context", F.shiftrightunsigned("gram", 8))
     seen = seen.select("gram", "context", "shared", *(c.alias(f"{k}_{m}") for (k, m), c in columns.items()))
     totals = [
         x
@@ -180,15 +185,17 @@ def _ratios_of(grams: np.ndarray, keys: np.ndarray, ratios: np.ndarray) -> np.nd
         return np.zeros((len(grams), len(MODELS)))
     distinct, place = np.unique(grams.view(np.int64), return_inverse=True)
     at = find(distinct)
-    at = np.where(at >= 0, at, find(-(distinct >> 8) - 1))
+    contexts = (distinct.view(np.uint64) >> U64(8)).view(np.int64)
+    at = np.where(at >= 0, at, find(-contexts - 1))
     return np.where((at >= 0)[:, None], ratios[at], 0.0)[place]
 
 
-FEATURES = 3
+FEATURES, WORST = 4, 5
 
 
 def measure(texts: DataFrame, folder: str) -> DataFrame:
-    """doc_id and FEATURES log ratios per byte for each model: whole text, worst window, worst word."""
+    """doc_id and FEATURES log ratios for each model: per byte of the whole text and of the worst window; of the
+    worst word; mean of the WORST worst words."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ratios = _scoring_table(folder)
@@ -214,6 +221,10 @@ def measure(texts: DataFrame, folder: str) -> DataFrame:
                     windows = (sums[stop] - sums[begin]) / (bytes_[stop] - bytes_[begin])[:, None]
                     out[full, :, 1] = np.maximum.reduceat(windows, cuts[:-1][full], axis=0)
                     out[full, :, 2] = np.maximum.reduceat(per_word, cuts[:-1][full], axis=0)
+                    for k in range(len(MODELS)):
+                        worst = np.lexsort((-per_word[:, k], rows))  # rows stay in place, the worst words first
+                        among = np.arange(len(rows)) - cuts[rows] < WORST
+                        out[:, k, 3] = np.bincount(rows[among], per_word[worst, k][among], n) / WORST
                 columns = [pa.array(out[:, k].tolist(), pa.list_(pa.float64())) for k in range(len(MODELS))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[first:last], *columns], ["doc_id", *MODELS])
 
