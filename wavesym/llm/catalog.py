@@ -66,7 +66,22 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.warc import archive
+
+    read = archive(table(spark, folder, "pages"), payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.substrings import shared_passages
+
+    return shared_passages(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op3_substring_dedup": substring_dedup,
+    "op6_warc_bundles": warc_bundles,
     "op5_decontamination": decontamination,
     "op2_secret_scan": secret_scan,
     "op7_quality": quality,

@@ -50,4 +50,20 @@ from sizes join reach on reach.a = sizes.doc_id
 group by sizes.doc_id
 """
 
-ORACLE_SQL = {"op1_minhash_near_dedup": MINHASH_NEAR_DEDUP, "op10_exact_dedup": EXACT_DEDUP}
+WARC_BUNDLES = """
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+held as (
+    select *, case when strlen(payload) >= 1000 then max(page_id) over (partition by payload) end as holder
+    from payloads
+)
+select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_digest,
+       case when holder <> page_id then 'revisit' else 'response' end as record_type,
+       case when holder <> page_id then holder end as refers_to
+from held
+"""
+
+ORACLE_SQL = {
+    "op1_minhash_near_dedup": MINHASH_NEAR_DEDUP,
+    "op6_warc_bundles": WARC_BUNDLES,
+    "op10_exact_dedup": EXACT_DEDUP,
+}

@@ -33,7 +33,7 @@ def make_folder(folder: str) -> None:
 
 def open_write(path: str):
     filesystem, path = _filesystem(path)
-    return filesystem.open_output_stream(path)
+    return filesystem.open_output_stream(path, compression=None)
 
 
 def open_read(path: str):
