@@ -3,8 +3,10 @@
 One hash of the shingles splits its range into bins; a bin's least value is its entry of the signature, and an
 empty bin takes the entry of a filled one that its own probe sequence finds (optimal densification). Bands of
 entries name buckets. A bucket links its members to one centre, a star, and links are confirmed on the full
-sets. A member that the centre turns down may still be linked to another member: buckets whose members have
-not come together go on with new centres, until each has a single component left or no pair untried.
+sets. A member that the centre turns down may still be linked to another member, so a bucket whose members have
+not come together goes on with another centre. After FIRST_ROUNDS the members of buckets still open get new,
+narrower buckets, of keys of TIGHT_ROWS entries, in which almost only texts that are linked meet; these go on
+until none is open, or QUIET rounds have brought no two components together.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ class MinHash:
 
 
 PROBES = 64
+FIRST_ROUNDS, QUIET = 2, 2
+TIGHT_BANDS, TIGHT_ROWS = 96, 16
 
 
 class Signer:
@@ -47,6 +51,10 @@ class Signer:
         self.edges = (np.arange(bins, dtype=np.uint64) * U64(2**64 // bins)).astype(np.uint64)
         self.place = mix(np.arange(1, spec.rows + 1, dtype=np.uint64)) | U64(1)
         self.band = mix(np.arange(1001, 1001 + spec.bands, dtype=np.uint64))
+        random = np.random.default_rng(bins)
+        self.tight = np.stack([random.choice(bins, min(TIGHT_ROWS, bins), replace=False) for _ in range(TIGHT_BANDS)])
+        self.tight_place = mix(np.arange(51, 51 + self.tight.shape[1], dtype=np.uint64)) | U64(1)
+        self.tight_band = mix(np.arange(5001, 5001 + TIGHT_BANDS, dtype=np.uint64))
         self.probe_tables: list[np.ndarray] = []
 
     def _probes(self, k: int) -> np.ndarray:
@@ -78,6 +86,11 @@ class Signer:
         return mix((parts * self.place).sum(axis=1, dtype=np.uint64) ^ self.band)
 
 
+    def tight_buckets(self, ordered: np.ndarray) -> np.ndarray:
+        parts = self.signature(ordered)[self.tight]
+        return mix((parts * self.tight_place).sum(axis=1, dtype=np.uint64) ^ self.tight_band)
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Ascending distinct shingle hashes of each text; A-Z count as a-z."""
     starts, ends, rows = word_bounds(data, bounds)
@@ -126,43 +139,71 @@ def _confirm(pairs: DataFrame, sets: DataFrame, spec: MinHash) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", linked.alias("linked")).groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _links(reps: DataFrame, texts: DataFrame, spec: MinHash, work: Work) -> DataFrame | None:
-    """Links (a, b) enough for the components of all links between representatives (rep, n, buckets)."""
-    spread = reps.select("rep", "n", F.explode("buckets").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("bucket")
-    active = work.table(spread.join(shared, "bucket"), "members")
+def _tight(sets: DataFrame, spec: MinHash) -> DataFrame:
+    """rep, n, buckets of TIGHT_ROWS entries."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(spec)
+        for batch in batches:
+            for low in range(0, len(batch), 1000):
+                part = batch.slice(low, 1000)
+                found = [x.values.to_numpy().view(np.uint64) for x in part.column("shingles")]
+                keys = [signer.tight_buckets(np.sort(x)).view(np.int64) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rep"), pa.array([len(x) for x in found], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["rep", "n", "buckets"],
+                )
+
+    return sets.select("rep", "shingles").mapInArrow(sign, "rep long, n long, buckets array<long>")
+
+
+def _shared(spread: DataFrame) -> DataFrame:
+    """Rows (rep, n, bucket) of the buckets that two representatives share."""
+    several = spread.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
+    return spread.join(several.select("bucket"), "bucket")
+
+
+def _links(reps: DataFrame, texts: DataFrame, spec: MinHash, work: Work) -> DataFrame:
+    """node, component of the representatives (rep, n, buckets) that are linked with others."""
+    active = work.table(_shared(reps.select("rep", "n", F.explode("buckets").alias("bucket"))), "members")
+    active = active.withColumn("component", F.col("rep"))
     members = active.select(F.col("rep").alias("doc_id")).distinct()
     sets = work.table(_sets(texts.join(members, "doc_id")), "sets", "zstd")
-    tried = links = None
-    centres = 1
+    found = tried = None
+    quiet = rounds = 0
     while True:
-        # `centres` members of each bucket, one for each class of a hash that changes with the round
-        choice = F.pmod(F.xxhash64("rep", F.lit(centres)), F.lit(centres))
-        stars = active.groupBy("bucket", choice.alias("class")).agg(F.min(F.struct("rep", "n", *(["component"] if links is not None else []))).alias("c"))
-        stars = work.table(stars.select("bucket", "c"), "centres")
-        near = active.join(stars, "bucket").filter("rep <> c.rep").filter(
+        # one centre for each bucket, another one each round
+        order = F.struct((F.xxhash64("rep", F.lit(rounds)) if rounds else F.col("rep")).alias("order"), "rep", "n", "component")
+        stars = work.table(active.groupBy("bucket").agg(F.min(order).alias("c")), "centres")
+        near = active.join(stars, "bucket").filter("component <> c.component").filter(
             spec.den * F.least("n", "c.n") >= spec.num * F.greatest("n", "c.n")
         )
-        if links is not None:
-            near = near.filter("component <> c.component")
         pairs = near.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         done = work.table(_confirm(pairs, sets, spec), "tried")
-        tried = done if tried is None else tried.union(done)
-        links = tried.filter("linked").select("a", "b")
-        found = components(links, work)
+        tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
+        links = done.filter("linked").select("a", "b")
+        brought = not links.isEmpty()
+        if brought or found is None:
+            known = links if found is None else links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            found = components(known, work)
+        rounds, quiet = rounds + 1, 0 if brought else quiet + 1
+        if rounds > FIRST_ROUNDS and quiet >= QUIET:
+            return found
         used = stars.select("bucket", F.col("c.rep").alias("rep"))
-        rest = active.drop("component").join(used, ["bucket", "rep"], "left_anti")
-        rest = rest.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        rest = rest.withColumn("component", F.coalesce("component", "rep"))
-        rest = work.table(rest, "members")
-        open_buckets = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        active = work.table(rest.join(open_buckets.select("bucket"), "bucket"), "members")
+        rest = active.drop("component").join(used, ["bucket", "rep"], "left_anti").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        rest = work.table(rest.withColumn("component", F.coalesce("component", "rep")), "members")
+        still = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
+        active = rest.join(still, "bucket")
+        if rounds == FIRST_ROUNDS:
+            names = rest.join(still, "bucket").select("rep").distinct()
+            narrow = _shared(_tight(sets.join(names, "rep"), spec).select("rep", "n", F.explode("buckets").alias("bucket")))
+            active = narrow.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        active = work.table(active.select("rep", "n", "bucket", "component"), "members")
         work.drop(rest)
         if active.isEmpty():
-            return links
-        centres *= 4
+            return found
 
 
 def near_duplicates(docs: DataFrame, spec: MinHash = MinHash(), work: Work | None = None) -> DataFrame:
@@ -180,11 +221,13 @@ def near_duplicates(docs: DataFrame, spec: MinHash = MinHash(), work: Work | Non
         F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("buckets").alias("buckets")
     )
     classes = work.table(classes, "classes", "zstd")
-    links = _links(classes, texts, spec, work)
+    found = _links(classes, texts, spec, work)
     named = classes.select("digest", "rep")
     several = known.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo < hi")
     shared = known.join(several.select("doc_id"), "doc_id").join(named, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.union(shared), work).withColumnRenamed("node", "rep")
+    if not shared.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(shared), work)
+    found = found.withColumnRenamed("node", "rep")
     whole = named.join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
