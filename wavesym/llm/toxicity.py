@@ -19,6 +19,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +71,26 @@ def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first, axis=0)
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """gram and its counts by `group` (index into COUNTS), added up within each task before the shuffle."""
+def _pack_counts(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys as gaps, counts after them, bytes of one place side by side."""
+    gaps = np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    small = counts.astype("<u4").view(np.uint8).reshape(len(keys), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes() + np.ascontiguousarray(small).tobytes())
+
+
+def _unpack_counts(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    keys = np.cumsum(np.ascontiguousarray(data[: 8 * n].reshape(8, n).T).view("<u8").reshape(-1), dtype=np.uint64)
+    counts = np.ascontiguousarray(data[8 * n :].reshape(-1, n).T).view("<u4").reshape(n, len(COUNTS))
+    return keys, counts.astype(np.int64)
+
+
+def count_grams(texts: DataFrame, ranges: int) -> DataFrame:
+    """gram and its counts by `group` (index into COUNTS).
+
+    Each task adds up what it reads and sends its counts packed, one row per range of grams; a range holds at
+    most one count per gram and task.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -90,15 +109,20 @@ def count_grams(texts: DataFrame) -> DataFrame:
                     parts = [_add_up(*(np.concatenate(x) for x in zip(*parts)))]
         if parts:
             keys, counts = _add_up(*(np.concatenate(x) for x in zip(*parts)))
-            for at in range(0, len(keys), 100_000):
-                own = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[own].view(np.int64)), *(pa.array(counts[own, k].astype(np.int64)) for k in range(len(COUNTS)))],
-                    ["gram", *COUNTS],
-                )
+            of = (mix(keys >> U64(24)) % U64(ranges)).astype(np.int64)  # neighbours stay together
+            order = np.argsort(of, kind="stable")
+            cuts = np.searchsorted(of[order], np.arange(ranges + 1))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                own = order[cuts[k] : cuts[k + 1]]
+                yield pa.RecordBatch.from_pydict({"range": [k], "n": [len(own)], "packed": [_pack_counts(keys[own], counts[own])]})
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [_unpack_counts(raw, n) for raw, n in zip(table.column("packed").to_pylist(), table.column("n").to_pylist())]
+        keys, counts = _add_up(*(np.concatenate(x) for x in zip(*parts)))
+        return pa.table([pa.array(keys.view(np.int64)), *(pa.array(counts[:, k]) for k in range(len(COUNTS)))], ["gram", *COUNTS])
 
-    partial = texts.select("text", "group").mapInArrow(count, "gram long, " + ", ".join(f"{c} long" for c in COUNTS))
-    return partial.groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    partial = texts.select("text", "group").mapInArrow(count, "range long, n long, packed binary")
+    return partial.groupBy("range").applyInArrow(merge, "gram long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def shared_model(grams: DataFrame) -> DataFrame:
@@ -265,7 +289,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, work: Work | None = None) -> Da
     taught = taught.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     group = F.coalesce(F.when(F.col("toxic") > 0, 2 + fold).otherwise(F.when(F.col("toxic").isNotNull(), fold)), F.lit(4))
-    grams = work.table(count_grams(texts.join(taught, "doc_id", "left").withColumn("group", group)), "grams")
+    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = work.table(count_grams(texts.join(taught, "doc_id", "left").withColumn("group", group), ranges), "grams", "zstd")
     table = work.folder("slots")
     fill_slots(log_ratios(grams)).write.parquet(table)
     work.drop(grams)
