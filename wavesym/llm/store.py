@@ -15,7 +15,7 @@ def uri_of(path: str) -> str:
     return "file://" + path.removeprefix("file:")
 
 
-def _filesystem(path: str):
+def filesystem_of(path: str):
     from pyarrow.fs import FileSystem
 
     return FileSystem.from_uri(uri_of(path))
@@ -27,17 +27,17 @@ def new_file(folder: str, stem: str, suffix: str) -> str:
 
 
 def make_folder(folder: str) -> None:
-    filesystem, path = _filesystem(folder)
+    filesystem, path = filesystem_of(folder)
     filesystem.create_dir(path, recursive=True)
 
 
 def open_write(path: str):
-    filesystem, path = _filesystem(path)
+    filesystem, path = filesystem_of(path)
     return filesystem.open_output_stream(path, compression=None)
 
 
 def open_read(path: str):
-    filesystem, path = _filesystem(path)
+    filesystem, path = filesystem_of(path)
     return filesystem.open_input_file(path)
 
 

@@ -14,7 +14,7 @@ that no document is scored by counts it took part in.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.llm.store import Work
+from wavesym.llm.store import Work, filesystem_of
 from wavesym.llm.text import U64, mix, slices, word_bounds, word_hashes
 
 HEAD, ORDER = 8, 5
@@ -183,21 +183,19 @@ def fill_slots(ratios: DataFrame) -> DataFrame:
     return ratios.groupBy(slot.alias("slot")).agg(best).select("best.key", *(f"best.{m}" for m in MODELS))
 
 
-@cache
+@lru_cache(maxsize=1)
 def _scoring_table(folder: str) -> tuple[np.ndarray, np.ndarray]:
     """Ascending keys and their ratios per model; read once per worker."""
     import pyarrow.parquet as pq
 
-    from wavesym.llm.store import _filesystem
-
-    filesystem, path = _filesystem(folder)
     from pyarrow.fs import FileSelector
 
+    filesystem, path = filesystem_of(folder)
     names = sorted(f.path for f in filesystem.get_file_info(FileSelector(path)) if f.path.endswith(".parquet"))
     table = pa.concat_tables([pq.read_table(n, filesystem=filesystem) for n in names])
     keys = table.column("key").to_numpy()
     order = np.argsort(keys)
-    return keys[order], np.stack([table.column(m).to_numpy()[order] for m in MODELS], axis=1).astype(np.float64)
+    return keys[order], np.stack([table.column(m).to_numpy()[order] for m in MODELS], axis=1)
 
 
 def _ratios_of(grams: np.ndarray, keys: np.ndarray, ratios: np.ndarray) -> np.ndarray:
