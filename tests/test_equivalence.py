@@ -1,9 +1,13 @@
 """The rewritten operators against their literal forms, on the tables."""
 
+import math
+import statistics
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fixtures import transition_rows
 from wavesym import Spec
 from wavesym.catalog import COHORT, SCALE, Run
 from wavesym.operators import features as ft
@@ -50,23 +54,25 @@ def test_words_by_window(lettered, points, a):
 
 
 @pytest.mark.parametrize("a", [6, 7])
-def test_transitions_by_counts_join_and_pivot(lettered, transitions, a):
+def test_transitions_in_plain_python(points, transitions, lettered, a):
+    text = {}
+    for r in points.collect():
+        text.setdefault((r.label, r.id, r.sid), {})[r.pos] = r.SAX
+    want = {}
+    for key, at in text.items():
+        for prefix, shares in transition_rows("".join(at[i] for i in range(len(at))), a).items():
+            if len(prefix) == a - 1:
+                want[(*key, prefix)] = shares
+    got = {}
+    for r in transitions.filter(F.col("word_length") == a).collect():
+        assert r.HEX == r.SEQ.encode().hex().upper()
+        got[r.label, r.id, r.sid, r.SEQ] = [r.A, r.B, r.C, r.D, r.E]
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
     columns = words.word_columns(words.sliding_words(lettered, a), a)
-    prefix = ["label", "sid", "id", *[f"s{i}" for i in range(1, a)]]
-    literal = (
-        words.prefix_totals(columns, a)
-        .join(words.transition_counts(columns, a), prefix)
-        .withColumn("prob", F.col("transitionCount") / F.col("totalCount"))
-        .groupBy(*prefix)
-        .pivot(f"s{a}", list("ABCDE"))
-        .agg(F.first("prob"))
-        .withColumn("SEQ", F.concat(*prefix[3:]))
-        .na.fill(0.0)
-        .select("label", "sid", "id", *"ABCDE", "SEQ", F.hex("SEQ").alias("HEX"))
-    )
-    same(transitions.filter(F.col("word_length") == a).drop("word_length"), literal)
     pivoted = words.transition_pivot(words.transition_counts(columns, a), a, SPEC)
-    same(pivoted.na.fill(0.0), literal)
+    kept = transitions.filter(F.col("word_length") == a).drop("word_length")
+    same(pivoted.na.fill(0.0).select(kept.columns), kept)
 
 
 def test_shares_sum_to_one_except_for_the_end(transitions):
@@ -80,29 +86,24 @@ def test_shares_sum_to_one_except_for_the_end(transitions):
     assert short.count() == records * len(SPEC.word_lengths)
 
 
-def test_merge_by_pairs(run, transitions):
+def test_merge_in_plain_python(run, transitions):
+    """Every distance of one length beside every one of the other, without making the pairs."""
     templates = run.staging.table(tp.build_templates(transitions.filter(COHORT), SPEC), "templates")
-    subjects = transitions.filter(f"not ({COHORT})")
-    distances = tp.template_distance(tp.match_templates(subjects, templates, SPEC, SCALE), SPEC)
+    distances = tp.template_distance(tp.match_templates(transitions, templates, SPEC, SCALE), SPEC)
     distances = run.staging.table(distances, "distances")
     got = ft.distance_features(ft.merge_lengths(ft.distance_sums(distances, SPEC), SPEC), SPEC)
-    six, seven = (
-        distances.filter(F.col("word_length") == a).select(*RECORD_KEY, F.col("dist").alias(f"d{a}"))
-        for a in SPEC.word_lengths
-    )
-    literal = (
-        six.join(seven, ["id", "sid", "label"])
-        .groupBy(*RECORD_KEY)
-        .agg(
-            (F.sqrt(F.sum("d6")) / F.count("id")).alias("dist6"),
-            (F.sqrt(F.sum("d7")) / F.count("id")).alias("dist7"),
-        )
-    )
-    want = {tuple(r)[:3]: tuple(r)[3:] for r in literal.collect()}
+    by = {}
+    for r in distances.collect():
+        by.setdefault((r.label, r.id, r.sid), {}).setdefault(r.word_length, []).append(r.dist)
+    want = {}
+    for key, found in by.items():
+        if all(a in found for a in SPEC.word_lengths):
+            pairs = [(x, y) for x in found[6] for y in found[7]]
+            want[key] = [math.sqrt(sum(p[k] for p in pairs)) / len(pairs) for k in (0, 1)]
     rows = got.collect()
     assert len(rows) == len(want) > 0
     for r in rows:
-        assert tuple(r)[3:] == pytest.approx(want[tuple(r)[:3]], rel=1e-9)
+        assert [r.dist6, r.dist7] == pytest.approx(want[r.label, r.id, r.sid], rel=1e-9)
 
 
 def test_templates_of_single_rows_count_equal_rows_once(run, transitions):
@@ -125,13 +126,12 @@ def test_templates_of_single_rows_count_equal_rows_once(run, transitions):
             assert tuple(r)[3:] == pytest.approx(want[tuple(r)[:3]], rel=1e-9)
 
 
-def test_statistics_by_window(run):
-    made = run.segments
-    record = Window.partitionBy("id", "sid").orderBy("sid")
-    literal = segments.explode_points(made).select(
-        *RECORD_KEY, "pos", F.stddev("x").over(record).alias("stdev"), F.sum("x").over(record)
-    )
-    got = ft.point_statistics(made, SCALE).select(*RECORD_KEY, "pos", "stdev", "sum")
-    want = {tuple(r)[:4]: tuple(r)[4:] for r in literal.collect()}
-    for r in got.collect():
-        assert tuple(r)[4:] == pytest.approx(want[tuple(r)[:4]], rel=1e-9)
+def test_statistics_in_plain_python(run):
+    values = {}
+    for r in segments.explode_points(run.segments).collect():
+        values.setdefault((r.label, r.id, r.sid), []).append(r.x)
+    for r in ft.point_statistics(run.segments, SCALE).select(*RECORD_KEY, "pos", "stdev", "sum").collect():
+        own = values[r.label, r.id, r.sid]
+        assert r["sum"] == pytest.approx(math.fsum(own), rel=1e-9)
+        if len(own) > 1:
+            assert r.stdev == pytest.approx(statistics.stdev(own), rel=1e-9)

@@ -133,17 +133,14 @@ def test_many_short_records_across_blocks(spark, staging):
         assert r.movingAvg == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
 
 
-@pytest.mark.parametrize("hot_rows", [200, 10_000])
-def test_breakpoints_in_two_steps_keep_the_rank_error(spark, hot_rows):
+def test_breakpoints_keep_the_rank_error(spark):
     n, accuracy = 20_000, 100
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("id"),
         F.pmod(F.hash("id"), F.lit(10_007)).cast("double").alias("movingAvg"),
     ).repartition(16)
     spec = Spec(accuracy=accuracy)
-    sizes = key_sizes(df, ["id"], Scale(hot_rows=hot_rows, hot_keys=1000))
-    assert "b" in [r.id for r in sizes.hot.collect()]
-    got = {r.id: r.quantiles for r in bp.breakpoints(df, spec, sizes).collect()}
+    got = {r.id: r.quantiles for r in bp.breakpoints(df, spec).collect()}
     values = {}
     for r in df.collect():
         values.setdefault(r.id, []).append(r.movingAvg)
@@ -155,13 +152,23 @@ def test_breakpoints_in_two_steps_keep_the_rank_error(spark, hot_rows):
             assert below - m / accuracy <= p * m <= up_to + m / accuracy
 
 
-def test_breakpoints_in_two_steps_with_heavy_ties(spark):
+def test_breakpoints_with_heavy_ties(spark):
     df = spark.range(3000).select(
         F.lit("a").alias("id"), F.when(F.col("id") < 2000, 5.0).otherwise(9.0).alias("movingAvg")
     )
-    sizes = key_sizes(df, ["id"], Scale(hot_rows=10))
-    got = bp.breakpoints(df, SPEC, sizes).first().quantiles
-    assert got == [5.0, 5.0, 5.0, 9.0]
+    assert bp.breakpoints(df, SPEC).first().quantiles == [5.0, 5.0, 5.0, 9.0]
+
+
+def test_letters_are_the_same_at_any_scale(records, points, staging):
+    """One definition of the cuts: no limit of a task changes a letter."""
+    want = fixtures.letters(RECORDS)
+    for scale in (WIDE, TIGHT):
+        made = build("records", records, points, scale, staging)
+        cut = symbols.with_breakpoints(made, SPEC, scale, staging)
+        got = {}
+        for r in symbols.point_symbols(cut, SPEC).collect():
+            got.setdefault((r.id, r.sid), {})[r.pos] = r.SAX
+        assert {k: "".join(v[i] for i in range(len(v))) for k, v in got.items()} == want
 
 
 @pytest.mark.parametrize("scale", [WIDE, TIGHT], ids=["wide", "tight"])
@@ -170,7 +177,7 @@ def test_letters_and_transitions(spark, records, points, staging, kind, scale, m
     # exact cuts for both, so that only the layout differs
     cuts = fixtures.quantiles(RECORDS)
     exact = spark.createDataFrame(list(cuts.items()), "id string, quantiles array<double>")
-    monkeypatch.setattr(symbols, "breakpoints", lambda smoothed, spec, sizes: exact)
+    monkeypatch.setattr(symbols, "breakpoints", lambda smoothed, spec: exact)
     made = build(kind, records, points, scale, staging)
     want = fixtures.letters(RECORDS)
     cut = symbols.with_breakpoints(made, SPEC, scale, staging)

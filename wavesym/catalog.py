@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
@@ -23,8 +24,8 @@ from wavesym.streaming.run import classify_stream
 
 SPEC = Spec()
 SCALE = Scale()
-COHORT = "cast(id as bigint) % 10 = 0"  # the reference cohort; all other ids are subjects
-TEST_IDS = [str(i) for i in range(0, 2000, 7)]
+COHORT = "cast(id as bigint) % 10 = 0"  # the records that templates are made of; all are compared with them
+TEST_RULE = "cast(id as bigint) % 7 = 0"  # which ids test; a rule over all ids
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +80,7 @@ class Run:
 
     def matched(self) -> DataFrame:
         stored = self.segments
-        subjects = self.transitions(stored.filter(f"not ({COHORT})"))
+        subjects = self.transitions(stored)
         return tp.match_templates(subjects, self.templates(stored), self.spec, SCALE)
 
     def distances(self) -> DataFrame:
@@ -88,8 +89,7 @@ class Run:
     def features(self, templates: DataFrame | None = None) -> DataFrame:
         stored = self.segments
         templates = self.templates(stored) if templates is None else templates
-        subjects = stored.filter(f"not ({COHORT})")
-        return batch.features(subjects, templates, self.spec, SCALE, self.staging)
+        return batch.features(stored, templates, self.spec, SCALE, self.staging)
 
 
 def tidy(column: Column) -> Column:
@@ -191,17 +191,16 @@ def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     stored = run.segments
     sizes = key_sizes(stored, ["id"], SCALE, weight="n")
     smoothed = smoothing.moving_average(stored, SPEC, SCALE, run.staging, sizes)
-    return quantile_columns(bp.breakpoints(smoothed, SPEC, sizes))
+    return quantile_columns(bp.breakpoints(smoothed, SPEC))
 
 
 def quantiles_sql(spark: SparkSession, folder: str) -> DataFrame:
-    Run(spark, folder, "events").smoothed().createOrReplaceTempView("smoothed_points")
-    probs = ", ".join(f"{p}D" for p in SPEC.probs)
-    cuts = spark.sql(
-        f"""select id, percentile_approx(movingAvg, array({probs})) as quantiles
-            from smoothed_points group by id order by id"""
-    )
-    return quantile_columns(cuts)
+    """Plain SQL over a view of the smoothed points; the view has a name of its own for each call."""
+    view = f"smoothed_{uuid.uuid4().hex}"
+    Run(spark, folder, "events").smoothed().createOrReplaceTempView(view)
+    names = [f"q{i + 1}" for i in range(len(SPEC.probs))]
+    cuts = ", ".join(f"approx_percentile(movingAvg, {p}D, {SPEC.accuracy}) as {n}" for n, p in zip(names, SPEC.probs))
+    return rounded(spark.sql(f"select id, {cuts} from {view} group by id"), names)
 
 
 def sax_symbols(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +342,7 @@ def labelled_guesses(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_by_id(spark: SparkSession, folder: str) -> DataFrame:
     described = ft.descriptives(tables.event_points(spark, folder))
-    training, testing = evaluation.split_by_id(described.select(*RECORD_KEY), TEST_IDS)
+    training, testing = evaluation.split_by_id(described.select(*RECORD_KEY), F.expr(TEST_RULE))
     return training.withColumn("part", F.lit("training")).unionByName(
         testing.withColumn("part", F.lit("testing"))
     )
@@ -367,7 +366,7 @@ def stored_features(run: Run) -> DataFrame:
 def rf_train(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated accuracy, shape of the forest and importance of each feature."""
     vectors = stored_features(Run(spark, folder, "embeddings"))
-    training, _ = evaluation.split_by_id(vectors, TEST_IDS)
+    training, _ = evaluation.split_by_id(vectors, F.expr(TEST_RULE))
     fitted = model.train(training)
     forest = fitted.bestModel.stages[0]
     names = feature_names(SPEC.word_lengths)
@@ -384,25 +383,25 @@ def rf_train(spark: SparkSession, folder: str) -> DataFrame:
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
     """Train on one side of the split, store the model, load it and score the other side."""
     run = Run(spark, folder, "embeddings")
-    training, testing = evaluation.split_by_id(stored_features(run), TEST_IDS)
+    training, testing = evaluation.split_by_id(stored_features(run), F.expr(TEST_RULE))
     path = run.staging.folder("model")
-    model.save(model.train(training, folds=2), path)
+    model.save(model.train(training), path)
     scored = model.score(model.load(path), testing)
     return scored.select(*RECORD_KEY, "rawPrediction", "probability", "prediction")
 
 
-def trained_classifier(run: Run, test_ids: list[str] | None) -> batch.Classifier:
+def trained_classifier(run: Run, test_ids: Column | None) -> batch.Classifier:
     templates = run.templates(run.segments)
     table = run.features(templates)
     vectors = run.staging.table(ft.feature_vector(table, SPEC), "vectors")
-    training, _ = evaluation.split_by_id(vectors, TEST_IDS)
-    fitted = model.train(training, folds=2)
+    training, _ = evaluation.split_by_id(vectors, F.expr(TEST_RULE))
+    fitted = model.train(training)
     return batch.Classifier(templates, fitted, test_ids, SPEC, SCALE)
 
 
 def pipeline_batch(spark: SparkSession, folder: str) -> DataFrame:
     run = Run(spark, folder, "embeddings")
-    classifier = trained_classifier(run, TEST_IDS)
+    classifier = trained_classifier(run, F.expr(TEST_RULE))
     return batch.run_batch(messages(spark, folder), classifier, run.staging).result
 
 
@@ -417,7 +416,7 @@ def stream_features(spark: SparkSession, folder: str) -> DataFrame:
     stream = records.stream_messages(spark, inbox, files_per_batch=1)
     classify_stream(stream, classifier, output, checkpoint, available_now=True).awaitTermination()
     names = feature_names(SPEC.word_lengths)
-    log = spark.read.parquet(f"{output}/features").filter(f"not ({COHORT})")
+    log = spark.read.parquet(f"{output}/features")
     return rounded(log.select(*RECORD_KEY, *names), names)
 
 

@@ -2,68 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.operators.skew import KeySizes
 from wavesym.settings import Spec
 
-MAX_SALTS = 64
 
+def breakpoints(smoothed: DataFrame, spec: Spec) -> DataFrame:
+    """id, quantiles: one definition for every id, whatever its size.
 
-def breakpoints(smoothed: DataFrame, spec: Spec, sizes: KeySizes) -> DataFrame:
-    """id, quantiles. Map tasks build the digests, so only digests are shuffled.
-
-    A hot id has a digest in almost every map task; those are merged in two steps.
+    Map tasks build the digests, so an id sends one digest of bounded size per task, not its points; merged
+    digests keep the rank error of `spec.accuracy`.
     """
-    hot = sizes.hot
-    if hot is None:
-        return _direct(smoothed, spec)
-    salts = F.least(F.ceil(F.col("n") / sizes.limit), F.lit(MAX_SALTS)).alias("salts")
-    hot_ids = F.broadcast(hot.select("id", salts))
-    cold = _direct(smoothed.join(hot_ids, "id", "left_anti"), spec)
-    return cold.unionByName(_two_steps(smoothed.join(hot_ids, "id"), spec))
-
-
-def _direct(smoothed: DataFrame, spec: Spec) -> DataFrame:
     cuts = F.array(*[F.lit(p) for p in spec.probs])
-    return smoothed.groupBy("id").agg(
-        F.percentile_approx("movingAvg", cuts, spec.accuracy).alias("quantiles")
-    )
-
-
-def _two_steps(smoothed: DataFrame, spec: Spec) -> DataFrame:
-    """First per (id, salt) an even grid of quantiles, then the weighted quantile of the grids.
-
-    `salts` is the number of salts of the id: one for each limit of points it holds, up to a maximum.
-    A grid point stands for 1/(2 accuracy) of its salt's rows and is itself off by at most
-    1/(4 accuracy): together half of the rank error that the one-step digest allows.
-    """
-    grid = 2 * spec.accuracy
-    # one literal instead of an expression per grid point
-    middles = F.split(F.lit(",".join(str((i + 0.5) / grid) for i in range(grid))), ",")
-    middles = middles.cast("array<double>")
-    per_salt = (
-        smoothed.select("id", "movingAvg", "salts", F.spark_partition_id().alias("task"))
-        .groupBy("id", F.pmod(F.hash("task"), F.col("salts")).alias("salt"))
-        .agg(
-            F.percentile_approx("movingAvg", middles, 4 * spec.accuracy).alias("grid"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .select("id", (F.col("n") / grid).alias("weight"), F.explode("grid").alias("v"))
-    )
-    # at most MAX_SALTS * grid rows per id from here on
-    by_id = Window.partitionBy("id")
-    up_to = by_id.orderBy("v").rangeBetween(Window.unboundedPreceding, 0)
-    ranked = per_salt.select(
-        "id",
-        "v",
-        (F.sum("weight").over(up_to) / F.sum("weight").over(by_id)).alias("rank"),
-    )
-    # sums of weights are off by a few ulps: half a grid point of slack keeps p itself included
-    slack = 1.0 / (4 * grid * MAX_SALTS)
-    return ranked.groupBy("id").agg(
-        F.array(
-            *[F.min(F.when(F.col("rank") >= p - slack, F.col("v"))) for p in spec.probs]
-        ).alias("quantiles")
-    )
+    return smoothed.groupBy("id").agg(F.percentile_approx("movingAvg", cuts, spec.accuracy).alias("quantiles"))

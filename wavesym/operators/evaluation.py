@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavesym.functions.columns import ratio
@@ -46,8 +46,11 @@ def metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def split_by_id(features: DataFrame, test_ids: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(training, testing) by membership of id; a null id is in neither. Labels become int."""
-    labelled = features.withColumn("label", F.col("label").try_cast("int"))
-    is_test = F.col("id").isin(test_ids)
+def split_by_id(features: DataFrame, test_ids: list[str] | Column) -> tuple[DataFrame, DataFrame]:
+    """(training, testing) by membership of id, or by a condition on it; a null id is in neither.
+
+    An empty list puts every row with an id in training. Labels become int.
+    """
+    labelled = features.filter("id is not null").withColumn("label", F.col("label").try_cast("int"))
+    is_test = test_ids if isinstance(test_ids, Column) else F.col("id").isin(test_ids)
     return labelled.filter(~is_test), labelled.filter(is_test)

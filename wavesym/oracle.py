@@ -6,7 +6,7 @@ the merge of word lengths is the literal many-to-many join.
 
 from __future__ import annotations
 
-from wavesym.catalog import COHORT, TEST_IDS
+from wavesym.catalog import COHORT
 
 LETTERS = "ABCDE"
 
@@ -73,7 +73,7 @@ _SQUARES = " + ".join(f"(p{c} - r{c}) * (p{c} - r{c})" for c in LETTERS)
 
 DISTANCES = f"""d as (
   select label, id, sid, word_length, seq, sqrt({_SQUARES}) as dist
-  from t join tpl using (word_length, seq) where not ({COHORT}))"""
+  from t join tpl using (word_length, seq))"""
 
 # literally: every distance of length 6 with every distance of length 7 of the same record
 MERGED = """merged as (
@@ -150,7 +150,6 @@ def _sql() -> dict[str, str]:
         f"round(coalesce({n}, cast('nan' as double)) + 1e-9, 6) as f{i + 1}"
         for i, n in enumerate([*_NAMES, "dist6", "dist7"])
     )
-    tests = ", ".join(f"'{i}'" for i in TEST_IDS)
     return {
         "ingest_records": _with(EMBEDDINGS, kinds)
         + "select label, id, sid, pos, x from vec where kind not in (1, 2, 3, 4)",
@@ -234,7 +233,7 @@ from d, c""",
         "template_match": _with(EVENTS, *compared)
         + f"""select label, id, sid, word_length, seq as "SEQ", {probs},
              {", ".join(f'round(r{c} + 1e-9, 6) as "t{c}"' for c in LETTERS)}
-             from t join tpl using (word_length, seq) where not ({COHORT})""",
+             from t join tpl using (word_length, seq)""",
         "template_distance": _with(LINEITEM, *compared, DISTANCES)
         + """select label, id, sid, word_length, seq as "SEQ", hex(seq) as "HEX",
              round(dist + 1e-9, 6) as dist from d""",
@@ -257,7 +256,7 @@ from d, c""",
         "split_by_id": f"""
 select distinct cast(user_id % 2 as int) as label, cast(user_id as varchar) as id,
        event_type as sid,
-       case when cast(user_id as varchar) in ({tests}) then 'testing' else 'training' end as part
+       case when cast(user_id as bigint) % 7 = 0 then 'testing' else 'training' end as part
 from events""",
         "confusion": _with(GUESSES) + CELLS.format(group=""),
         "metrics": _with(GUESSES, "c as (" + CELLS.format(group="") + ")")

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.ml.tuning import CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from wavesym.operators.evaluation import confusion, metrics, split_by_id
 from wavesym.operators.features import (
@@ -65,7 +65,7 @@ class Classifier:
 
     templates: DataFrame
     model: CrossValidatorModel
-    test_ids: list[str] | None = None  # None: score every record
+    test_ids: list[str] | Column | None = None  # None: score every record
     spec: Spec = field(default_factory=Spec)
     scale: Scale = field(default_factory=Scale)
 
@@ -88,7 +88,7 @@ def run_batch(
     )
     vectors = feature_vector(table, spec)
     # with an empty list of test ids every record with an id is on the first side
-    rest, chosen = split_by_id(vectors, classifier.test_ids or [])
+    rest, chosen = split_by_id(vectors, [] if classifier.test_ids is None else classifier.test_ids)
     predictions = score(classifier.model, rest if classifier.test_ids is None else chosen)
     row = metrics(confusion(predictions)).first()
     now = time.time()
