@@ -9,6 +9,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="wavesym-bench-"))
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
