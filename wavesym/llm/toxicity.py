@@ -102,10 +102,10 @@ def count_grams(texts: DataFrame, ranges: int) -> DataFrame:
                     continue
                 codes, some = _distinct(word_hashes(data, starts, ends, fold=True))
                 group = groups[first:last][rows]
-                table = np.bincount(codes * len(COUNTS) + group, minlength=len(some) * len(COUNTS)).reshape(-1, len(COUNTS))
+                table = np.bincount(codes * len(COUNTS) + group, minlength=len(some) * len(COUNTS)).reshape(-1, len(COUNTS)).astype(np.int32)
                 grams, word = word_grams(data, starts[some], ends[some])
                 parts.append(_add_up(grams, table[word]))
-                if len(parts) == 8:
+                if len(parts) == 3:
                     parts = [_add_up(*(np.concatenate(x) for x in zip(*parts)))]
         if parts:
             keys, counts = _add_up(*(np.concatenate(x) for x in zip(*parts)))
