@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from wavesym.catalog import QUERIES
+from wavesym.catalog import QUERIES, batch_output
 
 HEADLINE = [
     "ingest_records",
@@ -59,7 +59,7 @@ def main() -> None:
         seconds[name] = round(time.time() - started, 3)
         if name == "pipeline_batch":
             # one row: the time from messages to metrics, without training
-            row = result.first()
+            row = batch_output(spark, folder).result.first()
             batch = {"seconds": round(row.duration_s, 3), "records": row.n_records}
         print(f"{name}: {seconds[name]}", file=sys.stderr)
     scale = re.search(r"sf([0-9.]+)", folder)

@@ -153,6 +153,27 @@ def test_decode(spark, text, reason, values):
         assert row.data == values
 
 
+def test_rejects_keep_their_text_and_need_no_second_read(spark, staging, tmp_path):
+    lines = [message(id="a"), message(id="a"), "garbage", message(id="b", data="1,x")]
+    (tmp_path / "in.txt").write_text("\n".join(lines))
+    _, bad = ingest(read_messages(spark, str(tmp_path)), SPEC, SCALE, staging)
+    assert sorted((r.reason, r.text) for r in bad.collect()) == [
+        ("bad_json", "garbage"), ("bad_number", "1,x"), ("duplicate_key", "1,2"), ("duplicate_key", "1,2")
+    ]
+    assert all(staging.path in path for path in bad.inputFiles())
+
+
+def test_points_of_two_labels_are_left_out(spark, staging):
+    rows = [("01"[t % 2], "i", "s", t, 1.0) for t in range(10)]
+    rows += [(None if t else "1", "j", "s", t, 1.0) for t in range(3)]
+    rows += [("1", "k", "s", t, float(t)) for t in range(4)] + [(None, "l", "s", 0, 2.0)]
+    points = spark.createDataFrame(rows, "label string, id string, sid string, t long, x double")
+    for scale in (SCALE, Scale(broadcast_rows=0, hot_rows=3, segment=64)):
+        made = segments.segments_of_points(points, ["t"], SPEC, scale, staging)
+        got = sorted((r.id, r.pos, r.x) for r in segments.explode_points(made).collect())
+        assert got == [("k", 0, 0.0), ("k", 1, 1.0), ("k", 2, 2.0), ("k", 3, 3.0), ("l", 0, 2.0)]
+
+
 def test_arrays_and_blank_messages(spark):
     two = f'[{message(id="a")}, {message(id="b")}]'
     df = spark.createDataFrame([(two,), ("",), ("  ",), (message(id="c"),), ("[1",)], "value string")
@@ -181,7 +202,7 @@ def test_a_bad_record_does_not_fail_the_batch(spark, staging, tmp_path):
         assert {r.id: r.n for r in points} == {"a": 2, "e": 9000}
         reasons = sorted((r.reason, r.id or "", r.text or "") for r in bad.collect())
         assert reasons == [
-            ("bad_json", "", ""),
+            ("bad_json", "", "{"),
             ("bad_number", "b", "1,x"),
             ("duplicate_key", "c", "1,2"),
             ("duplicate_key", "c", "9"),

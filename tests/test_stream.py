@@ -65,6 +65,18 @@ def test_stream_equals_batch(spark, run, classifier, messages):
     messages.limit(20).coalesce(1).write.mode("append").text(inbox)
     stream(spark, classifier, inbox, output, checkpoint)
     assert results.read_log(spark, f"{output}/results", RESULT).count() == 4
+    assert all(r.duration_s >= r.ingest_s + r.features_s + r.score_s > 0 for r in rows)
+    scored = spark.read.parquet(f"{output}/predictions").filter("batch_id < 3")
+    assert scored.count() == len(want) and scored.filter("prediction is null").count() == 0
+    assert spark.read.parquet(f"{output}/rejects").count() == 0
+
+
+def test_transitions_are_a_sink_if_asked_for(run, classifier, messages):
+    done = batch.run_batch(messages, classifier, run.staging, keep_transitions=True)
+    want = run.transitions().select(done.transitions.columns)
+    assert done.transitions.count() == want.count() > 0
+    assert done.transitions.exceptAll(want).count() == 0
+    assert batch.run_batch(messages, classifier, run.staging).transitions is None
 
 
 def test_empty_batches_leave_no_result(spark, run, classifier, tmp_path):
@@ -99,7 +111,7 @@ def test_an_id_in_two_batches_has_two_sets_of_breakpoints(spark, run, classifier
 def test_replayed_batches_replace_themselves(spark, run):
     path = run.staging.folder("log")
     for batch_id, value in ((0, 0.1), (1, 0.2), (1, 0.3)):
-        row = spark.createDataFrame([(batch_id, 5, 1.0, 1, 0, value, value, value, value)], RESULT)
+        row = spark.createDataFrame([(batch_id, 5, 1.0, 0.5, 0.3, 0.2, 1, 0, *[value] * 4)], RESULT)
         results.write_batch(row, path, batch_id)
     log = results.read_log(spark, path, RESULT).orderBy("batch_id").collect()
     assert [(r.batch_id, r.accuracy) for r in log] == [(0, 0.1), (1, 0.3)]
@@ -147,3 +159,5 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(Session("local[2]")) == shared_folder(Session("local[8]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("local-cluster[2,1,1024]"))

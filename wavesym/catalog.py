@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,8 +141,19 @@ def ingest_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     _, bad = records.ingest(flawed_messages(spark, folder), SPEC, SCALE, Staging(spark))
-    return bad.groupBy("reason").agg(
-        F.count(F.lit(1)).alias("n"), F.count("id").alias("n_id"), F.count("sid").alias("n_sid")
+    return described_rejects(bad)
+
+
+def described_rejects(bad: DataFrame) -> DataFrame:
+    """The rejects with their texts taken apart, so that engines need not write numbers alike."""
+    parts = F.split("text", ",")
+    return bad.select(
+        "reason",
+        *RECORD_KEY,
+        F.when(F.col("reason") == "bad_json", F.col("text")).alias("message"),
+        F.size(parts).cast("long").alias("n_parts"),
+        tidy(F.get(parts, F.lit(0)).try_cast("double")).alias("first"),
+        F.when(F.col("reason") == "bad_number", F.element_at(parts, -1)).alias("last"),
     )
 
 
@@ -164,15 +176,30 @@ def schema_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def result_sink(spark: SparkSession, folder: str) -> DataFrame:
-    """Three batches of results in a log, the second delivered twice."""
-    path = Staging(spark).folder("log")
+    """Three batches of results in a log, the second delivered twice, and the latest on its own."""
+    staging = Staging(spark)
+    log, latest = staging.folder("log"), staging.folder("latest")
+    guesses = staging.table(labelled_guesses(spark, folder), "guesses")
     for batch_id in (0, 1, 1, 2):
-        part = labelled_guesses(spark, folder).filter(F.col("id").cast("bigint") % 3 == batch_id)
-        row = evaluation.metrics(evaluation.confusion(part))
-        results.write_batch(row.withColumn("batch_id", F.lit(batch_id)), path, batch_id)
-    log = results.read_log(spark, path, RESULT)
+        part = guesses.filter(F.col("id").cast("bigint") % 3 == batch_id)
+        row = staging.table(evaluation.metrics(evaluation.confusion(part)), "result")
+        results.write_batch(row, log, batch_id)
+        results.write_latest(row.withColumn("batch_id", F.lit(batch_id).cast("long")), latest)
     names = ["accuracy", "sensitivity", "specificity", "f1"]
-    return rounded(log.select("batch_id", *names), names)
+    sinks = {"log": results.read_log(spark, log, RESULT), "latest": spark.read.parquet(latest)}
+    both = [df.select(F.lit(sink).alias("sink"), "batch_id", *names) for sink, df in sinks.items()]
+    return rounded(both[0].unionByName(both[1]), names)
+
+
+def transition_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Transition tables of three batches of records, the second delivered twice."""
+    run = Run(spark, folder, "events")
+    path = run.staging.folder("sink")
+    for batch_id in (0, 1, 1, 2):
+        part = run.segments.filter(F.col("id").cast("bigint") % 3 == batch_id)
+        results.write_batch(run.transitions(part), path, batch_id)
+    stored = spark.read.parquet(path)
+    return stored.withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
 # ---- points, smoothing, letters ---------------------------------------------------------------
@@ -260,8 +287,8 @@ def template_read(spark: SparkSession, folder: str) -> DataFrame:
     built = tp.build_templates(run.transitions(run.segments.filter(COHORT)), SPEC).drop("weight")
     path = run.staging.folder("collection")
     stored = built.withColumn("_id", F.sha2(F.concat("word_length", "SEQ"), 256))
-    for a in SPEC.word_lengths:
-        tp.write_templates(stored.filter(F.col("word_length") == a), path)
+    for a in (*SPEC.word_lengths, SPEC.word_lengths[-1]):  # a batch for each length, the last one twice
+        tp.write_templates(stored.filter(F.col("word_length") == a), path, batch_id=a)
     return rounded(tp.read_templates(spark, path, SPEC), list(SPEC.letters)).drop("weight")
 
 
@@ -285,8 +312,7 @@ def merge_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 def distance_reduce(spark: SparkSession, folder: str) -> DataFrame:
     distances = Run(spark, folder, "events").distances()
-    reduced = (F.sqrt(F.sum("dist")) / F.count("id")).alias("dist")
-    return rounded(distances.groupBy(*RECORD_KEY, "word_length").agg(reduced), ["dist"])
+    return rounded(ft.reduced_distances(distances), ["dist"])
 
 
 def distance_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -311,7 +337,7 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     names = feature_names(SPEC.word_lengths)
     table = Run(spark, folder, "lineitem").features()
     # of the order of 1e9: six digits are beyond what a double holds
-    variance = F.round(F.col("variance") + 1e-3, 0).alias("variance")
+    variance = F.round(F.col("variance") + 1e-5, 3).alias("variance")
     return table.select(
         *RECORD_KEY, *[variance if n == "variance" else tidy(F.col(n)).alias(n) for n in names]
     )
@@ -364,30 +390,39 @@ def stored_features(run: Run) -> DataFrame:
 
 
 def rf_train(spark: SparkSession, folder: str) -> DataFrame:
-    """Cross-validated accuracy, shape of the forest and importance of each feature."""
+    """What the rows and parameters of the training fix in the fitted forest; the rest is random."""
     vectors = stored_features(Run(spark, folder, "embeddings"))
     training, _ = evaluation.split_by_id(vectors, F.expr(TEST_RULE))
     fitted = model.train(training)
     forest = fitted.bestModel.stages[0]
-    names = feature_names(SPEC.word_lengths)
     rows = [
-        ("accuracy", float(fitted.avgMetrics[0])),
+        ("training_rows", float(training.count())),
         ("folds", float(fitted.getNumFolds())),
         ("trees", float(forest.getNumTrees)),
+        ("depth", float(forest.getMaxDepth())),
         ("features", float(forest.numFeatures)),
-        *[(f"importance_{n}", float(v)) for n, v in zip(names, forest.featureImportances)],
+        ("importances", round(float(sum(forest.featureImportances)), 6)),
+        ("accuracy_is_a_share", float(0 <= fitted.avgMetrics[0] <= 1)),
     ]
     return spark.createDataFrame(rows, "name string, value double")
 
 
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Train on one side of the split, store the model, load it and score the other side."""
+    """Train on one side of the split, store the model, load it and score the other side.
+
+    Of the scores it returns what holds for any forest: they sum to one, and the largest decides.
+    """
+    from pyspark.ml.functions import vector_to_array
+
     run = Run(spark, folder, "embeddings")
     training, testing = evaluation.split_by_id(stored_features(run), F.expr(TEST_RULE))
     path = run.staging.folder("model")
     model.save(model.train(training), path)
     scored = model.score(model.load(path), testing)
-    return scored.select(*RECORD_KEY, "rawPrediction", "probability", "prediction")
+    shares = vector_to_array("probability")
+    decided = F.get(shares, F.col("prediction").cast("int")) == F.array_max(shares)
+    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
+    return scored.select(*RECORD_KEY, tidy(total).alias("total"), decided.alias("largest_decides"))
 
 
 def trained_classifier(run: Run, test_ids: Column | None) -> batch.Classifier:
@@ -399,27 +434,51 @@ def trained_classifier(run: Run, test_ids: Column | None) -> batch.Classifier:
     return batch.Classifier(templates, fitted, test_ids, SPEC, SCALE)
 
 
-def pipeline_batch(spark: SparkSession, folder: str) -> DataFrame:
+def batch_output(spark: SparkSession, folder: str) -> batch.BatchOutput:
     run = Run(spark, folder, "embeddings")
     classifier = trained_classifier(run, F.expr(TEST_RULE))
-    return batch.run_batch(messages(spark, folder), classifier, run.staging).result
+    return batch.run_batch(flawed_messages(spark, folder), classifier, run.staging)
 
 
-def stream_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Features of all records, from a stream of message files taken one file per batch."""
+def pipeline_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch with spoilt messages: its counts, and whether its metrics are shares."""
+    done = batch_output(spark, folder)
+    scored = done.predictions.agg(F.count(F.lit(1)).alias("n_scored"))
+    share = F.col("accuracy").between(0, 1).alias("accuracy_is_a_share")
+    return done.result.select("batch_id", "n_records", "n_rejects", share).join(F.broadcast(scored))
+
+
+def streamed(spark: SparkSession, folder: str, texts: DataFrame) -> str:
+    """The folder in which a stream of messages leaves its outputs, after some four batches of files.
+
+    Equal messages are in one file.
+    """
     run = Run(spark, folder, "embeddings")
     inbox, output, checkpoint = (
         run.staging.folder(n) for n in ("inbox", "output", "checkpoint")
     )
-    messages(spark, folder).repartition(4).write.text(inbox)
+    part = F.pmod(F.xxhash64("value"), F.lit(4)).alias("part")
+    texts.select("value", part).repartition("value").write.partitionBy("part").text(inbox)
+    files = len(spark.read.text(inbox).inputFiles())
     classifier = trained_classifier(run, None)
-    stream = records.stream_messages(spark, inbox, files_per_batch=1)
+    stream = records.stream_messages(spark, inbox, files_per_batch=max(1, ceil(files / 4)))
     classify_stream(stream, classifier, output, checkpoint, available_now=True).awaitTermination()
+    return output
+
+
+def stream_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of all records, from a stream of messages."""
     names = feature_names(SPEC.word_lengths)
-    log = spark.read.parquet(f"{output}/features")
+    log = spark.read.parquet(f"{streamed(spark, folder, messages(spark, folder))}/features")
     return rounded(log.select(*RECORD_KEY, *names), names)
 
 
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream of messages sets aside."""
+    output = streamed(spark, folder, flawed_messages(spark, folder))
+    return described_rejects(spark.read.parquet(f"{output}/rejects"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -428,6 +487,7 @@ QUERIES: dict[str, Query] = {
         batch_profile,
         schema_profile,
         result_sink,
+        transition_sink,
         explode_points,
         moving_average,
         quantile_breakpoints,
@@ -459,5 +519,6 @@ QUERIES: dict[str, Query] = {
         rf_score,
         pipeline_batch,
         stream_features,
+        stream_rejects,
     )
 }

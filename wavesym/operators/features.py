@@ -73,6 +73,12 @@ def distance_sums(distances: DataFrame, spec: Spec) -> DataFrame:
     return distances.groupBy(*RECORD_KEY).agg(*columns)
 
 
+def reduced_distances(distances: DataFrame) -> DataFrame:
+    """Per record and word length sqrt(sum) / count of its distances; a weight counts as that many rows."""
+    total, n = F.sum(F.col("dist") * F.col("weight")), F.sum("weight")
+    return distances.groupBy(*RECORD_KEY, "word_length").agg((F.sqrt(total) / n).alias("dist"))
+
+
 def merge_lengths(sums: DataFrame, spec: Spec) -> DataFrame:
     """Totals over all combinations of a record's distances, one of each word length.
 

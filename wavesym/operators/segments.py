@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.operators.skew import KeySizes, positions, totals
+from wavesym.operators.skew import KeySizes, join_per_key, positions, totals
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
@@ -67,18 +67,34 @@ def segments_of_records(
     return _with_ends(cut, spec, also)
 
 
+def labelled_sizes(points: DataFrame) -> DataFrame:
+    """id, sid, n and `mixed`: has the record more than one label (a null counts as one)?"""
+    n, labels = F.count(F.lit(1)), F.count("label")
+    one = (labels == 0) | ((labels == n) & (F.min("label") == F.max("label")))
+    return points.groupBy("id", "sid").agg(n.alias("n"), (~one).alias("mixed"))
+
+
 def segments_of_points(
     points: DataFrame, order: list[str], spec: Spec, scale: Scale, staging: Staging
 ) -> DataFrame:
     """Gather single points (label, id, sid, x and the columns of `order`) into segments.
 
+    A record has one label; those of which `labelled_sizes` says otherwise are left out whole.
     A point close to a border is sent to the neighbouring segment as well; no task ever holds more
     of a record than one segment, or more of it in a window than `Scale.hot_rows`.
     """
     k, reach, size = spec.lookback, spec.reach, scale.segment
     if size < k + reach:
         raise ValueError("a segment must be longer than lookback + reach")
-    placed = positions(points, ["id", "sid"], order, "pos", scale, staging)
+    key = ["id", "sid"]
+    records = staging.table(labelled_sizes(points), "records")
+    sizes = totals(records.select(*key, "n"), key, scale)
+    mixed = records.filter("mixed").select(*key)
+    n_mixed = mixed.count()
+    if n_mixed:
+        points = join_per_key(points, mixed, sizes, order, "left_anti", small_rows=n_mixed)
+        sizes = totals(records.filter("not mixed").select(*key, "n"), key, scale)
+    placed = positions(points, key, order, "pos", scale, staging, sizes=sizes)
     at = F.col("pos") % size
     own = F.floor(F.col("pos") / size)
     wanted = (

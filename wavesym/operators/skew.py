@@ -91,10 +91,12 @@ def positions(
     scale: Scale,
     staging: Staging,
     cold: bool = False,
+    sizes: KeySizes | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row inside its group; `group` holds no nulls.
 
-    `cold` says that no group is known to be hot; otherwise the groups are counted first.
+    `cold` says that no group is known to be hot; otherwise the groups are counted first,
+    unless their `sizes` are given.
     Ordinary groups take one window. Rows of hot groups are sorted across tasks by range, numbered
     inside each range, and moved up by the rows of their group in earlier ranges. Rows that are
     equal in group and order, in whatever number, are told apart by their place in `df`.
@@ -103,7 +105,7 @@ def positions(
     number = (F.row_number().over(inside).cast("long") - 1).alias(name)
     if cold:
         return df.select("*", number)
-    sizes = key_sizes(df, group, scale)
+    sizes = sizes or key_sizes(df, group, scale)
     hot = sizes.hot
     if hot is None:
         return df.select("*", number)

@@ -28,13 +28,14 @@ def build_templates(transitions: DataFrame, spec: Spec, mode: str = "pooled") ->
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def write_templates(templates: DataFrame, path: str, mode: str = "append") -> None:
-    templates.write.mode(mode).partitionBy("word_length").parquet(path)
+def write_templates(templates: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Add the templates of a batch to a collection; writing the same batch again replaces it."""
+    templates.write.mode("overwrite").partitionBy("word_length").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_templates(spark: SparkSession, path: str, spec: Spec) -> DataFrame:
-    """A stored collection, without its `_id`; nulls are zeros, a row without weight counts once."""
-    stored = spark.read.parquet(path).drop("_id")
+    """A stored collection, without its `_id` and batches; nulls are zeros, a row without weight counts once."""
+    stored = spark.read.parquet(path).drop("_id", "batch_id")
     if "weight" not in stored.columns:
         stored = stored.withColumn("weight", F.lit(1).cast("long"))
     return stored.na.fill(0.0, subset=list(spec.letters))

@@ -98,6 +98,20 @@ stats as (
          any_value(m.variance) as variance, any_value(m.sum) as sum, any_value(m.range) as range
   from pts join m using (label, id, sid) group by m.label, m.id, m.sid)"""
 
+# each kind of spoilt message, with its text taken apart; copies are rejected twice
+REJECTS = """
+with k as (select vec_id % 97 as kind, *, unnest(range(1 + cast(vec_id % 97 = 4 as int))) as copy from embeddings)
+select case kind when 1 then 'bad_json' when 2 then 'bad_number' when 3 then 'null_key'
+                 else 'duplicate_key' end as reason,
+       case when kind > 1 then cast(label % 2 as varchar) end as label,
+       case when kind > 1 then cast(vec_id as varchar) end as id,
+       case when kind in (2, 4) then 'w0' end as sid,
+       case when kind = 1 then 'not json ' || vec_id end as message,
+       case kind when 1 then 1 when 2 then len(embedding) + 1 else len(embedding) end as n_parts,
+       case when kind > 1 then round(cast(embedding[1] as double) + 1e-9, 6) end as "first",
+       case when kind = 2 then 'x' end as "last"
+from k where kind in (1, 2, 3, 4)"""
+
 _NAMES = ["mean", "min", "max", "stdev", "kurt", "skew", "variance", "sum", "range"]
 
 GUESSES = """g as (
@@ -144,7 +158,7 @@ def _sql() -> dict[str, str]:
     prefix = "label, sid, id, s1, s2, s3, s4, s5"
     kinds = "vec as (select *, cast(id as bigint) % 97 as kind from pts)"
     features = f"""select label, id, sid, {_rounded([n for n in _NAMES if n != 'variance'])},
-      round(variance + 1e-3, 0) as variance, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7
+      round(variance + 1e-5, 3) as variance, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7
       from stats join dist using (label, id, sid)"""
     numbered = ", ".join(
         f"round(coalesce({n}, cast('nan' as double)) + 1e-9, 6) as f{i + 1}"
@@ -153,14 +167,8 @@ def _sql() -> dict[str, str]:
     return {
         "ingest_records": _with(EMBEDDINGS, kinds)
         + "select label, id, sid, pos, x from vec where kind not in (1, 2, 3, 4)",
-        "ingest_rejects": """
-with k as (select vec_id % 97 as kind, 1 + cast(vec_id % 97 = 4 as int) as copies from embeddings)
-select case kind when 1 then 'bad_json' when 2 then 'bad_number' when 3 then 'null_key'
-                 else 'duplicate_key' end as reason,
-       cast(sum(copies) as bigint) as n,
-       cast(sum(case when kind = 1 then 0 else copies end) as bigint) as n_id,
-       cast(sum(case when kind in (1, 3) then 0 else copies end) as bigint) as n_sid
-from k where kind in (1, 2, 3, 4) group by kind""",
+        "ingest_rejects": REJECTS,
+        "stream_rejects": REJECTS,
         "batch_profile": """
 with k as (select vec_id % 97 as kind, len(embedding) as n,
                   1 + cast(vec_id % 97 = 4 as int) as copies from embeddings)
@@ -186,10 +194,14 @@ from d, c""",
             "c as ("
             + CELLS.format(group="cast(id as bigint) % 3 as batch_id,")
             + " group by cast(id as bigint) % 3)",
+            "sinks as (select 'log' as sink, * from c union all select 'latest', * from c where batch_id = 2)",
         )
-        + f"""select batch_id, round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
+        + f"""select sink, batch_id, round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
         round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
-        round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
+        round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from sinks""",
+        "transition_sink": _with(EVENTS, *to_sax, all_transitions())
+        + f"""select cast(id as bigint) % 3 as batch_id, label, sid, id, word_length, {probs}, seq as "SEQ",
+             hex(seq) as "HEX" from t""",
         "explode_points": _with(LINEITEM) + "select label, id, sid, pos, x from pts",
         "moving_average": _with(LINEITEM, SMOOTH)
         + 'select label, id, sid, pos, x, round(ma + 1e-9, 6) as "movingAvg" from ma',
@@ -266,6 +278,21 @@ from events""",
         round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as recall,
         round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
         round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
+        "rf_train": _with(EMBEDDINGS, *compared, DISTANCES, MERGED)
+        + f"""select 'training_rows' as name, cast(count(*) as double) as value from dist
+        where cast(id as bigint) % 7 <> 0
+        union all values ('folds', 10.0), ('trees', 40.0), ('depth', 5.0), ('features', {len(_NAMES) + 2}.0),
+        ('importances', 1.0), ('accuracy_is_a_share', 1.0)""",
+        "rf_score": _with(EMBEDDINGS, *compared, DISTANCES, MERGED)
+        + """select cast(label as int) as label, id, sid, cast(1.0 as double) as total, true as largest_decides
+        from dist where cast(id as bigint) % 7 = 0""",
+        "pipeline_batch": _with(EMBEDDINGS, kinds, *compared, DISTANCES, MERGED)
+        + """select cast(0 as bigint) as batch_id, true as accuracy_is_a_share,
+        (select count(distinct id) from vec where kind not in (1, 2, 3, 4)) as n_records,
+        (select count(distinct id) + count(distinct id) filter (where kind = 4)
+         from vec where kind in (1, 2, 3, 4)) as n_rejects,
+        (select count(*) from dist where cast(id as bigint) % 7 = 0
+         and cast(id as bigint) % 97 not in (1, 2, 3, 4)) as n_scored""",
         "stream_features": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, STATS)
         + f"""select label, id, sid, {_rounded([*_NAMES, 'dist6', 'dist7'])}
         from stats join dist using (label, id, sid)""",

@@ -50,10 +50,19 @@ def distances(
 
 
 def features(
-    segments: DataFrame, templates: DataFrame, spec: Spec, scale: Scale, staging: Staging
+    segments: DataFrame,
+    templates: DataFrame,
+    spec: Spec,
+    scale: Scale,
+    staging: Staging,
+    transition: DataFrame | None = None,
 ) -> DataFrame:
-    """The feature table of stored segments, against stored templates."""
-    transition = transition_table(segments, spec, scale, staging)
+    """The feature table of stored segments, against stored templates.
+
+    `transition` is their transition table, where it is there already.
+    """
+    if transition is None:
+        transition = transition_table(segments, spec, scale, staging)
     return feature_table(
         descriptives(values(segments)), distances(transition, templates, spec, scale), spec
     )
@@ -74,35 +83,53 @@ class Classifier:
 class BatchOutput:
     features: DataFrame
     predictions: DataFrame
+    rejects: DataFrame  # label, id, sid, text, reason
     result: DataFrame  # one row, schema RESULT
+    transitions: DataFrame | None = None  # only if asked for
 
 
 def run_batch(
-    messages: DataFrame, classifier: Classifier, staging: Staging, batch_id: int = 0
+    messages: DataFrame,
+    classifier: Classifier,
+    staging: Staging,
+    batch_id: int = 0,
+    keep_transitions: bool = False,
 ) -> BatchOutput:
+    """`keep_transitions` stores the transition table of every record, for a sink of its own."""
     started = time.time()
     spec, scale = classifier.spec, classifier.scale
     segments, rejects = ingest(messages, spec, scale, staging)
+    ingested = time.time()
+    transition = None
+    if keep_transitions:
+        transition = staging.table(transition_table(segments, spec, scale, staging), "transitions")
     table = staging.table(
-        features(segments, classifier.templates, spec, scale, staging), "features"
+        features(segments, classifier.templates, spec, scale, staging, transition), "features"
     )
+    described = time.time()
     vectors = feature_vector(table, spec)
     # with an empty list of test ids every record with an id is on the first side
     rest, chosen = split_by_id(vectors, [] if classifier.test_ids is None else classifier.test_ids)
     predictions = score(classifier.model, rest if classifier.test_ids is None else chosen)
     row = metrics(confusion(predictions)).first()
+    scored = time.time()
+    n_records, n_rejects = segments.filter("start = 0").count(), rejects.count()
     now = time.time()
     result = [
         (
             batch_id,
             int(now * 1000),
             now - started,
-            segments.filter("start = 0").count(),
-            rejects.count(),
+            ingested - started,
+            described - ingested,
+            scored - described,
+            n_records,
+            n_rejects,
             row.accuracy,
             row.sensitivity,
             row.specificity,
             row.f1,
         )
     ]
-    return BatchOutput(table, predictions, messages.sparkSession.createDataFrame(result, RESULT))
+    result = messages.sparkSession.createDataFrame(result, RESULT)
+    return BatchOutput(table, predictions, rejects, result, transition)

@@ -23,7 +23,10 @@ RESULT = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
         T.StructField("epoch_ms", T.LongType()),
-        T.StructField("duration_s", T.DoubleType()),
+        T.StructField("duration_s", T.DoubleType()),  # of which, by stage:
+        T.StructField("ingest_s", T.DoubleType()),
+        T.StructField("features_s", T.DoubleType()),
+        T.StructField("score_s", T.DoubleType()),
         T.StructField("n_records", T.LongType()),
         T.StructField("n_rejects", T.LongType()),
         T.StructField("accuracy", T.DoubleType()),

@@ -30,7 +30,7 @@ def stream_messages(
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """label, id, sid, data as text; numbers become text, malformed JSON a row of nulls.
+    """label, id, sid, data as text, and the whole `message`; numbers become text, malformed JSON nulls.
 
     As in Spark's JSON reader, a message that is an array holds several records, and a blank one none.
     """
@@ -38,27 +38,32 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     several = F.from_json(value, T.ArrayType(MESSAGE), {"mode": "PERMISSIVE"})
     return (
         messages.filter(F.length(F.trim(value)) > 0)
-        .select(F.explode_outer(several).alias("m"))
-        .select("m.*")
+        .select(value.alias("message"), F.explode_outer(several).alias("m"))
+        .select("m.*", "message")
     )
 
 
 def decode(parsed: DataFrame) -> DataFrame:
-    """label, id, sid, text, data, reason; `reason` is null for a usable record."""
-    fields = MESSAGE.names
+    """label, id, sid, text, data, reason; `reason` is null for a usable record.
+
+    `text` is the series as it came, or the whole message where no field could be read.
+    """
+    no_field = F.coalesce(*MESSAGE.names).isNull()
     series = parsed.select(
-        *RECORD_KEY, F.col("data").alias("text"), parse_series(F.col("data")).alias("data")
+        *RECORD_KEY,
+        F.when(no_field, F.col("message")).otherwise(F.col("data")).alias("text"),
+        parse_series(F.col("data")).alias("data"),
+        no_field.alias("unread"),
     )
-    no_field = F.coalesce(*[F.col("text" if f == "data" else f) for f in fields]).isNull()
     no_key = F.col("label").isNull() | F.col("id").isNull() | F.col("sid").isNull()
     reason = (
-        F.when(no_field, "bad_json")
+        F.when(F.col("unread"), "bad_json")
         .when(no_key, "null_key")
         .when(F.col("text").isNull(), "null_data")
         .when(F.exists("data", lambda e: e.isNull()), "bad_number")
         .when(F.size("data") == 0, "no_points")
     )
-    return series.withColumn("reason", reason)
+    return series.withColumn("reason", reason).drop("unread")
 
 
 def ingest(
@@ -66,33 +71,25 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame]:
     """(segments, rejects): segments of the usable records, and label, id, sid, text, reason.
 
-    Messages are parsed once and written once, as segments with the rejects among them. The check
-    for repeated (id, sid) then reads the key columns only.
+    Messages are read and parsed once and written once: segments, of which the first of a record
+    keeps its text, and the rejects among them. All later passes read columns of that table.
     """
     decoded = decode(parse_messages(messages))
-    # a usable record keeps its points, a reject its text
-    either = decoded.withColumns(
-        {
-            "data": F.when(F.col("reason").isNull(), F.col("data")),
-            "text": F.when(F.col("reason").isNotNull(), F.col("text")),
-        }
-    )
-    table = staging.table(
-        segments_of_records(either, spec, scale, ["text", "reason"]), "ingested"
-    )
-    usable = table.filter("reason is null").drop("text", "reason")
+    usable = decoded.withColumn("data", F.when(F.col("reason").isNull(), F.col("data")))
+    cut = segments_of_records(usable, spec, scale, ["text", "reason"])
+    first = F.coalesce("start", F.lit(0)) == 0  # a reject has no start
+    table = staging.table(cut.withColumn("text", F.when(first, F.col("text"))), "ingested")
+    kept = table.filter("reason is null").drop("text", "reason")
     rejects = table.filter("reason is not null").select(*RECORD_KEY, "text", "reason")
 
     key = ["id", "sid"]
-    sizes = key_sizes(usable.filter("start = 0"), key, scale)
+    sizes = key_sizes(kept.filter("start = 0"), key, scale)
     if sizes.largest <= 1:
-        return usable, rejects
-    repeated = sizes.table.filter("n > 1").select(*key)
+        return kept, rejects
+    repeated = staging.table(sizes.table.filter("n > 1").select(*key), "repeated")
     n = repeated.count()
-    kept = join_per_key(usable, repeated, sizes, None, "left_anti", small_rows=n)
-    # whole texts: only the repeated messages are taken from the source again
-    again = decoded.filter("reason is null").select(*RECORD_KEY, "text")
-    dropped = join_per_key(again, repeated, sizes, None, "left_semi", small_rows=n)
-    return kept, rejects.unionByName(
-        dropped.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
-    )
+    whole = table.filter("reason is null and start = 0").select(*RECORD_KEY, "text")
+    copies = join_per_key(whole, repeated, sizes, None, "left_semi", small_rows=n)
+    copies = copies.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
+    kept = join_per_key(kept, repeated, sizes, None, "left_anti", small_rows=n)
+    return kept, rejects.unionByName(copies)

@@ -22,15 +22,22 @@ def classify_stream(
     checkpoint: str,
     interval: str = "5 seconds",
     available_now: bool = False,
+    transitions: bool = False,
 ) -> StreamingQuery:
-    """Start the query; writes `features`, `results` (per batch) and `latest` below `output`."""
+    """Start the query. Below `output` it writes `features`, `predictions`, `rejects` and `results` by
+    batch, `transitions` too if asked for, and the `latest` result on its own.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         with Staging(batch.sparkSession) as staging:
-            done = run_batch(batch, classifier, staging, batch_id)
+            done = run_batch(batch, classifier, staging, batch_id, transitions)
             write_batch(done.features, f"{output}/features", batch_id)
+            write_batch(done.predictions, f"{output}/predictions", batch_id)
+            write_batch(done.rejects, f"{output}/rejects", batch_id)
+            if done.transitions is not None:
+                write_batch(done.transitions, f"{output}/transitions", batch_id)
             write_batch(done.result, f"{output}/results", batch_id)
             write_latest(done.result, f"{output}/latest")
 
