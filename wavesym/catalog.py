@@ -337,7 +337,7 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     names = feature_names(SPEC.word_lengths)
     table = Run(spark, folder, "lineitem").features()
     # of the order of 1e9: six digits are beyond what a double holds
-    variance = F.round(F.col("variance") + 1e-5, 3).alias("variance")
+    variance = F.round(F.col("variance") + 1e-4, 2).alias("variance")
     return table.select(
         *RECORD_KEY, *[variance if n == "variance" else tidy(F.col(n)).alias(n) for n in names]
     )

@@ -158,7 +158,7 @@ def _sql() -> dict[str, str]:
     prefix = "label, sid, id, s1, s2, s3, s4, s5"
     kinds = "vec as (select *, cast(id as bigint) % 97 as kind from pts)"
     features = f"""select label, id, sid, {_rounded([n for n in _NAMES if n != 'variance'])},
-      round(variance + 1e-5, 3) as variance, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7
+      round(variance + 1e-4, 2) as variance, round(dist6 + 1e-9, 6) as dist6, round(dist7 + 1e-9, 6) as dist7
       from stats join dist using (label, id, sid)"""
     numbered = ", ".join(
         f"round(coalesce({n}, cast('nan' as double)) + 1e-9, 6) as f{i + 1}"
