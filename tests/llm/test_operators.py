@@ -14,7 +14,7 @@ from wavesym.llm import secret_scan
 from wavesym.llm.catalog import tokenizer_path
 from wavesym.llm.decontaminate import closest, contaminated, most_edits
 from wavesym.llm.exact import CountingQuotientFilter, exact_duplicates
-from wavesym.llm.minhash import near_duplicates
+from wavesym.llm.minhash import MinHash, near_duplicates
 from wavesym.llm.packing import pack, plan, sequences
 from wavesym.llm.quality import quality
 from wavesym.llm.secret_scan import secrets
@@ -51,8 +51,28 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
 
 
-def test_near_duplicates_against_all_pairs(docs):
-    rows = near_rows()
+def template_rows(edits, copy_at, every):
+    """Texts of one template, few of them linked, most of them in the same buckets."""
+    rng = random.Random(1)
+    template, rows = [f"t{k}" for k in range(200)], []
+    for k in range(120):
+        own = list(template)
+        for at in rng.sample(range(200), edits):
+            own[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(own)))
+    for k in range(0, 120, every):  # a near copy of some
+        own = rows[k][1].split()
+        for at in copy_at:
+            own[at] = f"copy{k}x{at}"
+        rows.append((1000 + k, " ".join(own)))
+    return rows
+
+
+HOT = template_rows(4, [100], 15), MinHash(85, 100, 4, 1)
+
+
+@pytest.mark.parametrize("rows,spec", [(near_rows(), MinHash()), HOT], ids=["mixed", "hot"])
+def test_near_duplicates_against_all_pairs(docs, rows, spec):
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -63,10 +83,10 @@ def test_near_duplicates_against_all_pairs(docs):
 
     for a in sets:
         for b in sets:
-            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and spec.den * len(sets[a] & sets[b]) >= spec.num * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs(rows)).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs(rows), spec).collect()}
     assert got == {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
 
 

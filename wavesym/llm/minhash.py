@@ -4,9 +4,9 @@ One hash of the shingles splits its range into bins; a bin's least value is its
 empty bin takes the entry of a filled one that its own probe sequence finds (optimal densification). Bands of
 entries name buckets. A bucket links its members to one centre, a star, and links are confirmed on the full
 sets. A member that the centre turns down may still be linked to another member, so a bucket whose members have
-not come together goes on with another centre. After FIRST_ROUNDS the members of buckets still open get new,
-narrower buckets, of keys of TIGHT_ROWS entries, in which almost only texts that are linked meet; these go on
-until none is open, or QUIET rounds have brought no two components together.
+not come together goes on with another centre. After FIRST_ROUNDS the members of buckets still open are joined
+on their rare shingles, which finds every linked pair among them: of two sets that are linked, each has one of
+the common shingles among its rarest, so many of them as the other may lack and one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavesym.llm.components import components
@@ -40,8 +40,8 @@ class MinHash:
 
 
 PROBES = 64
-FIRST_ROUNDS, QUIET = 2, 2
-TIGHT_BANDS, TIGHT_ROWS = 96, 16
+FIRST_ROUNDS = 2
+BLOCK = 1000  # holders of a shingle that meet in one place; more are dealt in blocks, and blocks meet by two
 
 
 class Signer:
@@ -51,10 +51,6 @@ class Signer:
         self.edges = (np.arange(bins, dtype=np.uint64) * U64(2**64 // bins)).astype(np.uint64)
         self.place = mix(np.arange(1, spec.rows + 1, dtype=np.uint64)) | U64(1)
         self.band = mix(np.arange(1001, 1001 + spec.bands, dtype=np.uint64))
-        random = np.random.default_rng(bins)
-        self.tight = np.stack([random.choice(bins, min(TIGHT_ROWS, bins), replace=False) for _ in range(TIGHT_BANDS)])
-        self.tight_place = mix(np.arange(51, 51 + self.tight.shape[1], dtype=np.uint64)) | U64(1)
-        self.tight_band = mix(np.arange(5001, 5001 + TIGHT_BANDS, dtype=np.uint64))
         self.probe_tables: list[np.ndarray] = []
 
     def _probes(self, k: int) -> np.ndarray:
@@ -86,11 +82,6 @@ class Signer:
         return mix((parts * self.place).sum(axis=1, dtype=np.uint64) ^ self.band)
 
 
-    def tight_buckets(self, ordered: np.ndarray) -> np.ndarray:
-        parts = self.signature(ordered)[self.tight]
-        return mix((parts * self.tight_place).sum(axis=1, dtype=np.uint64) ^ self.tight_band)
-
-
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Ascending distinct shingle hashes of each text; A-Z count as a-z."""
     starts, ends, rows = word_bounds(data, bounds)
@@ -139,22 +130,36 @@ def _confirm(pairs: DataFrame, sets: DataFrame, spec: MinHash) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", linked.alias("linked")).groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _tight(sets: DataFrame, spec: MinHash) -> DataFrame:
-    """rep, n, buckets of TIGHT_ROWS entries."""
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(spec)
-        for batch in batches:
-            for low in range(0, len(batch), 1000):
-                part = batch.slice(low, 1000)
-                found = [x.values.to_numpy().view(np.uint64) for x in part.column("shingles")]
-                keys = [signer.tight_buckets(np.sort(x)).view(np.int64) for x in found]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rep"), pa.array([len(x) for x in found], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["rep", "n", "buckets"],
-                )
+def _rare_pairs(sets: DataFrame, spec: MinHash, work: Work) -> DataFrame:
+    """a, b: pairs of different components of sets (rep, shingles, component), every linked pair among them.
 
-    return sets.select("rep", "shingles").mapInArrow(sign, "rep long, n long, buckets array<long>")
+    Shingles are ranked by the number of sets that have them, rarest first, ties by value: one order for all
+    sets. Of sizes n and m a linked pair has `least` shingles in common, so the first of these has at most
+    n - least shingles before it in one set and m - least in the other.
+    """
+    set_of = F.xxhash64("shingles").alias("set")  # tells apart the texts of one id
+    each = sets.select("rep", "component", set_of, F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count("*").alias("held"))
+    rank = F.row_number().over(Window.partitionBy("rep", "set").orderBy("held", "shingle")) - 1
+    # the smallest partner allowed has num / den of the n shingles, all of them common
+    ranked = each.join(held.filter("held > 1"), "shingle", "left").fillna(1, ["held"]).withColumn("rank", rank)
+    early = work.table(ranked.filter((F.col("held") > 1) & (spec.den * F.col("rank") <= (spec.den - spec.num) * F.col("n"))), "early", "zstd")
+    several = early.groupBy("shingle").agg(F.count("*").alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    several = several.filter("lo < hi").select("shingle", F.ceil(F.col("held") / BLOCK).alias("blocks"))
+    early = early.join(several, "shingle").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    early = early.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    first, second = F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second")
+    dealt = work.table(early.select("shingle", first, second, "own", "rep", "component", "n", "rank"), "rare", "zstd")
+    key = ["shingle", "first", "second"]
+    one = dealt.select(*key, *(F.col(c).alias(f"{c}_a") for c in ("own", "rep", "component", "n", "rank")))
+    two = dealt.select(*(F.col(c).alias(f"{c}_b") for c in (*key, "own", "rep", "component", "n", "rank")))
+    n, m = F.col("n_a"), F.col("n_b")
+    room = F.least(n - F.col("rank_a"), m - F.col("rank_b"))  # common shingles there can be from here on
+    meet = F.expr("shingle = shingle_b and first = first_b and second = second_b and rep_a < rep_b and component_a <> component_b")
+    meet &= (F.col("first") == F.col("second")) | (F.col("own_a") != F.col("own_b"))
+    meet &= spec.den * F.least(n, m) >= spec.num * F.greatest(n, m)
+    meet &= (spec.num + spec.den) * room >= spec.num * (n + m)
+    return one.join(two, meet).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def _shared(spread: DataFrame) -> DataFrame:
@@ -170,8 +175,7 @@ def _links(reps: DataFrame, texts: DataFrame, spec: MinHash, work: Work) -> Data
     members = active.select(F.col("rep").alias("doc_id")).distinct()
     sets = work.table(_sets(texts.join(members, "doc_id")), "sets", "zstd")
     found = tried = None
-    quiet = rounds = 0
-    while True:
+    for rounds in range(FIRST_ROUNDS):
         # one centre for each bucket, another one each round
         order = F.struct((F.xxhash64("rep", F.lit(rounds)) if rounds else F.col("rep")).alias("order"), "rep", "n", "component")
         stars = work.table(active.groupBy("bucket").agg(F.min(order).alias("c")), "centres")
@@ -183,27 +187,29 @@ def _links(reps: DataFrame, texts: DataFrame, spec: MinHash, work: Work) -> Data
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         done = work.table(_confirm(pairs, sets, spec), "tried")
         tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
-        links = done.filter("linked").select("a", "b")
-        brought = not links.isEmpty()
-        if brought or found is None:
-            known = links if found is None else links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            found = components(known, work)
-        rounds, quiet = rounds + 1, 0 if brought else quiet + 1
-        if rounds > FIRST_ROUNDS and quiet >= QUIET:
-            return found
+        found = _joined(found, done.filter("linked").select("a", "b"), work)
         used = stars.select("bucket", F.col("c.rep").alias("rep"))
         rest = active.drop("component").join(used, ["bucket", "rep"], "left_anti").join(found.withColumnRenamed("node", "rep"), "rep", "left")
         rest = work.table(rest.withColumn("component", F.coalesce("component", "rep")), "members")
         still = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-        active = rest.join(still, "bucket")
-        if rounds == FIRST_ROUNDS:
-            names = rest.join(still, "bucket").select("rep").distinct()
-            narrow = _shared(_tight(sets.join(names, "rep"), spec).select("rep", "n", F.explode("buckets").alias("bucket")))
-            active = narrow.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        active = work.table(active.select("rep", "n", "bucket", "component"), "members")
+        active = work.table(rest.join(still, "bucket").select("rep", "n", "bucket", "component"), "members")
         work.drop(rest)
         if active.isEmpty():
             return found
+    # two that share an open bucket are both among its members
+    open_sets = sets.join(active.select("rep", "component").distinct(), "rep")
+    pairs = _rare_pairs(open_sets, spec, work).join(tried, ["a", "b"], "left_anti")
+    done = work.table(_confirm(pairs, sets, spec), "tried")
+    return _joined(found, done.filter("linked").select("a", "b"), work)
+
+
+def _joined(found: DataFrame | None, links: DataFrame, work: Work) -> DataFrame:
+    """node, component with the links (a, b) added."""
+    if found is None:
+        return components(links, work)
+    if links.isEmpty():
+        return found
+    return components(links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), work)
 
 
 def near_duplicates(docs: DataFrame, spec: MinHash = MinHash(), work: Work | None = None) -> DataFrame:
