@@ -69,9 +69,10 @@ def template_rows(edits, copy_at, every):
 
 
 HOT = template_rows(4, [100], 15), MinHash(85, 100, 4, 1)
+BARELY = template_rows(4, [20, 70, 120, 170, 199], 1), MinHash(80, 100, 6, 1)  # pairs at 0.81
 
 
-@pytest.mark.parametrize("rows,spec", [(near_rows(), MinHash()), HOT], ids=["mixed", "hot"])
+@pytest.mark.parametrize("rows,spec", [(near_rows(), MinHash()), HOT, BARELY], ids=["mixed", "hot", "barely"])
 def test_near_duplicates_against_all_pairs(docs, rows, spec):
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
