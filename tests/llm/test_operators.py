@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wavesym.llm import secret_scan
@@ -21,7 +22,7 @@ from wavesym.llm.secret_scan import secrets
 from wavesym.llm.store import open_read, open_write
 from wavesym.llm.substrings import chains, shared_passages
 from wavesym.llm.token_blocks import ShardReader, ShardWriter, token_files
-from wavesym.llm.toxicity import toxicity
+from wavesym.llm.toxicity import MODELS, ratios_of, toxicity, write_shards
 from wavesym.llm.warc import BundleReader, BundleWriter, archive, parse, record
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -337,3 +338,16 @@ def test_classifiers_on_rows_they_have_not_seen(spark, docs, kind):
     assert sum(r.predicted == truth[r.doc_id] for r in unseen) >= 0.95 * len(unseen)
     assert score(docs([]), table).collect() == []
     assert {r.score for r in score(docs(all_rows), table.limit(0)).collect()} == {0.0}
+
+
+def test_the_scoring_table_keeps_every_key(spark, tmp_path):
+    n = 40_000  # of which some 190 would share one of 2**22 slots
+    key = F.when(F.col("id") < n, (F.col("id") + 1) * 1_000_003).otherwise(-(F.col("id") - n) * 77 - 1)
+    table = spark.range(2 * n).select(key.alias("key"), *(F.col("id").cast("float").alias(m) for m in MODELS))
+    write_shards(table, 2 * n, str(tmp_path / "ratios"))
+    grams = (np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(1_000_003)
+    assert (ratios_of(grams, str(tmp_path / "ratios"))[:, 0] == np.arange(n)).all()
+    unseen = (np.arange(n, dtype=np.uint64) * np.uint64(77) << np.uint64(8)) | np.uint64(255)
+    unseen = unseen[~np.isin(unseen, grams)]
+    want = (unseen >> np.uint64(8)) // np.uint64(77) + np.uint64(n)
+    assert (ratios_of(unseen, str(tmp_path / "ratios"))[:, 0] == want).all()

@@ -28,7 +28,9 @@ from wavesym.llm.text import U64, mix, slices, word_bounds, word_hashes
 
 HEAD, ORDER = 8, 5
 DISCOUNT = 0.75
-SLOTS = 1 << 22  # of the scoring table: a slot keeps its weightiest gram
+SHARD = 1 << 20  # keys of a file of the scoring table, about
+HELD = 1 << 22  # keys that a worker keeps between chunks; files beyond are read again
+CHUNK = 16  # slices of texts that are scored with one pass over the table
 SAMPLE = 20_000  # labelled rows that the logistic curve is fitted on
 WINDOW = 8  # words
 COUNTS = ("ord0", "ord1", "tox0", "tox1", "other")
@@ -141,7 +143,7 @@ def shared_model(grams: DataFrame) -> DataFrame:
 
 
 def log_ratios(grams: DataFrame) -> DataFrame:
-    """key, weight and a log ratio per model: of grams that a class has seen, and of contexts for unseen grams.
+    """key and a log ratio per model: of grams that a class has seen, and of contexts for unseen grams.
 
     What a class saved by discounts it spreads by `shared`, the same for both; so for a gram that neither class
     has seen the ratio is that of the saved shares, which depends on the context alone. Keys of contexts are
@@ -167,88 +169,123 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     weight = F.col("ord_all") + F.col("tox_all")
     own = seen.join(contexts, "context").filter(weight > 0)
     own = own.select(
-        F.col("gram").alias("key"), weight.alias("weight"), *(F.log(chance("tox", m) / chance("ord", m)).cast("float").alias(m) for m in MODELS)
+        F.col("gram").alias("key"), *(F.log(chance("tox", m) / chance("ord", m)).cast("float").alias(m) for m in MODELS)
     )
     total = F.col("sum_ord_all") + F.col("sum_tox_all")
     unseen = contexts.filter(total > 0).select(
-        (-F.col("context") - 1).alias("key"), total.alias("weight"), *(F.log(saved("tox", m) / saved("ord", m)).cast("float").alias(m) for m in MODELS)
+        (-F.col("context") - 1).alias("key"), *(F.log(saved("tox", m) / saved("ord", m)).cast("float").alias(m) for m in MODELS)
     )
     return own.union(unseen)
 
 
-def fill_slots(ratios: DataFrame) -> DataFrame:
-    """The scoring table, bounded by SLOTS whatever the corpus holds."""
-    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
-    best = F.max(F.struct("weight", "key", *MODELS)).alias("best")
-    return ratios.groupBy(slot.alias("slot")).agg(best).select("best.key", *(f"best.{m}" for m in MODELS))
+def write_shards(ratios: DataFrame, most: int, folder: str) -> None:
+    """The scoring table, every key of it, dealt over files; `most` keys at most."""
+    ratios.repartition(1 + most // SHARD, "key").sortWithinPartitions("key").write.parquet(folder)
 
 
-@lru_cache(maxsize=1)
-def _scoring_table(folder: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending keys and their ratios per model; read once per worker."""
+_held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _shards(folder: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ascending keys and their ratios per model, a file at a time; a worker keeps the first HELD keys."""
     import pyarrow.parquet as pq
 
+    filesystem, _ = filesystem_of(folder)
+    names = _listed(folder)
+    for name in [n for n in _held if n not in names]:
+        del _held[name]
+    for name in names:
+        if name in _held:
+            yield _held[name]
+            continue
+        table = pq.read_table(name, filesystem=filesystem)
+        shard = table.column("key").to_numpy(), np.stack([table.column(m).to_numpy() for m in MODELS], axis=1)
+        if sum(len(k) for k, _ in _held.values()) + len(shard[0]) <= HELD:
+            _held[name] = shard
+        yield shard
+
+
+@lru_cache(maxsize=1)
+def _listed(folder: str) -> tuple[str, ...]:
     from pyarrow.fs import FileSelector
 
     filesystem, path = filesystem_of(folder)
-    names = sorted(f.path for f in filesystem.get_file_info(FileSelector(path)) if f.path.endswith(".parquet"))
-    table = pa.concat_tables([pq.read_table(n, filesystem=filesystem) for n in names])
-    keys = table.column("key").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], np.stack([table.column(m).to_numpy()[order] for m in MODELS], axis=1)
+    return tuple(sorted(f.path for f in filesystem.get_file_info(FileSelector(path)) if f.path.endswith(".parquet")))
 
 
-def _ratios_of(grams: np.ndarray, keys: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-    def find(wanted: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, at, -1)
+def ratios_of(grams: np.ndarray, folder: str) -> np.ndarray:
+    """Of distinct grams, by their own keys, else by those of their contexts, else 0."""
+    wanted = grams.view(np.int64)
+    contexts, context = np.unique((grams >> U64(8)).view(np.int64), return_inverse=True)
+    out, spare = (np.zeros((len(x), len(MODELS)), np.float32) for x in (wanted, contexts))
+    seen = np.zeros(len(wanted), bool)
 
-    if not len(keys):
-        return np.zeros((len(grams), len(MODELS)))
-    distinct, place = np.unique(grams.view(np.int64), return_inverse=True)
-    at = find(distinct)
-    contexts = (distinct.view(np.uint64) >> U64(8)).view(np.int64)
-    at = np.where(at >= 0, at, find(-contexts - 1))
-    return np.where((at >= 0)[:, None], ratios[at], 0.0)[place]
+    def find(x: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == x)
+        return hit, at[hit]
+
+    for keys, ratios in _shards(folder):
+        if len(keys):
+            hit, at = find(wanted, keys)
+            out[hit], seen[hit] = ratios[at], True
+            hit, at = find(-contexts - 1, keys)
+            spare[hit] = ratios[at]
+    return np.where(seen[:, None], out, spare[context])
 
 
 FEATURES, WORST = 4, 5
 
 
+def _scores(chunk: list[tuple], folder: str) -> Iterator[pa.RecordBatch]:
+    every = np.unique(np.concatenate([part[5] for part in chunk]))
+    found = ratios_of(every, folder)
+    for names, codes, rows, sizes, edges, distinct, place in chunk:
+        n = len(names)
+        out = np.zeros((n, len(MODELS), FEATURES))
+        if len(codes):
+            own = found[np.searchsorted(every, distinct)].astype(np.float64)[place]
+            per_word = np.add.reduceat(own, edges, axis=0)[codes]
+            cuts = np.searchsorted(rows, np.arange(n + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            lengths = np.add.reduceat(sizes.astype(np.float64), cuts[:-1][full])
+            out[full, :, 0] = np.add.reduceat(per_word, cuts[:-1][full], axis=0) / lengths[:, None]
+            sums = np.concatenate([np.zeros((1, len(MODELS))), np.cumsum(per_word, axis=0)])
+            bytes_ = np.concatenate([[0.0], np.cumsum(sizes, dtype=np.float64)])
+            stop = np.minimum(np.arange(len(rows)) + WINDOW, cuts[rows + 1])
+            begin = np.maximum(stop - WINDOW, cuts[rows])
+            windows = (sums[stop] - sums[begin]) / (bytes_[stop] - bytes_[begin])[:, None]
+            out[full, :, 1] = np.maximum.reduceat(windows, cuts[:-1][full], axis=0)
+            out[full, :, 2] = np.maximum.reduceat(per_word, cuts[:-1][full], axis=0)
+            for k in range(len(MODELS)):
+                worst = np.lexsort((-per_word[:, k], rows))  # rows stay in place, the worst words first
+                among = np.arange(len(rows)) - cuts[rows] < WORST
+                out[:, k, 3] = np.bincount(rows[among], per_word[worst, k][among], n) / WORST
+        columns = [pa.array(out[:, k].tolist(), pa.list_(pa.float64())) for k in range(len(MODELS))]
+        yield pa.RecordBatch.from_arrays([names, *columns], ["doc_id", *MODELS])
+
+
 def measure(texts: DataFrame, folder: str) -> DataFrame:
     """doc_id and FEATURES log ratios for each model: per byte of the whole text and of the worst window; of the
     worst word; mean of the WORST worst words."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ratios = _scoring_table(folder)
+        chunk: list[tuple] = []
         for batch in batches:
             for first, last, data, bounds in slices(batch.column("text")):
-                n = last - first
-                out = np.zeros((n, len(MODELS), FEATURES))
                 starts, ends, rows = word_bounds(data, bounds)
-                if len(starts):
-                    codes, some = _distinct(word_hashes(data, starts, ends, fold=True))
-                    grams, word = word_grams(data, starts[some], ends[some])
-                    edges = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-                    per_word = np.add.reduceat(_ratios_of(grams, keys, ratios), edges, axis=0)[codes]
-                    sizes = (ends - starts + 1).astype(np.float64)
-                    cuts = np.searchsorted(rows, np.arange(n + 1))
-                    full = np.flatnonzero(np.diff(cuts))
-                    lengths = np.add.reduceat(sizes, cuts[:-1][full])
-                    out[full, :, 0] = np.add.reduceat(per_word, cuts[:-1][full], axis=0) / lengths[:, None]
-                    sums = np.concatenate([np.zeros((1, len(MODELS))), np.cumsum(per_word, axis=0)])
-                    bytes_ = np.concatenate([[0.0], np.cumsum(sizes)])
-                    stop = np.minimum(np.arange(len(starts)) + WINDOW, cuts[rows + 1])
-                    begin = np.maximum(stop - WINDOW, cuts[rows])
-                    windows = (sums[stop] - sums[begin]) / (bytes_[stop] - bytes_[begin])[:, None]
-                    out[full, :, 1] = np.maximum.reduceat(windows, cuts[:-1][full], axis=0)
-                    out[full, :, 2] = np.maximum.reduceat(per_word, cuts[:-1][full], axis=0)
-                    for k in range(len(MODELS)):
-                        worst = np.lexsort((-per_word[:, k], rows))  # rows stay in place, the worst words first
-                        among = np.arange(len(rows)) - cuts[rows] < WORST
-                        out[:, k, 3] = np.bincount(rows[among], per_word[worst, k][among], n) / WORST
-                columns = [pa.array(out[:, k].tolist(), pa.list_(pa.float64())) for k in range(len(MODELS))]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[first:last], *columns], ["doc_id", *MODELS])
+                codes, some = _distinct(word_hashes(data, starts, ends, fold=True))
+                grams, word = word_grams(data, starts[some], ends[some])
+                edges = np.flatnonzero(np.diff(word, prepend=-1))
+                distinct, place = np.unique(grams, return_inverse=True)
+                sizes = (ends - starts + 1).astype(np.int32)
+                parts = codes.astype(np.int32), rows.astype(np.int32), sizes, edges, distinct, place.astype(np.int32)
+                chunk.append((batch.column("doc_id")[first:last], *parts))
+                if len(chunk) == CHUNK:
+                    yield from _scores(chunk, folder)
+                    chunk = []
+        if chunk:
+            yield from _scores(chunk, folder)
 
     return texts.select("doc_id", "text").mapInArrow(score, "doc_id long, " + ", ".join(f"{m} array<double>" for m in MODELS))
 
@@ -289,8 +326,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, work: Work | None = None) -> Da
     group = F.coalesce(F.when(F.col("toxic") > 0, 2 + fold).otherwise(F.when(F.col("toxic").isNotNull(), fold)), F.lit(4))
     ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grams = work.table(count_grams(texts.join(taught, "doc_id", "left").withColumn("group", group), ranges), "grams", "zstd")
-    table = work.folder("slots")
-    fill_slots(log_ratios(grams)).write.parquet(table)
+    table = work.folder("ratios")
+    write_shards(log_ratios(grams), 2 * grams.count(), table)  # a gram and its context at most
     work.drop(grams)
     measured = work.table(measure(texts, table), "measured")
 
