@@ -8,6 +8,7 @@ from dataclasses import replace
 from functools import cached_property
 from math import ceil
 
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -407,18 +408,21 @@ def rf_train(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, value double")
 
 
-def rf_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Train on one side of the split, store the model, load it and score the other side.
-
-    Of the scores it returns what holds for any forest: they sum to one, and the largest decides.
-    """
-    from pyspark.ml.functions import vector_to_array
-
+def forest_scores(spark: SparkSession, folder: str) -> tuple[CrossValidatorModel, DataFrame]:
+    """Train on one side of the split, store the model, load it and score the other side: the model and all scores."""
     run = Run(spark, folder, "embeddings")
     training, testing = evaluation.split_by_id(stored_features(run), F.expr(TEST_RULE))
     path = run.staging.folder("model")
     model.save(model.train(training), path)
-    scored = model.score(model.load(path), testing)
+    loaded = model.load(path)
+    return loaded, model.score(loaded, testing)
+
+
+def rf_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the scores, what holds for any forest and SQL can state: they sum to one, and the largest decides."""
+    from pyspark.ml.functions import vector_to_array
+
+    _, scored = forest_scores(spark, folder)
     shares = vector_to_array("probability")
     decided = F.get(shares, F.col("prediction").cast("int")) == F.array_max(shares)
     total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
