@@ -79,7 +79,14 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return shared_passages(table(spark, folder, "documents"))
 
 
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from wavesym.llm.prefix_trie import branch_from_base, prefix_trie as trie, turn_sequences
+
+    return trie(branch_from_base(turn_sequences(table(spark, folder, "conversations"))))
+
+
 QUERIES = {
+    "op11_prefix_trie": prefix_trie,
     "op3_substring_dedup": substring_dedup,
     "op6_warc_bundles": warc_bundles,
     "op5_decontamination": decontamination,

@@ -62,7 +62,66 @@ select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_diges
 from held
 """
 
+PREFIX_TRIE = """
+with own as (
+    select conv_id, octet_length(encode(coalesce(text, ''))) as bytes,
+           md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+           row_number() over (
+               partition by conv_id
+               order by turn nulls first, coalesce(role, ''),
+                        md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+    from conversations where conv_id is not null
+),
+convs as (
+    select conv_id,
+           xor(list_reduce(
+               list_prepend(4294967295::bigint, list_transform(range(1, length(conv_id::varchar) + 1), lambda p: ascii(substr(cast(conv_id as varchar), p, 1))::bigint)),
+               lambda a, b: list_reduce(
+                   list_prepend(xor(a, b), range(8)),
+                   lambda v, k: xor(v >> 1, case when v % 2 = 1 then 3988292384 else 0 end))), 4294967295) % 9 as h
+    from (select distinct conv_id from own)
+),
+rebuilt as (
+    select c.conv_id, o.pos, o.id, o.bytes from convs c join own o on o.conv_id = c.conv_id - c.conv_id % 5 and o.pos <= c.h
+    union all
+    select c.conv_id, o.pos - c.h + least(c.h, coalesce(b.n, 0)), o.id, o.bytes
+    from convs c join own o on o.conv_id = c.conv_id and o.pos > c.h
+    left join (select conv_id, count(*) as n from own group by conv_id) b on b.conv_id = c.conv_id - c.conv_id % 5
+),
+prefixes as (
+    select conv_id, pos as depth, bytes, md5(string_agg(id, '') over (partition by conv_id order by pos)) as node
+    from rebuilt
+    union all
+    select conv_id, 0, 0, '' from convs
+),
+lengths as (select conv_id, max(depth) as n from prefixes group by conv_id),
+nodes as (
+    select node, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes
+    from prefixes group by node
+),
+tree as (
+    select n.*, p.node as parent from nodes n left join prefixes p on p.conv_id = n.conv_id and p.depth = n.depth - 1
+),
+children as (select parent as node, count(*) as n from tree where parent is not null group by parent),
+sums as (
+    select p.node, count(*) filter (c.n is null) as n_leaves, sum((t.n_convs - 1) * t.bytes) as saved
+    from tree t left join children c on c.node = t.node
+    join prefixes p on p.conv_id = t.conv_id and p.depth <= t.depth
+    group by p.node
+),
+ended as (
+    select p.node, string_agg(p.conv_id::varchar, ',' order by p.conv_id) as ids
+    from prefixes p join lengths l on l.conv_id = p.conv_id and l.n = p.depth
+    group by p.node
+)
+select t.conv_id, t.depth::bigint as depth, u.conv_id as parent_conv_id, t.n_convs, coalesce(c.n, 0) as n_children,
+       s.n_leaves, s.saved::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from tree t left join nodes u on u.node = t.parent left join children c on c.node = t.node
+join sums s on s.node = t.node left join ended e on e.node = t.node
+"""
+
 ORACLE_SQL = {
+    "op11_prefix_trie": PREFIX_TRIE,
     "op1_minhash_near_dedup": MINHASH_NEAR_DEDUP,
     "op6_warc_bundles": WARC_BUNDLES,
     "op10_exact_dedup": EXACT_DEDUP,
