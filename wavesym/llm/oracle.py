@@ -120,7 +120,71 @@ from tree t left join nodes u on u.node = t.parent left join children c on c.nod
 join sums s on s.node = t.node left join ended e on e.node = t.node
 """
 
+PHRASE_MINING = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+    select lang, k, w[i:i + k - 1] as g
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from worded, (select unnest(range(1, 6)) as k))
+),
+f as (select lang, k, array_to_string(g, ' ') as phrase, count(*) as f from grams group by all),
+totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 100),
+cuts as (
+    select c.lang, c.phrase, c.a, cut, x.f as l, y.f as r, t.n,
+           (1000::hugeint * c.a * t.n) // (x.f::hugeint * y.f) as score
+    from (select *, unnest(range(1, k)) as cut from candidates) c
+    join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+    join totals t on t.lang = c.lang
+),
+least as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+held as (
+    select distinct c.lang, c.phrase
+    from candidates c join candidates b on b.lang = c.lang and b.k > c.k
+    where contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ') and 100 * b.a >= 100 * c.a
+),
+ranked as (
+    select s.*, row_number() over (partition by s.lang order by s.score desc, s.a desc, encode(s.phrase)) as rank
+    from least s left join held h on h.lang = s.lang and h.phrase = s.phrase
+    where h.phrase is null
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked where rank <= 2000
+"""
+
+CHAT_FORMATTING = """
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all
+    select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+),
+controls as (
+    select unnest(['<|turn|>', '<|says|>', '<|end|>', '</s>', '<s>', '[INST]', '[/INST]', '<|endoftext|>', '\u241b']) as c
+),
+sized as (
+    select *, length(role) + length(text) + 8 + 8 + 7
+           + (select sum((length(role || ' ' || text) - length(replace(role || ' ' || text, c, ''))) // length(c))::bigint
+              from controls) as size
+    from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), ''))
+           as loss_sha256,
+       sum(size)::bigint as formatted_chars
+from sized group by conv_id
+"""
+
 ORACLE_SQL = {
+    "op13_chat_formatting": CHAT_FORMATTING,
+    "op12_phrase_mining": PHRASE_MINING,
     "op11_prefix_trie": PREFIX_TRIE,
     "op1_minhash_near_dedup": MINHASH_NEAR_DEDUP,
     "op6_warc_bundles": WARC_BUNDLES,

@@ -144,11 +144,10 @@ def burst(entries: DataFrame, limit: int, work: Work) -> tuple[DataFrame, DataFr
     A container of one sequence never bursts. Every burst takes a container to the turn where its sequences
     part, so rounds go with the number of partings above a sequence, not with its length.
     """
-    empty = F.lit(b"")
     open_ = entries.select(
         "*",
         F.lit(0).alias("depth"),
-        empty.alias("key"),
+        F.substring("seq", 1, 0).alias("key"),  # no literal: joins on it are equi-joins
         F.array().cast("array<binary>").alias("path"),
         F.lit(None).cast("long").alias("above"),
     )
