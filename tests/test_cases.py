@@ -49,7 +49,7 @@ def test_ramp(spark, staging):
     smoothed = smoothing.moving_average(made, SPEC, SCALE, staging)
     means = [r.movingAvg for r in smoothed.orderBy("pos").collect()]
     assert means == [1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5]
-    cuts = breakpoints(smoothed, SPEC).first()
+    cuts = breakpoints(smoothed, SPEC, SCALE, staging).first()
     assert cuts.quantiles == [1.5, 2.5, 3.0, 4.0]
     # 4 lies on the last cut: the upper letter
     assert letters(made, staging) == "ABDEEEEE"

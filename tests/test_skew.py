@@ -1,5 +1,6 @@
 """Limits small enough that every skew path is taken give the results of the ordinary paths."""
 
+import math
 import random
 
 import pytest
@@ -133,30 +134,60 @@ def test_many_short_records_across_blocks(spark, staging):
         assert r.movingAvg == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
 
 
-def test_breakpoints_keep_the_rank_error(spark):
-    n, accuracy = 20_000, 100
-    df = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("id"),
-        F.pmod(F.hash("id"), F.lit(10_007)).cast("double").alias("movingAvg"),
-    ).repartition(16)
-    spec = Spec(accuracy=accuracy)
-    got = {r.id: r.quantiles for r in bp.breakpoints(df, spec).collect()}
-    values = {}
-    for r in df.collect():
-        values.setdefault(r.id, []).append(r.movingAvg)
-    for ident, cuts in got.items():
-        m = len(values[ident])
-        for p, cut in zip(spec.probs, cuts):
-            below = sum(v < cut for v in values[ident])
-            up_to = sum(v <= cut for v in values[ident])
-            assert below - m / accuracy <= p * m <= up_to + m / accuracy
-
-
-def test_breakpoints_with_heavy_ties(spark):
+def plain_cuts(values, probs=SPEC.probs):
+    """The value at rank n - floor(n - p n), NaN last."""
+    ordered = sorted((v for v in values if v == v)) + [v for v in values if v != v]
+    n = len(ordered)
+    return [ordered[max(1, n - math.floor(n - p * n)) - 1] for p in probs]
+
+
+def odd_values(rng, n):
+    kinds = [
+        lambda: rng.gauss(0, 1),
+        lambda: rng.choice([0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 1.7e308, -1.7e308]),
+        lambda: rng.uniform(100, 101),
+        lambda: 100 + rng.randrange(4) * 2.0**-45,  # neighbours within a bin
+        lambda: rng.choice([math.inf, -math.inf, math.nan]),
+    ]
+    return [rng.choice(kinds[: rng.randrange(1, 6)])() for _ in range(n)]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 4_000_000])
+@pytest.mark.parametrize("broadcast_rows", [0, 200_000])
+def test_breakpoints_are_exact(spark, staging, hot_rows, broadcast_rows):
+    """Any limit of a task, any layout: the same value at the same rank. One id holds most points."""
+    rng = random.Random(hot_rows)
+    ids = {"hot": 4000, "same": 300, **{f"i{k}": rng.randrange(1, 60) for k in range(30)}}
+    values = {i: odd_values(rng, n) for i, n in ids.items()}
+    values["same"] = [2.5] * 300
+    values["close"] = [100 + rng.randrange(3000) * 2.0**-46 for _ in range(2000)]
+    rows = [(i, v) for i, own in values.items() for v in own]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, movingAvg double")
+    scale = Scale(hot_rows=hot_rows, hot_keys=10, broadcast_rows=broadcast_rows)
+    for layout in (df, df.repartition(7), df.repartition("movingAvg")) if hot_rows == 7 else (df,):
+        got = {r.id: list(r.quantiles) for r in bp.breakpoints(layout, SPEC, scale, staging).collect()}
+        assert got.keys() == values.keys()
+        for i, own in values.items():
+            want = plain_cuts(own)
+            assert all(g == w or (g != g and w != w) for g, w in zip(got[i], want)), (i, got[i], want)
+
+
+def test_bins_keep_the_order_of_values(spark):
+    rng = random.Random(1)
+    values = sorted({*odd_values(rng, 3000), *(s * 2.0**k for k in range(-1074, 1024) for s in (1, -1))} - {math.nan})
+    values = [v for v in values if v == v]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate([*values, math.nan])], "k int, x double")
+    bins = [r.b for r in df.select("k", bp.value_bin(F.col("x")).alias("b")).orderBy("k").collect()]
+    assert bins == sorted(bins)
+
+
+def test_breakpoints_with_heavy_ties(spark, staging):
     df = spark.range(3000).select(
         F.lit("a").alias("id"), F.when(F.col("id") < 2000, 5.0).otherwise(9.0).alias("movingAvg")
     )
-    assert bp.breakpoints(df, SPEC).first().quantiles == [5.0, 5.0, 5.0, 9.0]
+    assert bp.breakpoints(df, SPEC, WIDE, staging).first().quantiles == [5.0, 5.0, 5.0, 9.0]
+    assert bp.breakpoints(df.limit(0), SPEC, WIDE, staging).collect() == []
 
 
 def test_letters_are_the_same_at_any_scale(records, points, staging):
@@ -177,7 +208,7 @@ def test_letters_and_transitions(spark, records, points, staging, kind, scale, m
     # exact cuts for both, so that only the layout differs
     cuts = fixtures.quantiles(RECORDS)
     exact = spark.createDataFrame(list(cuts.items()), "id string, quantiles array<double>")
-    monkeypatch.setattr(symbols, "breakpoints", lambda smoothed, spec: exact)
+    monkeypatch.setattr(symbols, "breakpoints", lambda smoothed, *limits: exact)
     made = build(kind, records, points, scale, staging)
     want = fixtures.letters(RECORDS)
     cut = symbols.with_breakpoints(made, SPEC, scale, staging)

@@ -28,10 +28,7 @@ def with_breakpoints(
     """Segments with the breakpoints of their id; `sizes` are the points per id, if known."""
     sizes = sizes or key_sizes(segments, ["id"], scale, weight="n")
     smoothed = moving_average(segments, spec, scale, staging, sizes)
-    cuts = breakpoints(smoothed, spec)
-    if sizes.hot is not None:
-        # hot records are counted apart from the others: both passes read the cuts
-        cuts = staging.table(cuts, "breakpoints")
+    cuts = staging.table(breakpoints(smoothed, spec, scale, staging), "breakpoints")
     return join_per_key(segments, cuts, sizes, spread=["sid", "start"])
 
 
