@@ -93,12 +93,13 @@ def test_escapes_come_back():
 
 def test_masks_meet_turns_exactly():
     coder, reader = ChatCoder(tokenizer_path(), Template()), ChatReader(tokenizer_path(), Template())
-    text = "<|turn|>user<|says|>a🙂<|end|><|turn|>assistant<|says|> b🙂 \n<|end|><|turn|>assistant<|says|><|end|>"
-    start = text.index(" b🙂")
-    ids, first, last = coder.encode(text, [(start, start + 5), (len(text) - 7, len(text) - 7)])
-    assert len(first) == 1 and list(reader.trained(ids, first, last)) == [" b🙂 \n"]
-    assert list(reader.turns(ids)) == [("user", "a🙂"), ("assistant", " b🙂 \n"), ("assistant", "")]
-    assert reader.text(ids) == text
+    turns = [("user", "a🙂"), ("assistant", " b🙂 \n"), ("assistant", ""), ("user", " b"), ("assistant", "c")]
+    raw = [(r.encode(), x.encode()) for r, x in turns]
+    marked = [r == "assistant" for r, _ in turns]
+    for ids, first, last in coder.encode([raw, raw], [marked, marked]):
+        assert list(reader.trained(ids, first, last)) == [" b🙂 \n", "c"]
+        assert list(reader.turns(ids)) == turns
+        assert reader.text(ids) == "".join(f"<|turn|>{r}<|says|>{x}<|end|>" for r, x in turns)
 
 
 def test_empty_table(spark):

@@ -13,7 +13,6 @@ whole would have.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavesym.llm.encode import encoder
 from wavesym.llm.store import Work
 
 FORMATTED = "conv_id long, part long, whole boolean, formatted string, ids binary, loss_starts array<int>, loss_ends array<int>"
@@ -67,28 +67,46 @@ class Escapes:
 
 
 class ChatCoder:
-    """The tokenizer with the template's marks as tokens of their own."""
+    """Encodes rendered conversations; the template's marks are tokens of their own, after those of the vocabulary.
 
-    def __init__(self, path: str, template: Template):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import AddedToken, Tokenizer
+    A mark ends what the byte-level BPE joins, so what lies between the marks is encoded piece by piece, for many
+    conversations at once. A token stands for the same bytes wherever it is: its widths give the offsets.
+    """
 
+    def __init__(self, path: str, template: Template):
         self.template = template
-        self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.escapes = Escapes(template, special)
-        self.tokenizer.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in template.marks])
-        self.marks = [self.tokenizer.token_to_id(m) for m in template.marks]
-
-    def encode(self, text: str, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, and first and end token of each span of characters that is not empty."""
-        found = self.tokenizer.encode(text, add_special_tokens=False)
-        offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
-        span = np.array(spans, np.int64).reshape(-1, 2)
-        first = np.searchsorted(offsets[:, 1], span[:, 0], "right")
-        end = np.searchsorted(offsets[:, 0], span[:, 1], "left")
-        some = end > first
-        return np.array(found.ids, np.uint32), first[some], end[some]
+        self.encoder = encoder(path)
+        tokenizer = self.encoder.tokenizer
+        added = {k: t.content.encode() for k, t in tokenizer.get_added_tokens_decoder().items()}
+        self.escapes = Escapes(template, [x.decode() for x in added.values()])
+        values, size = _byte_values(), tokenizer.get_vocab_size(with_added_tokens=True)
+        letters = {k: w for w, k in tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.bytes = [added.get(k) or bytes(values[c] for c in letters[k]) for k in range(size)]
+        self.marks = list(range(size, size + 3))
+        self.bytes += [m.encode() for m in template.marks]
+        self.widths = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
+
+    def encode(self, turns: list[list[tuple[bytes, bytes]]], trained: list[list[bool]]) -> Iterator[tuple]:
+        """ids, first and end token of each trained text that is not empty; for each conversation of escaped
+        (role, text)."""
+        pieces = [x for conversation in turns for turn in conversation for x in turn]
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))])
+        coded = self.encoder.encode(np.frombuffer(b"".join(pieces), np.uint8), bounds)
+        turn, says, end = (np.array([m], np.uint32) for m in self.marks)
+        a, b, c = (int(self.widths[m]) for m in self.marks)
+        at = 0
+        for conversation, marked in zip(turns, trained):
+            parts = [x for k in range(at, at + 2 * len(conversation), 2) for x in (turn, coded[k], says, coded[k + 1], end)]
+            at += 2 * len(conversation)
+            ids = np.concatenate(parts)
+            stops = np.cumsum(self.widths[ids])  # token k is bytes [stops[k - 1], stops[k])
+            sizes = np.array([(len(r), len(x)) for r, x in conversation], np.int64)
+            whole = sizes.sum(axis=1) + a + b + c
+            begins = np.cumsum(whole) - whole + a + sizes[:, 0] + b
+            own = np.array(marked) & (sizes[:, 1] > 0)
+            first = np.searchsorted(stops, begins[own], "right")  # the first token that ends after the span begins
+            last = np.searchsorted(stops, (begins + sizes[:, 1])[own], "left") + 1
+            yield ids, first, last
 
 
 def _byte_values() -> dict[str, int]:
@@ -103,11 +121,7 @@ class ChatReader:
 
     def __init__(self, path: str, template: Template):
         coder = ChatCoder(path, template)
-        self.escapes, self.marks = coder.escapes, coder.marks
-        values = _byte_values()
-        added = {k: t.content.encode() for k, t in coder.tokenizer.get_added_tokens_decoder().items()}
-        size = coder.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.bytes = [added.get(k) or bytes(values[c] for c in coder.tokenizer.id_to_token(k)) for k in range(size)]
+        self.escapes, self.marks, self.bytes = coder.escapes, coder.marks, coder.bytes
 
     def text(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
@@ -122,13 +136,15 @@ class ChatReader:
             yield self.escapes.unescape(self.text(ids[a:b]))
 
 
-def format_conversations(conversations: DataFrame, tokenizer: str, template: Template = Template(), part: int = 1 << 22) -> DataFrame:
+def format_conversations(
+    conversations: DataFrame, tokenizer: str, template: Template = Template(), part: int = 1 << 22, together: int = 1 << 20
+) -> DataFrame:
     """conv_id, part, whole, formatted, ids (little-endian u32), loss_starts and loss_ends (runs of tokens).
 
     Turns are in the order of `turn`, null first; turns of one number by role, then by text, repeated rows side by
     side. Null roles and texts are empty. Rows without conv_id are one conversation of their own. A conversation
-    has one row, or several with ascending `part`; `whole` says that the row is all of it. Other columns are not
-    read; an empty table gives no row. Only the roles in `template.trained`, spelt exactly so, are under the mask.
+    has one row, or several with ascending `part`; `whole` says that the row is all of it. Conversations of some
+    `together` bytes are encoded at once. Other columns are not read; an empty table gives no row. Only the roles in `template.trained`, spelt exactly so, are under the mask.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -143,44 +159,53 @@ def format_conversations(conversations: DataFrame, tokenizer: str, template: Tem
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ChatCoder(tokenizer, template)
+        escape = coder.escapes.escape
         number = TaskContext.get().partitionId() << 32
-        turn, says, end = template.marks
-        pieces: list[str] = []
-        spans: list[tuple[int, int]] = []
-        length, current, edge = 0, None, True  # edge: the conversation may have begun in the task before
-        started = False
-
-        def row(whole: bool) -> pa.RecordBatch:
-            text = "".join(pieces)
-            ids, first, last = coder.encode(text, spans)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([current], pa.int64()),
-                    pa.array([number], pa.int64()),
-                    pa.array([whole]),
-                    pa.array([text]),
-                    pa.array([ids.astype("<u4").tobytes()], pa.binary()),
-                    pa.array([first.tolist()], pa.list_(pa.int32())),
-                    pa.array([last.tolist()], pa.list_(pa.int32())),
-                ],
-                [c.split()[0] for c in FORMATTED.split(", ")],
-            )
+        # conversations that wait to be encoded, the last of them open
+        names: list[int | None] = []
+        wholes: list[bool] = []
+        turns: list[list[tuple[bytes, bytes]]] = []
+        trained: list[list[bool]] = []
+        edge, length, waiting = True, 0, 0  # edge: the conversation may have begun in the task before
+
+        def rows() -> pa.RecordBatch:
+            nonlocal number
+            texts, ids, starts, ends = [], [], [], []
+            turn, says, end = (m.encode() for m in template.marks)
+            for conversation, (coded, first, last) in zip(turns, coder.encode(turns, trained)):
+                texts.append(b"".join(x for r, t in conversation for x in (turn, r, says, t, end)).decode())
+                ids.append(coded.astype("<u4").tobytes())
+                starts.append(first.tolist())
+                ends.append(last.tolist())
+            numbers = list(range(number, number + len(names)))
+            number += len(names)
+            runs = pa.list_(pa.int32())
+            columns = [pa.array(names, pa.int64()), pa.array(numbers), pa.array(wholes), pa.array(texts)]
+            columns += [pa.array(ids, pa.binary()), pa.array(starts, runs), pa.array(ends, runs)]
+            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in FORMATTED.split(", ")])
 
         for batch in batches:
             for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if started and (conv != current or length > part):
-                    more = conv == current
-                    yield row(not edge and not more)
-                    pieces, spans, length, edge, number = [], [], 0, more, number + 1
-                current, started = conv, True
-                head = turn + coder.escapes.escape(role) + says
-                body = coder.escapes.escape(text)
-                if role in template.trained:
-                    spans.append((length + len(head), length + len(head) + len(body)))
-                pieces += [head, body, end]
-                length += len(head) + len(body) + len(end)
-        if started:
-            yield row(False)  # it may go on in the next task
+                if not names or conv != names[-1] or length > part:
+                    more = bool(names) and conv == names[-1]
+                    if names:
+                        wholes.append(not edge and not more)
+                        edge = more
+                    if waiting > together:
+                        yield rows()
+                        names, wholes, turns, trained, waiting = [], [], [], [], 0
+                    names.append(conv)
+                    turns.append([])
+                    trained.append([])
+                    length = 0
+                turn = escape(role).encode(), escape(text).encode()
+                turns[-1].append(turn)
+                trained[-1].append(role in template.trained)
+                length += len(text) + len(role)
+                waiting += len(turn[0]) + len(turn[1])
+        if names:
+            wholes.append(False)  # it may go on in the next task
+            yield rows()
 
     return ordered.mapInArrow(render, FORMATTED)
 

@@ -8,6 +8,7 @@ space or at its end, or with the string of a special token, is encoded as a whol
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from functools import cache
 from itertools import chain
 
@@ -35,9 +36,12 @@ _LETTERS = _byte_letters()
 
 
 class Encoder:
-    """Encodes slices of texts; pieces seen before come from a bounded table."""
+    """Encodes slices of texts; pieces seen before come from a table of a fixed size.
 
-    MOST_PIECES, MOST_IDS = 1_000_000, 8_000_000
+    33 bytes a piece and 4 an id: `MOST_PIECES` and `MOST_IDS` bound it to some 40 MB, which are touched as they fill.
+    """
+
+    MOST_PIECES, MOST_IDS = 700_000, 3_500_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,13 +56,12 @@ class Encoder:
     def _reset(self) -> None:
         self.tails: dict[str, list[int]] = {}
         self.keys = np.zeros(0, np.uint64)  # ascending, with the entry of each
-        self.entries = np.zeros(0, np.int64)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.head = np.zeros(1 << 16, np.uint64)
-        self.hits = np.zeros(1 << 16, np.int64)
-        self.pool = np.zeros(1 << 18, np.uint32)
+        self.entries = np.zeros(0, np.int32)
+        room = self.MOST_PIECES
+        self.start, self.size, self.length = (np.zeros(room, np.int32) for _ in range(3))
+        self.head = np.zeros(room, np.uint64)
+        self.hits = np.zeros(room, np.uint8)
+        self.pool = np.zeros(self.MOST_IDS, np.uint32)
         self.used = 0
 
     def _make_room(self) -> None:
@@ -112,29 +115,32 @@ class Encoder:
             ids = self.tokenizer.encode(" " + piece if spaced else piece, add_special_tokens=False).ids
         return ids
 
-    def _add(self, keys, pieces, lengths, heads) -> None:
+    def _new_ids(self, pieces: Iterable[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
         new = [self._piece(*p) for p in pieces]
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))
-        self._append(keys, flat, sizes, lengths, heads)
+        sizes = np.fromiter(map(len, new), np.int32, len(new))
+        return np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum())), sizes
+
+    def _remember(self, keys, flat, sizes, lengths, heads) -> None:
+        """Adds pieces as far as there is room; what is left out is only encoded again when it comes back."""
+        if len(self.keys) + len(keys) > self.MOST_PIECES or self.used + len(flat) > self.MOST_IDS:
+            self._make_room()
+        fits = int(np.searchsorted(np.cumsum(sizes), self.MOST_IDS - self.used, "right"))
+        fits = min(fits, self.MOST_PIECES - len(self.keys))
+        ids = int(sizes[:fits].sum())
+        self._append(keys[:fits], flat[:ids], sizes[:fits], lengths[:fits], heads[:fits])
 
     def _append(self, keys, flat, sizes, lengths, heads) -> None:
         n = len(self.keys)
-        while n + len(keys) > len(self.start):
-            for name in ("start", "size", "length", "head", "hits"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
         at = slice(n, n + len(keys))
         self.start[at] = self.used + np.cumsum(sizes) - sizes
-        self.size[at], self.length[at], self.head[at] = sizes, lengths, heads
+        self.size[at], self.length[at], self.head[at] = sizes, np.minimum(lengths, 2**31 - 1), heads
+        self.hits[at] = 1
         self.used += len(flat)
         order = np.argsort(keys)
         place = np.searchsorted(self.keys, keys[order])
         self.keys = np.insert(self.keys, place, keys[order])
-        self.entries = np.insert(self.entries, place, order + n)
+        self.entries = np.insert(self.entries, place, (order + n).astype(np.int32))
 
     def _whole(self, data: np.ndarray) -> np.ndarray:
         text = data.tobytes().decode("utf-8", "replace")
@@ -180,30 +186,34 @@ class Encoder:
         padded = np.concatenate([data, np.zeros(8, np.uint8)])
         heads = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))[starts]
         heads &= np.where(lengths >= 8, U64(2**64 - 1), (U64(1) << (U64(8) * np.minimum(lengths, 7).astype(np.uint64))) - U64(1))
-        if len(self.keys) + len(keys) > self.MOST_PIECES or self.used > self.MOST_IDS:
-            self._make_room()
         entry = np.full(len(keys), -1)
         if len(self.keys):
             near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             entry = np.where(self.keys[near] == keys, self.entries[near], -1)
-        missing = np.flatnonzero(entry < 0)
-        if len(missing):
-            entry[missing] = np.arange(len(self.keys), len(self.keys) + len(missing))
-            at = some[missing]
-            pieces = [
-                (data[s:e].tobytes().decode("utf-8", "replace"), p)
-                for s, e, p in zip(starts[at].tolist(), ends[at].tolist(), spaced[at].tolist())
-            ]
-            self._add(keys[missing], pieces, lengths[at], heads[at])
-        self.hits[entry] += 1
-        entry = entry[codes]
+        known, missing = np.flatnonzero(entry >= 0), np.flatnonzero(entry < 0)
+        old, at = entry[known], some[missing]
+        self.hits[old] = np.minimum(self.hits[old], 254) + 1
+        new, new_sizes = self._new_ids(
+            (data[s:e].tobytes().decode("utf-8", "replace"), p)
+            for s, e, p in zip(starts[at].tolist(), ends[at].tolist(), spaced[at].tolist())
+        )
+        # the ids of the slice's pieces side by side, those from the table first
+        size, length, head = np.empty(len(keys), np.int64), lengths[some], heads[some]
+        size[known], size[missing] = self.size[old], new_sizes
+        length[known], head[known] = self.length[old], self.head[old]
+        order = np.concatenate([known, missing])
+        start = np.empty(len(keys), np.int64)
+        start[order] = np.cumsum(size[order]) - size[order]
+        take = np.repeat(self.start[old] - start[known], size[known]) + np.arange(int(size[known].sum()))
+        pool = np.concatenate([self.pool[take], new])
+        self._remember(keys[missing], new, new_sizes, lengths[at], heads[at])
         # equal hashes of different pieces: such rows go the whole way
-        clash = np.unique(rows[(self.length[entry] != lengths) | (self.head[entry] != heads)])
-        sizes = self.size[entry]
+        clash = np.unique(rows[(length[codes] != lengths) | (head[codes] != heads)])
+        sizes = size[codes]
         ends_at = np.cumsum(sizes)
         total = int(ends_at[-1]) if len(ends_at) else 0
-        take = np.repeat(self.start[entry] - (ends_at - sizes), sizes) + np.arange(total)
-        flat = self.pool[take]
+        take = np.repeat(start[codes] - (ends_at - sizes), sizes) + np.arange(total)
+        flat = pool[take]
         per_row = np.bincount(rows, sizes, n).astype(np.int64) if len(rows) else np.zeros(n, np.int64)
         stop = np.cumsum(per_row)
         out = [flat[b - c : b] for b, c in zip(stop.tolist(), per_row.tolist())]

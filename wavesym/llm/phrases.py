@@ -1,14 +1,16 @@
 """Collocations by Toivonen's method: a sample proposes, full passes count exactly.
 
 One text in `share` is counted whole; phrases that reach a lowered threshold there are the proposal S. A full pass
-counts every phrase whose two parts of one word less are in S: these are S itself and its negative border, the
-least phrases outside of S; words are all counted. If a phrase of the border turns out frequent, the sample has
-failed there: it joins S, and another pass counts what the larger S adds to the border. When no pass finds such a
-phrase, every frequent phrase has been counted, because all parts of a frequent phrase are frequent.
+counts every phrase whose parts of one word less are in S: these are S itself and its negative border, the least
+phrases outside of S; words are all counted. If a phrase of the border turns out frequent, the sample has failed
+there: it joins S, and another pass counts what the larger S adds to the border. When no pass finds such a phrase,
+every frequent phrase has been counted, because all parts of a frequent phrase are frequent.
 
 S decides only what is counted, never a count. Tasks test it in a bitmap of at most 64 MB, whatever its size: a
 false hit makes a task count a phrase that need not be, and as every task makes the same decision for a phrase, it
-is counted wholly or not at all.
+is counted wholly or not at all. These passes count phrases by 64-bit keys, packed by range, which travel at a few
+bytes each; where two phrases share a key the count can only be too high. A last pass counts the phrases found by
+language and text, and so gives the exact counts and drops what a shared key has brought in.
 """
 
 from __future__ import annotations
@@ -20,15 +22,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wavesym.llm.packed import PACKED, Counter, merged, range_of
 from wavesym.llm.store import Work, filesystem_of
 from wavesym.llm.text import U64, mix, slices, word_bounds, word_hashes
 
-STRIPE = 19  # bits of a place within a stripe of the bitmap
+STRIPE = 16  # bits of a place within a stripe of the bitmap
 LEAST_BITS, MOST_BITS = 20, 29
 SALTS, TOP_SALTS = 8, 64
+TOGETHER = 300_000  # rows of phrases that a task holds
+NAMED = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int64()), ("n", pa.int64())])
 FEW_LANGS = 100_000
 
 _SPLIT = np.zeros(256, bool)
@@ -43,9 +49,9 @@ _PLACES = np.random.default_rng(104729).integers(1, 2**64, 8, dtype=np.uint64) |
 @dataclass(frozen=True)
 class Mining:
     least: int = 100  # occurrences of a candidate
-    longest: int = 5  # words, 8 at most
-    share: int = 20  # one text in so many is in the sample
-    low: float = 0.6  # of the occurrences expected in the sample, what proposes a phrase
+    longest: int = 5  # words, 7 at most
+    share: int = 10  # one text in so many is in the sample
+    low: float = 0.4  # of the occurrences expected in the sample, what proposes a phrase
     within: int = 100  # per cent of a phrase's occurrences in a longer one that drop it
     top: int = 2000  # phrases a language
 
@@ -71,18 +77,15 @@ class Bitmap:
     def _bit(self, place: np.ndarray) -> np.ndarray:
         return (self.data[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
 
-    def __contains__(self, key: int) -> bool:
-        return bool(self.has(np.array([key], np.uint64))[0])
-
     def has(self, keys: np.ndarray) -> np.ndarray:
-        return self._bit(keys & self.mask) & self._bit((keys >> U64(32)) & self.mask)
+        return self._bit((keys >> U64(3)) & self.mask) & self._bit((keys >> U64(32)) & self.mask)
 
 
 def write_bitmap(keys: DataFrame, folder: str, count: int) -> int:
     """Writes the bitmap of `keys` (key long) in stripes; returns its bits."""
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * count).bit_length()))
     mask = (1 << bits) - 1
-    places = F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 32).bitwiseAND(mask)))
+    places = F.explode(F.array(*(F.shiftrightunsigned("key", k).bitwiseAND(mask) for k in (3, 32))))
     places = keys.select(places.alias("place")).distinct()
 
     def fill(table: pa.Table) -> pa.Table:
@@ -102,26 +105,65 @@ def _salts(langs: list[str]) -> np.ndarray:
     return np.array([known[x] for x in langs], np.uint64)
 
 
-def _grams(data: np.ndarray, bounds: np.ndarray, salts: np.ndarray, longest: int):
-    """Starts and ends of the words, rows, and per length the keys of the phrases that begin at each word and
-    whether there is one."""
-    starts, ends, rows = word_bounds(data, bounds, _GAPS)
-    splits = np.cumsum(_SPLIT[data], dtype=np.int32)
-    follows = np.zeros(len(starts), bool)
-    if len(starts):
-        follows[:-1] = (rows[1:] == rows[:-1]) & (splits[starts[1:]] == splits[ends[:-1] - 1])
-    words = mix(word_hashes(data, starts, ends, fold=True) ^ salts[rows])
-    keys, there = [], []
-    total, whole = np.zeros(len(words), np.uint64), np.ones(len(words), bool)
-    for k in range(longest):
-        if k:
-            moved = np.zeros(len(words), bool)
-            moved[: len(words) - k] = follows[k - 1 : len(words) - 1]
-            whole = whole & moved
-        total = total + np.roll(words, -k) * _PLACES[k]
-        keys.append(mix(total + U64(k)))
-        there.append(whole)
-    return starts, ends, rows, keys, there
+class Words:
+    """The words of a slice, and the keys of the phrases that begin at them."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, salts: np.ndarray):
+        self.data = data
+        self.starts, self.ends, self.rows = word_bounds(data, bounds, _GAPS)
+        splits = np.cumsum(_SPLIT[data], dtype=np.int32)
+        n = len(self.starts)
+        self.follows = np.zeros(n, bool)  # is the next word in the same piece?
+        if n:
+            same = splits[self.starts[1:]] == splits[self.ends[:-1] - 1]
+            self.follows[:-1] = (self.rows[1:] == self.rows[:-1]) & same
+        self.hashes = mix(word_hashes(data, self.starts, self.ends, fold=True) ^ salts[self.rows])
+
+    def keys(self, at: np.ndarray, k: int) -> np.ndarray:
+        total = self.hashes[at] * _PLACES[0]
+        for j in range(1, k):
+            total += self.hashes[at + j] * _PLACES[j]
+        return (mix(total) & ~U64(7)) | U64(k)  # the last bits say how many words
+
+    def phrases(self, longest: int, maps: list[Bitmap]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """k, places and keys of the phrases to count, all whose parts are in the last map but not in an earlier one.
+
+        Without maps all phrases; with one map also all words.
+        """
+        every = np.arange(len(self.starts))
+        key = self.keys(every, 1)
+        if len(maps) < 2:
+            yield 1, every, key
+        inside = [m.has(key) for m in maps]  # is the phrase of k words from here in the map, with all its parts?
+        open_ = np.ones(len(every), bool)
+        for k in range(2, longest + 1):
+            open_ = open_ & _moved(self.follows, k - 2)
+            wanted = [x & _moved(x, 1) & open_ for x in inside] or [open_]
+            now = wanted[-1]
+            for old in wanted[:-1]:
+                now = now & ~old
+            anywhere = np.flatnonzero(np.logical_or.reduce(wanted))
+            if not len(anywhere):
+                return
+            key = self.keys(anywhere, k)
+            some = now[anywhere]
+            yield k, anywhere[some], key[some]
+            if k < longest:
+                inside = []
+                for x, m in zip(wanted, maps):
+                    own = x[anywhere]
+                    place = anywhere[own]
+                    hit = np.zeros(len(every), bool)
+                    hit[place[m.has(key[own])]] = True
+                    inside.append(hit)
+
+
+def _moved(x: np.ndarray, by: int) -> np.ndarray:
+    """x[i + by], False beyond the end."""
+    out = np.zeros(len(x), bool)
+    if by < len(x):
+        out[: len(x) - by] = x[by:]
+    return out
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,88 +187,117 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def sample_keys(texts: DataFrame, spec: Mining) -> DataFrame:
-    """key, k of the phrases that the sample proposes."""
+def _ranges(docs: DataFrame) -> int:
+    return 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def count_keys(texts: DataFrame, spec: Mining, maps: list[tuple[str, int]], longest: int, least: int) -> DataFrame:
+    """key, n of the phrases that `Words.phrases` gives for the maps, where n reaches `least`."""
+    ranges = _ranges(texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmaps, counter = [Bitmap(*m) for m in maps], Counter(ranges, 1)
         for batch in batches:
             salts = _salts(batch.column("lang").to_pylist())
             for first, last, data, bounds in slices(batch.column("text")):
-                *_, keys, there = _grams(data, bounds, salts[first:last], spec.longest - 1)
-                for k, (key, own) in enumerate(zip(keys, there), 1):
-                    different, _, counts = _distinct(key[own])
-                    if len(different):
-                        columns = [pa.array(different.view(np.int64)), pa.array(np.full(len(different), k)), pa.array(counts)]
-                        yield pa.RecordBatch.from_arrays(columns, ["key", "k", "n"])
+                for _, _, keys in Words(data, bounds, salts[first:last]).phrases(longest, bitmaps):
+                    different, _, counts = _distinct(keys)
+                    yield from counter.add(different, counts)
+        yield from counter.flush()
+
+    return merged(texts.mapInArrow(count, PACKED), ["n"], least)
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    """One row per language and phrase; equal keys of different phrases stay apart."""
+    table = pa.concat_tables(parts).combine_chunks()
+    summed = table.group_by(["key", "lang", "phrase"], use_threads=False).aggregate([("k", "min"), ("n", "sum")])
+    return summed.rename_columns({"k_min": "k", "n_sum": "n"}).select(NAMED.names)
 
-    counted = texts.mapInArrow(count, "key long, k long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= spec.proposing).select("key")
 
+def count_phrases(texts: DataFrame, spec: Mining, known: tuple[str, int]) -> DataFrame:
+    """lang, phrase, k, n: exact counts of the phrases of a map, and of all words together (k = 0, phrase empty).
 
-def count_phrases(texts: DataFrame, spec: Mining, maps: list[tuple[str, int]]) -> DataFrame:
-    """lang, phrase, key, k, n: exact counts of frequent phrases of the border of the last of `maps` that no earlier
-    map has had counted; with the first map also of the words, and of all words together (k = 0, phrase empty)."""
+    A task adds up the phrases it meets and sends them in packed tables, by range of keys.
+    """
+    ranges = _ranges(texts)
+
+    def found(words: Words, bitmap: Bitmap, names: pa.Array, salts: np.ndarray) -> Iterator[pa.Table]:
+        per_row = np.bincount(words.rows, minlength=len(names))
+        some = np.flatnonzero(per_row)
+        empty = pa.array([""] * len(some), pa.string())
+        zero = np.zeros(len(some), np.int64)
+        yield pa.table([pa.array(salts[some].view(np.int64)), names.take(pa.array(some)), empty, zero, per_row[some]], NAMED)
+        size = words.ends - words.starts
+        begin = np.cumsum(size + 1) - (size + 1)
+        spaced = np.full(int(size.sum()) + len(size), 32, np.uint8)  # the words, a space after each
+        take = np.arange(int(size.sum())) + np.repeat(words.starts - (np.cumsum(size) - size), size)
+        spaced[take + np.repeat(begin - words.starts, size)] = _FOLD[words.data[take]]
+        for k, at, keys in words.phrases(spec.longest, [bitmap]):
+            hit = bitmap.has(keys)
+            different, place, counts = _distinct(keys[hit])
+            at = at[hit][place]
+            if len(at):
+                phrases = _strings(spaced, begin[at], begin[at + k - 1] + size[at + k - 1])
+                own = names.take(pa.array(words.rows[at]))
+                yield pa.table([pa.array(different.view(np.int64)), own, phrases, np.full(len(at), k), counts], NAMED)
+
+    def send(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        table = _summed(parts)
+        of = range_of(table.column("key").to_numpy().view(np.uint64), ranges, 0)
+        order = np.argsort(of, kind="stable")
+        table, cuts = table.take(pa.array(order)), np.searchsorted(of[order], np.arange(ranges + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            sink = pa.BufferOutputStream()
+            own = table.slice(cuts[k], cuts[k + 1] - cuts[k]).combine_chunks()
+            with pa.ipc.new_stream(sink, NAMED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(own)
+            row = {"range": [k], "n": [len(own)], "packed": pa.array([sink.getvalue().to_pybytes()], pa.binary())}
+            yield pa.RecordBatch.from_pydict(row)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *before, now = [Bitmap(*m) for m in maps]
+        bitmap, parts, size = Bitmap(*known), [], 0
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            salts = _salts(langs)
-            names = pa.array(langs, pa.string())
+            salts, names = _salts(langs), pa.array(langs, pa.string())
             for first, last, data, bounds in slices(batch.column("text")):
-                starts, ends, rows, keys, there = _grams(data, bounds, salts[first:last], spec.longest)
-                if not len(starts):
+                words = Words(data, bounds, salts[first:last])
+                if not len(words.starts):
                     continue
-                size = ends - starts
-                begin = np.cumsum(size + 1) - (size + 1)
-                spaced = np.full(int(size.sum()) + len(size), 32, np.uint8)  # the words, a space after each
-                take = np.arange(int(size.sum())) + np.repeat(starts - (np.cumsum(size) - size), size)
-                spaced[take + np.repeat(begin - starts, size)] = _FOLD[data[take]]
-                if not before:
-                    per_row = np.bincount(rows, minlength=last - first)
-                    some = np.flatnonzero(per_row)
-                    zero = pa.array(np.zeros(len(some), np.int64))
-                    empty = pa.array([""] * len(some), pa.string())
-                    total = [names.slice(first).take(pa.array(some)), empty, zero, zero, pa.array(per_row[some])]
-                    yield pa.RecordBatch.from_arrays(total, ["lang", "phrase", "key", "k", "n"])
-                for k in range(1 if not before else 2, spec.longest + 1):
-                    at = np.flatnonzero(there[k - 1])
-                    if k > 1:
-                        part, rest = keys[k - 2][at], keys[k - 2][at + 1]
-                        wanted = now.has(part) & now.has(rest)
-                        for old in before:
-                            wanted &= ~(old.has(part) & old.has(rest))
-                        at = at[wanted]
-                    if not len(at):
-                        continue
-                    different, place, counts = _distinct(keys[k - 1][at])
-                    at = at[place]
-                    columns = [
-                        names.slice(first).take(pa.array(rows[at])),
-                        _strings(spaced, begin[at], begin[at + k - 1] + size[at + k - 1]),
-                        pa.array(different.view(np.int64)),
-                        pa.array(np.full(len(at), k)),
-                        pa.array(counts),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "key", "k", "n"])
-
-    counted = texts.mapInArrow(count, "lang string, phrase string, key long, k long, n long")
-    exact = counted.groupBy("lang", "phrase").agg(F.min("key").alias("key"), F.min("k").alias("k"), F.sum("n").alias("n"))
-    return exact.filter((F.col("k") == 0) | (F.col("n") >= spec.least))
-
-
-def frequent_phrases(docs: DataFrame, spec: Mining, work: Work) -> DataFrame:
-    """lang, phrase, key, k, n of all words and phrases that occur `least` times, and of all words (k = 0)."""
+                parts += found(words, bitmap, names[first:last], salts[first:last])
+                size += sum(map(len, parts[-spec.longest :]))
+                if size > TOGETHER:
+                    parts = [_summed(parts)]
+                    size = len(parts[0])
+                    if size > TOGETHER // 2:
+                        yield from send(parts)
+                        parts, size = [], 0
+        if parts:
+            yield from send(parts)
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [pa.ipc.open_stream(raw.as_buffer()).read_all() for raw in table.column("packed")]
+        whole = _summed(parts)
+        kept = pc.or_(pc.equal(whole.column("k"), 0), pc.greater_equal(whole.column("n"), spec.least))
+        return whole.filter(kept).select(["lang", "phrase", "k", "n"])
+
+    packed = texts.mapInArrow(count, PACKED)
+    return packed.groupBy("range").applyInArrow(merge, "lang string, phrase string, k long, n long")
+
+
+def frequent_keys(docs: DataFrame, spec: Mining, work: Work) -> DataFrame:
+    """key of every phrase that occurs `least` times, words included."""
     sampled = docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(spec.share)) == 0)
-    proposed = work.table(sample_keys(_texts(sampled), spec), "proposed")
+    proposed = count_keys(_texts(sampled), spec, [], spec.longest - 1, spec.proposing).select("key")
+    proposed = work.table(proposed, "proposed")
     texts, maps, tables = _texts(docs), [], []
     while True:
         folder = work.folder("bitmap")
         maps.append((folder, write_bitmap(proposed, folder, proposed.count())))
-        found = work.table(count_phrases(texts, spec, maps), "frequent")
+        found = work.table(count_keys(texts, spec, maps, spec.longest, spec.least).select("key"), "frequent")
         tables.append(found)
-        new = found.filter(F.col("k").between(1, spec.longest - 1)).select("key").distinct()
-        failed = work.table(new.join(proposed, "key", "left_anti"), "failed")
+        parts = found.filter(F.col("key").bitwiseAND(7) < spec.longest)  # the longest are part of nothing
+        failed = work.table(parts.join(proposed, "key", "left_anti"), "failed")
         if failed.isEmpty():
             break
         proposed = work.table(proposed.union(failed), "proposed")
@@ -236,6 +307,14 @@ def frequent_phrases(docs: DataFrame, spec: Mining, work: Work) -> DataFrame:
     return out
 
 
+def frequent_phrases(docs: DataFrame, spec: Mining, work: Work) -> DataFrame:
+    """lang, phrase, k, n of all words and phrases that occur `least` times, and of all words (k = 0)."""
+    keys = frequent_keys(docs, spec, work)
+    folder = work.folder("bitmap")
+    known = folder, write_bitmap(keys, folder, keys.count())
+    return work.table(count_phrases(_texts(docs), spec, known), "phrases")
+
+
 def collocations(docs: DataFrame, spec: Mining = Mining(), work: Work | None = None) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first `top` candidates of each language.
 

@@ -14,7 +14,6 @@ that no document is scored by counts it took part in.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,14 +22,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavesym.llm.store import Work, filesystem_of
-from wavesym.llm.text import U64, mix, slices, word_bounds, word_hashes
+from wavesym.llm.packed import PACKED, Counter, add_up, merged, pack, unpack
+from wavesym.llm.store import Work, make_folder, new_file, open_read, open_write
+from wavesym.llm.text import U64, slices, word_bounds, word_hashes
 
 HEAD, ORDER = 8, 5
 DISCOUNT = 0.75
-SHARD = 1 << 20  # keys of a file of the scoring table, about
-HELD = 1 << 22  # keys that a worker keeps between chunks; files beyond are read again
-CHUNK = 16  # slices of texts that are scored with one pass over the table
+SHARD = 400_000  # keys of the scoring table that a task looks up in at once, about
+CHUNK_BYTES = 12 << 20  # of texts whose grams are looked up together
+BLOCK_WORDS = 400_000  # of a chunk that are scored at once, one text at least
+FEW_LABELS = 1_000_000  # rows of 12 bytes that may be broadcast
 SAMPLE = 20_000  # labelled rows that the logistic curve is fitted on
 WINDOW = 8  # words
 COUNTS = ("ord0", "ord1", "tox0", "tox1", "other")
@@ -66,36 +67,11 @@ def _distinct(hashes: np.ndarray):
     return codes, some
 
 
-def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first, axis=0)
-
-
-def _pack_counts(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as gaps, counts after them, bytes of one place side by side."""
-    gaps = np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    small = counts.astype("<u4").view(np.uint8).reshape(len(keys), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes() + np.ascontiguousarray(small).tobytes())
-
-
-def _unpack_counts(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    keys = np.cumsum(np.ascontiguousarray(data[: 8 * n].reshape(8, n).T).view("<u8").reshape(-1), dtype=np.uint64)
-    counts = np.ascontiguousarray(data[8 * n :].reshape(-1, n).T).view("<u4").reshape(n, len(COUNTS))
-    return keys, counts.astype(np.int64)
-
-
 def count_grams(texts: DataFrame, ranges: int) -> DataFrame:
-    """gram and its counts by `group` (index into COUNTS).
-
-    Each task adds up what it reads and sends its counts packed, one row per range of grams; a range holds at
-    most one count per gram and task.
-    """
+    """gram and its counts by `group` (index into COUNTS); tasks send their counts packed, by range of grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        counter = Counter(ranges, len(COUNTS), shift=24)  # neighbours stay together
         for batch in batches:
             groups = batch.column("group").to_numpy(zero_copy_only=False)
             for first, last, data, bounds in slices(batch.column("text")):
@@ -106,25 +82,10 @@ def count_grams(texts: DataFrame, ranges: int) -> DataFrame:
                 group = groups[first:last][rows]
                 table = np.bincount(codes * len(COUNTS) + group, minlength=len(some) * len(COUNTS)).reshape(-1, len(COUNTS)).astype(np.int32)
                 grams, word = word_grams(data, starts[some], ends[some])
-                parts.append(_add_up(grams, table[word]))
-                if len(parts) == 3:
-                    parts = [_add_up(*(np.concatenate(x) for x in zip(*parts)))]
-        if parts:
-            keys, counts = _add_up(*(np.concatenate(x) for x in zip(*parts)))
-            of = (mix(keys >> U64(24)) % U64(ranges)).astype(np.int64)  # neighbours stay together
-            order = np.argsort(of, kind="stable")
-            cuts = np.searchsorted(of[order], np.arange(ranges + 1))
-            for k in np.flatnonzero(np.diff(cuts)).tolist():
-                own = order[cuts[k] : cuts[k + 1]]
-                yield pa.RecordBatch.from_pydict({"range": [k], "n": [len(own)], "packed": [_pack_counts(keys[own], counts[own])]})
-
-    def merge(table: pa.Table) -> pa.Table:
-        parts = [_unpack_counts(raw, n) for raw, n in zip(table.column("packed").to_pylist(), table.column("n").to_pylist())]
-        keys, counts = _add_up(*(np.concatenate(x) for x in zip(*parts)))
-        return pa.table([pa.array(keys.view(np.int64)), *(pa.array(counts[:, k]) for k in range(len(COUNTS)))], ["gram", *COUNTS])
-
-    partial = texts.select("text", "group").mapInArrow(count, "range long, n long, packed binary")
-    return partial.groupBy("range").applyInArrow(merge, "gram long, " + ", ".join(f"{c} long" for c in COUNTS))
+                yield from counter.add(*add_up(grams, table[word]))
+        yield from counter.flush()
+
+    return merged(texts.select("text", "group").mapInArrow(count, PACKED), list(COUNTS)).withColumnRenamed("key", "gram")
 
 
 def shared_model(grams: DataFrame) -> DataFrame:
@@ -178,116 +139,233 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     return own.union(unseen)
 
 
-def write_shards(ratios: DataFrame, most: int, folder: str) -> None:
-    """The scoring table, every key of it, dealt over files; `most` keys at most."""
-    ratios.repartition(1 + most // SHARD, "key").sortWithinPartitions("key").write.parquet(folder)
-
-
-_held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _shards(folder: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ascending keys and their ratios per model, a file at a time; a worker keeps the first HELD keys."""
-    import pyarrow.parquet as pq
+FEATURES, WORST = 4, 5
+WANTED = "path string, range long, n long, packed binary"
 
-    filesystem, _ = filesystem_of(folder)
-    names = _listed(folder)
-    for name in [n for n in _held if n not in names]:
-        del _held[name]
-    for name in names:
-        if name in _held:
-            yield _held[name]
-            continue
-        table = pq.read_table(name, filesystem=filesystem)
-        shard = table.column("key").to_numpy(), np.stack([table.column(m).to_numpy() for m in MODELS], axis=1)
-        if sum(len(k) for k, _ in _held.values()) + len(shard[0]) <= HELD:
-            _held[name] = shard
-        yield shard
 
+def _shards(ratios: DataFrame, ranges: int) -> DataFrame:
+    """The scoring table in packed rows, one per range of contexts; a gram lies with its context."""
+    context = F.when(F.col("key") >= 0, F.shiftrightunsigned("key", 8)).otherwise(-(F.col("key") + 1))
 
-@lru_cache(maxsize=1)
-def _listed(folder: str) -> tuple[str, ...]:
-    from pyarrow.fs import FileSelector
+    def shard(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_numpy().view(np.uint64)
+        values = np.stack([table.column(m).to_numpy() for m in MODELS], axis=1)
+        order = np.argsort(keys)
+        packed = pack(keys[order], values[order].astype("<f4"))
+        return pa.table({"range": [table.column("range")[0].as_py()], "n": [len(keys)], "packed": pa.array([packed], pa.binary())})
 
-    filesystem, path = filesystem_of(folder)
-    return tuple(sorted(f.path for f in filesystem.get_file_info(FileSelector(path)) if f.path.endswith(".parquet")))
+    ranged = ratios.withColumn("range", F.pmod(context, F.lit(ranges).cast("long")))
+    return ranged.groupBy("range").applyInArrow(shard, "range long, n long, packed binary")
 
 
-def ratios_of(grams: np.ndarray, folder: str) -> np.ndarray:
-    """Of distinct grams, by their own keys, else by those of their contexts, else 0."""
-    wanted = grams.view(np.int64)
-    contexts, context = np.unique((grams >> U64(8)).view(np.int64), return_inverse=True)
-    out, spare = (np.zeros((len(x), len(MODELS)), np.float32) for x in (wanted, contexts))
-    seen = np.zeros(len(wanted), bool)
+def look_up(grams: np.ndarray, keys: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The ratios of grams by their own keys, else by those of their contexts, else 0; `keys` ascend."""
+    out = np.zeros((len(grams), ratios.shape[1]), np.float32)
+    if not len(keys):
+        return out
 
-    def find(x: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(x: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-        hit = np.flatnonzero(keys[at] == x)
-        return hit, at[hit]
-
-    for keys, ratios in _shards(folder):
-        if len(keys):
-            hit, at = find(wanted, keys)
-            out[hit], seen[hit] = ratios[at], True
-            hit, at = find(-contexts - 1, keys)
-            spare[hit] = ratios[at]
-    return np.where(seen[:, None], out, spare[context])
-
-
-FEATURES, WORST = 4, 5
-
-
-def _scores(chunk: list[tuple], folder: str) -> Iterator[pa.RecordBatch]:
-    every = np.unique(np.concatenate([part[5] for part in chunk]))
-    found = ratios_of(every, folder)
-    for names, codes, rows, sizes, edges, distinct, place in chunk:
-        n = len(names)
-        out = np.zeros((n, len(MODELS), FEATURES))
-        if len(codes):
-            own = found[np.searchsorted(every, distinct)].astype(np.float64)[place]
-            per_word = np.add.reduceat(own, edges, axis=0)[codes]
-            cuts = np.searchsorted(rows, np.arange(n + 1))
-            full = np.flatnonzero(np.diff(cuts))
-            lengths = np.add.reduceat(sizes.astype(np.float64), cuts[:-1][full])
-            out[full, :, 0] = np.add.reduceat(per_word, cuts[:-1][full], axis=0) / lengths[:, None]
-            sums = np.concatenate([np.zeros((1, len(MODELS))), np.cumsum(per_word, axis=0)])
-            bytes_ = np.concatenate([[0.0], np.cumsum(sizes, dtype=np.float64)])
-            stop = np.minimum(np.arange(len(rows)) + WINDOW, cuts[rows + 1])
-            begin = np.maximum(stop - WINDOW, cuts[rows])
-            windows = (sums[stop] - sums[begin]) / (bytes_[stop] - bytes_[begin])[:, None]
-            out[full, :, 1] = np.maximum.reduceat(windows, cuts[:-1][full], axis=0)
-            out[full, :, 2] = np.maximum.reduceat(per_word, cuts[:-1][full], axis=0)
-            for k in range(len(MODELS)):
-                worst = np.lexsort((-per_word[:, k], rows))  # rows stay in place, the worst words first
-                among = np.arange(len(rows)) - cuts[rows] < WORST
-                out[:, k, 3] = np.bincount(rows[among], per_word[worst, k][among], n) / WORST
-        columns = [pa.array(out[:, k].tolist(), pa.list_(pa.float64())) for k in range(len(MODELS))]
-        yield pa.RecordBatch.from_arrays([names, *columns], ["doc_id", *MODELS])
-
-
-def measure(texts: DataFrame, folder: str) -> DataFrame:
+        return np.where(keys[at] == x, at, -1)
+
+    at = find(grams)
+    unseen = np.flatnonzero(at < 0)
+    contexts, place = np.unique(grams[unseen] >> U64(8), return_inverse=True)
+    at[unseen] = find((-contexts.view(np.int64) - 1).view(np.uint64))[place]
+    hit = at >= 0
+    out[hit] = ratios[at[hit]]
+    return out
+
+
+def _ordered_grams(sizes: np.ndarray, words: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of words side by side: the distinct grams by range and gram, the start of each range that has one, the place
+    of each word's grams among them, and the first gram of each word."""
+    ends = np.cumsum(sizes)
+    grams, word = word_grams(words, ends - sizes, ends)
+    distinct, place = np.unique(grams, return_inverse=True)
+    of = ((distinct >> U64(8)) % U64(ranges)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    cuts = np.searchsorted(of[order], np.arange(ranges + 1))
+    return distinct[order], cuts, back[place], np.flatnonzero(np.diff(word, prepend=-1))
+
+
+class Chunk:
+    """Texts that are scored together: of each its words, as numbers of the distinct words of the chunk."""
+
+    def __init__(self):
+        self.names: list[pa.Array] = []
+        self.per_text: list[np.ndarray] = []
+        self.codes: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.words: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, names: pa.Array, data: np.ndarray, bounds: np.ndarray) -> None:
+        starts, ends, rows = word_bounds(data, bounds)
+        hashes = word_hashes(data, starts, ends, fold=True)
+        codes, some = _distinct(hashes)
+        sizes = (ends - starts)[some]
+        take = np.arange(int(sizes.sum())) + np.repeat(starts[some] - (np.cumsum(sizes) - sizes), sizes)
+        self.names.append(names)
+        self.per_text.append(np.bincount(rows, minlength=len(names)))
+        self.codes.append(codes.astype(np.int32))
+        self.hashes.append(hashes[some])
+        self.words.append((sizes, data[take]))
+        self.size += len(data)
+
+    def write(self, folder: str) -> tuple[str, np.ndarray, np.ndarray]:
+        """Path, sizes and bytes of the distinct words."""
+        offset = np.cumsum([0, *map(len, self.hashes)])
+        code, some = _distinct(np.concatenate(self.hashes))
+        sizes = np.concatenate([s for s, _ in self.words])
+        data = np.concatenate([d for _, d in self.words])
+        begin = (np.cumsum(sizes) - sizes)[some]
+        sizes = sizes[some]
+        words = data[np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)]
+        codes = np.concatenate([code[o + c] for o, c in zip(offset, self.codes)]).astype("<i4")
+        path = new_file(folder, "texts", ".chunk")
+        names = pa.concat_arrays(self.names)
+        columns = {
+            "names": pa.array([names.to_pylist()], pa.list_(pa.int64())),
+            "per_text": [np.concatenate(self.per_text).astype("<i8").tobytes()],
+            "codes": [np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()],
+            "sizes": [sizes.astype("<i8").tobytes()],
+            "words": [words.tobytes()],
+        }
+        packer = zstandard.ZstdCompressor(level=3)
+        with open_write(path) as out, packer.stream_writer(out, closefd=False) as packed:
+            table = pa.table(columns)
+            with pa.ipc.new_stream(packed, table.schema) as writer:
+                writer.write_table(table)
+        return path, sizes, words
+
+
+def _read_chunk(path: str) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    with open_read(path) as file:
+        raw = zstandard.ZstdDecompressor().decompressobj().decompress(file.read())
+    row = pa.ipc.open_stream(raw).read_all()
+    numbers = {c: np.frombuffer(row.column(c)[0].as_py(), "<i8") for c in ("per_text", "sizes")}
+    codes = np.frombuffer(row.column("codes")[0].as_py(), np.uint8).reshape(4, -1)
+    codes = np.ascontiguousarray(codes.T).view("<i4").reshape(-1)
+    words = np.frombuffer(row.column("words")[0].as_py(), np.uint8)
+    return row.column("names").combine_chunks().flatten(), numbers["per_text"], codes, numbers["sizes"], words
+
+
+def _features(per_word: np.ndarray, sizes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """FEATURES of texts whose words, with their log ratios and sizes, lie between the cuts."""
+    n = len(cuts) - 1
+    out = np.zeros((n, FEATURES))
+    full = np.flatnonzero(np.diff(cuts))
+    if not len(full):
+        return out
+    first = cuts[:-1][full]
+    rows = np.repeat(np.arange(n), np.diff(cuts))
+    out[full, 0] = np.add.reduceat(per_word, first) / np.add.reduceat(sizes, first)
+    sums, bytes_ = (np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]) for x in (per_word, sizes))
+    stop = np.minimum(np.arange(len(rows)) + WINDOW, cuts[rows + 1])
+    begin = np.maximum(stop - WINDOW, cuts[rows])
+    out[full, 1] = np.maximum.reduceat((sums[stop] - sums[begin]) / (bytes_[stop] - bytes_[begin]), first)
+    out[full, 2] = np.maximum.reduceat(per_word, first)
+    worst = np.lexsort((-per_word, rows))  # rows stay in place, the worst words first
+    among = np.arange(len(rows)) - cuts[rows] < WORST
+    out[:, 3] = np.bincount(rows[among], per_word[worst][among], n) / WORST
+    return out
+
+
+def _score_chunk(path: str, found: list[np.ndarray], ranges: int, models: int) -> Iterator[pa.RecordBatch]:
+    names, per_text, codes, sizes, words = _read_chunk(path)
+    if len(sizes):
+        _, _, place, edges = _ordered_grams(sizes, words, ranges)
+        ratios = np.concatenate(found)
+        per_word = [np.add.reduceat(ratios[place, k].astype(np.float64), edges) for k in range(models)]
+    cuts = np.concatenate([[0], np.cumsum(per_text)])
+    first = 0
+    while first < len(names):
+        last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + BLOCK_WORDS, "right")) - 1)
+        own = codes[cuts[first] : cuts[last]]
+        if len(own):
+            size = (sizes[own] + 1).astype(np.float64)
+            columns = [_features(x[own], size, cuts[first : last + 1] - cuts[first]) for x in per_word]
+        else:
+            columns = [np.zeros((last - first, FEATURES))] * models
+        lists = [pa.array(x.tolist(), pa.list_(pa.float64())) for x in columns]
+        yield pa.RecordBatch.from_arrays([names[first:last], *lists], ["doc_id", *(f"m{k}" for k in range(models))])
+        first = last
+
+
+def measure(texts: DataFrame, shards: DataFrame, ranges: int, models: tuple[str, ...], work: Work) -> DataFrame:
     """doc_id and FEATURES log ratios for each model: per byte of the whole text and of the worst window; of the
-    worst word; mean of the WORST worst words."""
+    worst word; mean of the WORST worst words.
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk: list[tuple] = []
+    Texts are read once: a chunk of them becomes a file of word numbers, and its distinct grams go to the ranges of
+    the scoring table, packed. Every range is read once, and what it has for a chunk goes back to that chunk.
+    """
+    folder = work.folder("chunks")
+    make_folder(folder)
+    chosen = [list(MODELS).index(m) for m in models]
+
+    def want(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(chunk: Chunk) -> Iterator[pa.RecordBatch]:
+            path, sizes, words = chunk.write(folder)
+            own = [(-1, 0, b"")]  # says that there is a chunk, if it has no word
+            if len(sizes):
+                grams, cuts, _, _ = _ordered_grams(sizes, words, ranges)
+                nothing = np.zeros((len(grams), 0), np.uint8)
+                own += [(k, int(b - a), pack(grams[a:b], nothing[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            columns = [[path] * len(own), *map(list, zip(*own))]
+            yield pa.RecordBatch.from_pydict(dict(zip(["path", "range", "n", "packed"], columns)))
+
+        chunk = Chunk()
         for batch in batches:
             for first, last, data, bounds in slices(batch.column("text")):
-                starts, ends, rows = word_bounds(data, bounds)
-                codes, some = _distinct(word_hashes(data, starts, ends, fold=True))
-                grams, word = word_grams(data, starts[some], ends[some])
-                edges = np.flatnonzero(np.diff(word, prepend=-1))
-                distinct, place = np.unique(grams, return_inverse=True)
-                sizes = (ends - starts + 1).astype(np.int32)
-                parts = codes.astype(np.int32), rows.astype(np.int32), sizes, edges, distinct, place.astype(np.int32)
-                chunk.append((batch.column("doc_id")[first:last], *parts))
-                if len(chunk) == CHUNK:
-                    yield from _scores(chunk, folder)
-                    chunk = []
-        if chunk:
-            yield from _scores(chunk, folder)
+                chunk.add(batch.column("doc_id")[first:last], data, bounds)
+                if chunk.size >= CHUNK_BYTES:
+                    yield from close(chunk)
+                    chunk = Chunk()
+        if chunk.names:
+            yield from close(chunk)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, keys, ratios = None, np.zeros(0, np.uint64), np.zeros((0, len(MODELS)), np.float32)
+        for batch in batches:
+            out: list[tuple] = []
+            for path, of, n, raw in zip(*(batch.column(c).to_pylist() for c in ("path", "range", "n", "packed"))):
+                if path is None:
+                    current = of
+                    keys, ratios = unpack(raw, n, "<f4", len(MODELS))
+                    continue
+                if of != current:  # no label has taught anything here
+                    current, keys, ratios = of, keys[:0], ratios[:0]
+                grams, _ = unpack(raw, n, np.uint8, 0)
+                out.append((path, of, n, look_up(grams, keys, ratios[:, chosen]).astype("<f4").tobytes()))
+            if out:
+                yield pa.RecordBatch.from_pydict(dict(zip(["path", "range", "n", "packed"], map(list, zip(*out)))))
 
-    return texts.select("doc_id", "text").mapInArrow(score, "doc_id long, " + ", ".join(f"{m} array<double>" for m in MODELS))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, found = None, []
+        for batch in batches:
+            for path, n, raw in zip(*(batch.column(c).to_pylist() for c in ("path", "n", "packed"))):
+                if path != current:
+                    if current is not None:
+                        yield from _score_chunk(current, found, ranges, len(chosen))
+                    current, found = path, []
+                if n:
+                    found.append(np.frombuffer(raw, "<f4").reshape(n, len(chosen)))
+        if current is not None:
+            yield from _score_chunk(current, found, ranges, len(chosen))
+
+    wanted = work.table(texts.select("doc_id", "text").mapInArrow(want, WANTED), "wanted", "uncompressed")
+    asked = wanted.filter("range >= 0").select(F.lit(1).alias("kind"), "path", "range", "n", "packed")
+    held = shards.select(F.lit(0).alias("kind"), F.lit(None).cast("string").alias("path"), "range", "n", "packed")
+    met = held.union(asked).repartition("range").sortWithinPartitions("range", "kind")
+    answers = met.select("path", "range", "n", "packed").mapInArrow(answer, WANTED)
+    there = wanted.filter("range < 0").select("path", "range", "n", "packed")
+    by_chunk = there.union(answers).repartition("path").sortWithinPartitions("path", "range")
+    columns = ", ".join(f"m{k} array<double>" for k in range(len(chosen)))
+    scored = by_chunk.mapInArrow(score, f"doc_id long, {columns}")
+    return work.table(scored.select("doc_id", *(F.col(f"m{k}").alias(m) for k, m in enumerate(models))), "measured")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,16 +402,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, work: Work | None = None) -> Da
     taught = taught.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     group = F.coalesce(F.when(F.col("toxic") > 0, 2 + fold).otherwise(F.when(F.col("toxic").isNotNull(), fold)), F.lit(4))
-    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grams = work.table(count_grams(texts.join(taught, "doc_id", "left").withColumn("group", group), ranges), "grams", "zstd")
-    table = work.folder("ratios")
-    write_shards(log_ratios(grams), 2 * grams.count(), table)  # a gram and its context at most
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taught = work.table(taught, "taught")
+    side = F.broadcast(taught) if taught.count() <= FEW_LABELS else taught
+    grams = work.table(count_grams(texts.join(side, "doc_id", "left").withColumn("group", group), 4 * partitions), "grams", "zstd")
+    ratios = work.table(log_ratios(grams), "ratios")
     work.drop(grams)
-    measured = work.table(measure(texts, table), "measured")
-
+    ranges = max(ratios.count() // SHARD, 2 * partitions) | 1  # odd: bytes of contexts spread over all ranges
+    shards = work.table(_shards(ratios, ranges), "shards", "uncompressed")
+    work.drop(ratios)
+
+    order = F.xxhash64("doc_id")
+    sampled = texts.select("doc_id").join(side, "doc_id").orderBy(order, "doc_id").limit(SAMPLE).select("doc_id").distinct()
+    sampled = work.table(sampled, "sampled")  # SAMPLE ids at most
+    measured = measure(texts, shards, ranges, ("all",), work)
+    known = texts.join(F.broadcast(sampled), "doc_id")
+    without = measure(known, shards, ranges, ("without0", "without1"), work)
     other = F.when(fold == 0, F.col("without0")).otherwise(F.col("without1"))
-    sample = measured.join(taught, "doc_id").select(other.alias("x"), "toxic", F.xxhash64("doc_id").alias("order"))
-    rows = sample.orderBy("order").limit(SAMPLE).select("x", "toxic").toArrow()  # bounded
+    sample = without.join(side, "doc_id").select(other.alias("x"), "toxic", order.alias("order"), "doc_id")
+    rows = sample.orderBy("order", "doc_id", "x").limit(SAMPLE).select("x", "toxic").toArrow()  # bounded
     y = np.array(rows.column("toxic").to_pylist(), np.float64) > 0
     remainder = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5))
     if y.all() or not y.any():
