@@ -47,7 +47,7 @@ def letters(made, staging):
 def test_ramp(spark, staging):
     made = stored(spark, staging, ("1", "r", "s", range(1, 9)))
     smoothed = smoothing.moving_average(made, SPEC, SCALE, staging)
-    means = [r.movingAvg for r in smoothed.orderBy("pos").collect()]
+    means = [r.smoothed_x for r in smoothed.orderBy("pos").collect()]
     assert means == [1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5]
     cuts = breakpoints(smoothed, SPEC, SCALE, staging).first()
     assert cuts.quantiles == [1.5, 2.5, 3.0, 4.0]
@@ -58,7 +58,7 @@ def test_ramp(spark, staging):
 def test_the_frame_is_seventeen_rows(spark, staging):
     made = stored(spark, staging, ("1", "r", "s", [1000] + [0] * 20))
     rows = smoothing.moving_average(made, SPEC, SCALE, staging).orderBy("pos").collect()
-    assert [r.movingAvg > 0 for r in rows] == [True] * 17 + [False] * 4
+    assert [r.smoothed_x > 0 for r in rows] == [True] * 17 + [False] * 4
 
 
 def test_constant(spark, staging):
@@ -91,7 +91,7 @@ def test_records_as_short_as_a_prefix(spark, staging):
 def test_two_sids_share_breakpoints_and_the_average_but_not_words(spark, staging):
     made = stored(spark, staging, ("0", "i", "a", [0] * 6), ("0", "i", "b", [90] * 6))
     rows = smoothing.moving_average(made, SPEC, SCALE, staging).orderBy("sid", "pos").collect()
-    assert rows[6].movingAvg == pytest.approx(90 / 7)
+    assert rows[6].smoothed_x == pytest.approx(90 / 7)
     found = transition_table(made, SPEC, SCALE, staging).collect()
     assert all(len(set(r.SEQ)) == 1 for r in found)
 

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from wavesym.catalog import forest_scores
+from wavesym.catalog import stored_scores
+from wavesym.plans import model
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -25,7 +26,7 @@ def leaf(node, x):
 
 
 def test_scores_are_those_of_the_stored_trees(spark):
-    loaded, scored = forest_scores(spark, FOLDER)
+    loaded, scored = stored_scores(spark, FOLDER, model.FOREST)
     trees = [plain(t._java_obj.rootNode()) for t in loaded.bestModel.stages[0].trees]
     rows = scored.select("features", "rawPrediction", "probability", "prediction").collect()
     assert len(trees) == 40 and rows

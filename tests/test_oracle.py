@@ -15,7 +15,8 @@ def con():
 
 
 def test_sql_only_for_known_queries():
-    assert set(ORACLE_SQL) == set(QUERIES)
+    # the draws of a forest are more than SQL states; tests/test_forest.py applies its trees
+    assert set(ORACLE_SQL) == set(QUERIES) - {"rf_score"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))

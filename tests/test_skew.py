@@ -119,7 +119,7 @@ def test_moving_average(records, points, staging, kind, scale):
     want = fixtures.smoothed(RECORDS)
     assert len(got) == len(want)
     for r in got:
-        assert r.movingAvg == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
+        assert r.smoothed_x == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
 
 
 def test_many_short_records_across_blocks(spark, staging):
@@ -131,7 +131,7 @@ def test_many_short_records_across_blocks(spark, staging):
     want = fixtures.smoothed(rows)
     assert {(r.id, r.sid, r.pos) for r in got} == set(want)
     for r in got:
-        assert r.movingAvg == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
+        assert r.smoothed_x == pytest.approx(want[r.id, r.sid, r.pos], abs=1e-9)
 
 
 def plain_cuts(values, probs=SPEC.probs):
@@ -163,9 +163,9 @@ def test_breakpoints_are_exact(spark, staging, hot_rows, broadcast_rows):
     values["close"] = [100 + rng.randrange(3000) * 2.0**-46 for _ in range(2000)]
     rows = [(i, v) for i, own in values.items() for v in own]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "id string, movingAvg double")
+    df = spark.createDataFrame(rows, "id string, smoothed_x double")
     scale = Scale(hot_rows=hot_rows, hot_keys=10, broadcast_rows=broadcast_rows)
-    for layout in (df, df.repartition(7), df.repartition("movingAvg")) if hot_rows == 7 else (df,):
+    for layout in (df, df.repartition(7), df.repartition("smoothed_x")) if hot_rows == 7 else (df,):
         got = {r.id: list(r.quantiles) for r in bp.breakpoints(layout, SPEC, scale, staging).collect()}
         assert got.keys() == values.keys()
         for i, own in values.items():
@@ -184,7 +184,7 @@ def test_bins_keep_the_order_of_values(spark):
 
 def test_breakpoints_with_heavy_ties(spark, staging):
     df = spark.range(3000).select(
-        F.lit("a").alias("id"), F.when(F.col("id") < 2000, 5.0).otherwise(9.0).alias("movingAvg")
+        F.lit("a").alias("id"), F.when(F.col("id") < 2000, 5.0).otherwise(9.0).alias("smoothed_x")
     )
     assert bp.breakpoints(df, SPEC, WIDE, staging).first().quantiles == [5.0, 5.0, 5.0, 9.0]
     assert bp.breakpoints(df.limit(0), SPEC, WIDE, staging).collect() == []

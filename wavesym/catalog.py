@@ -8,20 +8,25 @@ from dataclasses import replace
 from functools import cached_property
 from math import ceil
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from wavesym.functions import sql as sql_functions
 from wavesym.operators import breakpoints as bp
 from wavesym.operators import evaluation, segments, smoothing, symbols, words
 from wavesym.operators import features as ft
 from wavesym.operators import templates as tp
+from wavesym.operators.ordering import read_ordered, store_ordered
 from wavesym.operators.skew import key_sizes
 from wavesym.plans import batch, model
 from wavesym.schemas import DESCRIPTIVES, RECORD_KEY, RESULT, feature_names
 from wavesym.settings import Scale, Spec
-from wavesym.sources import records, results, tables
+from wavesym.sources import commits, records, results, tables
 from wavesym.sources.staging import Staging
+from wavesym.streaming.progress import ProgressLog
 from wavesym.streaming.run import classify_stream
 
 SPEC = Spec()
@@ -211,7 +216,7 @@ def explode_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def moving_average(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(Run(spark, folder, "lineitem").smoothed(), ["movingAvg"])
+    return rounded(Run(spark, folder, "lineitem").smoothed(), ["smoothed_x"])
 
 
 def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,17 +227,46 @@ def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     return quantile_columns(bp.breakpoints(smoothed, SPEC, SCALE, run.staging))
 
 
+def hot_points(spark: SparkSession, folder: str) -> DataFrame:
+    """All prices, seven suppliers of ten taken together as one id: it holds most points."""
+    hot = F.when(F.col("l_suppkey") % 10 < 7, F.lit("hot")).otherwise(F.col("l_suppkey").cast("string"))
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return items.select(hot.alias("id"), F.col("l_extendedprice").cast("double").alias("smoothed_x"))
+
+
+def quantiles_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quantiles where one id holds most points, which are ranked in finer and finer bins of few points."""
+    scale = replace(SCALE, hot_rows=200, broadcast_rows=0)
+    return quantile_columns(bp.breakpoints(hot_points(spark, folder), SPEC, scale, Staging(spark)))
+
+
+def ordered(df: DataFrame, keys: list[str], staging: Staging) -> DataFrame:
+    """The rows of `df` with their positions in the order of `keys`, from a stored result in that order."""
+    path = staging.folder("ordered")
+    store_ordered(df, keys, path)
+    return read_ordered(df.sparkSession, path, df.schema, SCALE)
+
+
 def quantiles_sql(spark: SparkSession, folder: str) -> DataFrame:
-    """Plain SQL over a view of the smoothed points; the view has a name of its own for each call."""
+    """Plain SQL over a view of the smoothed points, its rows in the order of id."""
+    run = Run(spark, folder, "events")
     view = f"smoothed_{uuid.uuid4().hex}"
-    Run(spark, folder, "events").smoothed().createOrReplaceTempView(view)
+    run.smoothed().createOrReplaceTempView(view)
     names = [f"q{i + 1}" for i in range(len(SPEC.probs))]
-    cuts = ", ".join(f"approx_percentile(movingAvg, {p}D, {SPEC.accuracy}) as {n}" for n, p in zip(names, SPEC.probs))
-    return rounded(spark.sql(f"select id, {cuts} from {view} group by id"), names)
+    cuts = ", ".join(f"approx_percentile(smoothed_x, {p}D, {SPEC.accuracy}) as {n}" for n, p in zip(names, SPEC.probs))
+    found = rounded(spark.sql(f"select id, {cuts} from {view} group by id"), names)
+    return ordered(found, ["id"], run.staging)
+
+
+def ordered_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Every point with its position in the order of value, id, sid and place."""
+    run = Run(spark, folder, "events")
+    return ordered(segments.explode_points(run.segments), ["x", "id", "sid", "pos"], run.staging)
 
 
 def sax_symbols(spark: SparkSession, folder: str) -> DataFrame:
-    return symbols.point_symbols(Run(spark, folder, "lineitem").cut_segments(), SPEC)
+    lettered = symbols.point_symbols(Run(spark, folder, "lineitem").cut_segments(), SPEC)
+    return lettered.withColumnRenamed("SAX", "letter")
 
 
 # ---- words and transitions --------------------------------------------------------------------
@@ -302,6 +336,43 @@ def template_distance(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(Run(spark, folder, "lineitem").distances().drop("weight"), ["dist"])
 
 
+def distances_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The distances as text alone: named views per word length, and the point functions as SQL functions."""
+    run = Run(spark, folder, "events")
+    sql_functions.register(spark, SPEC)
+    tag = uuid.uuid4().hex
+    run.transitions().createOrReplaceTempView(f"shares_{tag}")
+    run.templates(run.segments).createOrReplaceTempView(f"pooled_{tag}")
+    vector = f"array({', '.join(SPEC.letters)})"
+    parts = []
+    for a in SPEC.word_lengths:
+        for name, columns in ((f"shares_{tag}", "label, id, sid, SEQ"), (f"pooled_{tag}", "SEQ")):
+            spark.sql(
+                f"create or replace temporary view {name}_{a} as "
+                f"select {columns}, {vector} as v from {name} where word_length = {a}"
+            )
+        parts.append(
+            f"select label, id, sid, {a} as word_length, SEQ, round(wave_distance(s.v, t.v) + 1e-9D, {DIGITS}) as dist "
+            f"from shares_{tag}_{a} s join pooled_{tag}_{a} t using (SEQ)"
+        )
+    return spark.sql(" union all ".join(parts))
+
+
+def letters_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts to numbers to letters in SQL text: each vector's values against the cuts of its smoothed series."""
+    run = Run(spark, folder, "embeddings")
+    sql_functions.register(spark, SPEC)
+    tag = uuid.uuid4().hex
+    text = tables.format_series(F.col("data")).alias("text")
+    tables.embedding_records(spark, folder).select("id", text).createOrReplaceTempView(f"series_{tag}")
+    cuts = bp.breakpoints(run.smoothed(), SPEC, SCALE, run.staging)
+    run.staging.table(cuts, "cuts").createOrReplaceTempView(f"cuts_{tag}")
+    return spark.sql(
+        f"select id, pos, wave_letter(x, quantiles) as letter from (select id, wave_series(text) as data from series_{tag}) "
+        f"join cuts_{tag} using (id) lateral view posexplode(data) as pos, x"
+    )
+
+
 # ---- features ---------------------------------------------------------------------------------
 
 
@@ -391,96 +462,145 @@ def stored_features(run: Run) -> DataFrame:
 
 
 def rf_train(spark: SparkSession, folder: str) -> DataFrame:
-    """What the rows and parameters of the training fix in the fitted forest; the rest is random."""
+    """Train the forest; the rows that each fold trained and validated on."""
     vectors = stored_features(Run(spark, folder, "embeddings"))
     training, _ = evaluation.split_by_id(vectors, F.expr(TEST_RULE))
-    fitted = model.train(training)
-    forest = fitted.bestModel.stages[0]
-    rows = [
-        ("training_rows", float(training.count())),
-        ("folds", float(fitted.getNumFolds())),
-        ("trees", float(forest.getNumTrees)),
-        ("depth", float(forest.getMaxDepth())),
-        ("features", float(forest.numFeatures)),
-        ("importances", round(float(sum(forest.featureImportances)), 6)),
-        ("accuracy_is_a_share", float(0 <= fitted.avgMetrics[0] <= 1)),
-    ]
-    return spark.createDataFrame(rows, "name string, value double")
+    folds = model.train(training).getNumFolds()
+    return model.fold_sizes(model.with_folds(training.filter("label is not null"), folds), folds)
 
 
-def forest_scores(spark: SparkSession, folder: str) -> tuple[CrossValidatorModel, DataFrame]:
+def stored_scores(spark: SparkSession, folder: str, parameters: dict) -> tuple[CrossValidatorModel, DataFrame]:
     """Train on one side of the split, store the model, load it and score the other side: the model and all scores."""
     run = Run(spark, folder, "embeddings")
     training, testing = evaluation.split_by_id(stored_features(run), F.expr(TEST_RULE))
     path = run.staging.folder("model")
-    model.save(model.train(training), path)
+    model.save(model.train(training, parameters=parameters), path)
     loaded = model.load(path)
     return loaded, model.score(loaded, testing)
 
 
-def rf_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Of the scores, what holds for any forest and SQL can state: they sum to one, and the largest decides."""
+def shares(scored: DataFrame) -> DataFrame:
+    """label, id, sid, the probabilities of the classes as p0 and p1, and the prediction."""
     from pyspark.ml.functions import vector_to_array
 
-    _, scored = forest_scores(spark, folder)
-    shares = vector_to_array("probability")
-    decided = F.get(shares, F.col("prediction").cast("int")) == F.array_max(shares)
-    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
-    return scored.select(*RECORD_KEY, tidy(total).alias("total"), decided.alias("largest_decides"))
+    p = vector_to_array("probability")
+    columns = [tidy(F.get(p, F.lit(k))).alias(f"p{k}") for k in range(2)]
+    return scored.select(*RECORD_KEY, *columns, "prediction")
+
 
+def rf_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities and prediction of every test record by the stored forest."""
+    return shares(stored_scores(spark, folder, model.FOREST)[1])
+
+
+def stump_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by a forest of one split, which SQL can find as well."""
+    return shares(stored_scores(spark, folder, model.STUMP)[1])
 
-def trained_classifier(run: Run, test_ids: Column | None) -> batch.Classifier:
+
+def trained_classifier(run: Run, test_ids: Column | None, parameters: dict = model.FOREST) -> batch.Classifier:
     templates = run.templates(run.segments)
     table = run.features(templates)
     vectors = run.staging.table(ft.feature_vector(table, SPEC), "vectors")
     training, _ = evaluation.split_by_id(vectors, F.expr(TEST_RULE))
-    fitted = model.train(training)
+    fitted = model.train(training, parameters=parameters)
     return batch.Classifier(templates, fitted, test_ids, SPEC, SCALE)
 
 
-def batch_output(spark: SparkSession, folder: str) -> batch.BatchOutput:
+def batch_output(spark: SparkSession, folder: str, parameters: dict = model.FOREST) -> batch.BatchOutput:
     run = Run(spark, folder, "embeddings")
-    classifier = trained_classifier(run, F.expr(TEST_RULE))
+    classifier = trained_classifier(run, F.expr(TEST_RULE), parameters)
     return batch.run_batch(flawed_messages(spark, folder), classifier, run.staging)
 
 
 def pipeline_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """A batch with spoilt messages: its counts, and whether its metrics are shares."""
-    done = batch_output(spark, folder)
-    scored = done.predictions.agg(F.count(F.lit(1)).alias("n_scored"))
-    share = F.col("accuracy").between(0, 1).alias("accuracy_is_a_share")
-    return done.result.select("batch_id", "n_records", "n_rejects", share).join(F.broadcast(scored))
+    """A batch with spoilt messages, from texts to metrics, by a forest of one split."""
+    names = ["accuracy", "sensitivity", "specificity", "f1"]
+    return rounded(batch_output(spark, folder, model.STUMP).result.select("batch_id", "n_scored", *names), names)
 
 
-def streamed(spark: SparkSession, folder: str, texts: DataFrame) -> str:
-    """The folder in which a stream of messages leaves its outputs, after some four batches of files.
+def batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in and out of the stages of a batch, seen by the passes that do the work."""
+    done = batch_output(spark, folder, model.STUMP)
+    stages = "'messages', n_messages, 'records', n_records, 'rejects', n_rejects, 'points', n_points, 'features', n_features, 'scored', n_scored"
+    return done.result.selectExpr("batch_id", f"stack(6, {stages}) as (stage, n)")
 
-    Equal messages are in one file.
-    """
-    run = Run(spark, folder, "embeddings")
-    inbox, output, checkpoint = (
-        run.staging.folder(n) for n in ("inbox", "output", "checkpoint")
-    )
-    part = F.pmod(F.xxhash64("value"), F.lit(4)).alias("part")
-    texts.select("value", part).repartition("value").write.partitionBy("part").text(inbox)
-    files = len(spark.read.text(inbox).inputFiles())
-    classifier = trained_classifier(run, None)
-    stream = records.stream_messages(spark, inbox, files_per_batch=max(1, ceil(files / 4)))
-    classify_stream(stream, classifier, output, checkpoint, available_now=True).awaitTermination()
-    return output
+
+class Streamed:
+    """A stream of messages in some four batches of files; equal messages are in one file."""
+
+    def __init__(self, spark: SparkSession, folder: str, texts: DataFrame, parameters: dict = model.FOREST):
+        self.spark = spark
+        run = Run(spark, folder, "embeddings")
+        self.inbox, self.output, self.checkpoint = (
+            run.staging.folder(n) for n in ("inbox", "output", "checkpoint")
+        )
+        part = F.pmod(F.xxhash64("value"), F.lit(4)).alias("part")
+        texts.select("value", part).repartition("value").write.partitionBy("part").text(self.inbox)
+        self.per_batch = max(1, ceil(len(spark.read.text(self.inbox).inputFiles()) / 4))
+        self.classifier = trained_classifier(run, None, parameters)
+
+    def start(self, after: Callable[[int, str], None] | None = None) -> StreamingQuery:
+        stream = records.stream_messages(self.spark, self.inbox, files_per_batch=self.per_batch)
+        return classify_stream(stream, self.classifier, self.output, self.checkpoint, available_now=True, after=after)
+
+    def sink(self, name: str) -> DataFrame:
+        return commits.read_sink(self.spark, self.output, name)
+
+
+def finished(stream: Streamed) -> Streamed:
+    stream.start().awaitTermination()
+    return stream
 
 
 def stream_features(spark: SparkSession, folder: str) -> DataFrame:
     """Features of all records, from a stream of messages."""
     names = feature_names(SPEC.word_lengths)
-    log = spark.read.parquet(f"{streamed(spark, folder, messages(spark, folder))}/features")
+    log = finished(Streamed(spark, folder, messages(spark, folder))).sink("features")
     return rounded(log.select(*RECORD_KEY, *names), names)
 
 
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """What a stream of messages sets aside."""
-    output = streamed(spark, folder, flawed_messages(spark, folder))
-    return described_rejects(spark.read.parquet(f"{output}/rejects"))
+    return described_rejects(finished(Streamed(spark, folder, flawed_messages(spark, folder))).sink("rejects"))
+
+
+class Stopped(Exception):
+    """Raised in a query to stop a stream between two sinks."""
+
+
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that dies in its second batch, between two sinks, and goes on from its checkpoint.
+
+    Every record's prediction, and how many committed batches have it: the dead attempt has left no trace.
+    """
+    stream = Streamed(spark, folder, messages(spark, folder), model.STUMP)
+
+    def fail(batch_id: int, sink: str) -> None:
+        if (batch_id, sink) == (1, "features"):
+            raise Stopped(f"after {sink} of batch {batch_id}")
+
+    try:
+        stream.start(fail).awaitTermination()
+    except StreamingQueryException:
+        pass
+    finished(stream)
+    seen = stream.sink("features").groupBy(*RECORD_KEY).agg(F.count(F.lit(1)).alias("n_features"))
+    scored = shares(stream.sink("predictions")).withColumn("label", F.col("label").cast("string"))
+    return scored.join(seen, RECORD_KEY)
+
+
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of what the batches of a stream say of themselves, over those that its listener was told of."""
+    stream = Streamed(spark, folder, flawed_messages(spark, folder), model.STUMP)
+    with ProgressLog(spark) as log:
+        query = stream.start()
+        query.awaitTermination()
+        log.wait(str(query.runId))
+        told = log.table().filter(F.col("run") == str(query.runId))
+    batches = told.select("batch_id").distinct()  # what was not told is missing in the sums
+    names = ["n_messages", "n_records", "n_rejects", "n_points", "n_features"]
+    return stream.sink("results").join(batches, "batch_id").agg(*[F.sum(c).alias(c) for c in names])
 
 
 QUERIES: dict[str, Query] = {
@@ -495,7 +615,9 @@ QUERIES: dict[str, Query] = {
         explode_points,
         moving_average,
         quantile_breakpoints,
+        quantiles_hot,
         quantiles_sql,
+        ordered_points,
         sax_symbols,
         sax_words,
         word_columns,
@@ -509,6 +631,8 @@ QUERIES: dict[str, Query] = {
         template_read,
         template_match,
         template_distance,
+        distances_sql,
+        letters_sql,
         merge_lengths,
         distance_reduce,
         distance_features,
@@ -521,8 +645,12 @@ QUERIES: dict[str, Query] = {
         metrics,
         rf_train,
         rf_score,
+        stump_score,
         pipeline_batch,
+        batch_metrics,
         stream_features,
         stream_rejects,
+        stream_restart,
+        stream_progress,
     )
 }

@@ -65,11 +65,11 @@ def _value() -> Column:
 def breakpoints(smoothed: DataFrame, spec: Spec, scale: Scale, staging: Staging) -> DataFrame:
     """id, quantiles: for each probability the least value that leaves no larger share above it.
 
-    `smoothed` (id, movingAvg) is read twice, the second time for the points of the few bins that hold a cut. An id
+    `smoothed` (id, smoothed_x) is read twice, the second time for the points of the few bins that hold a cut. An id
     sends at most one row per bin and task; a bin that is ranked has at most `scale.hot_rows` points. NaN is the
     greatest value. An id without points has no row.
     """
-    binned = smoothed.select("id", F.col("movingAvg").alias("x"), value_bin(F.col("movingAvg")).alias("bin"))
+    binned = smoothed.select("id", F.col("smoothed_x").alias("x"), value_bin(F.col("smoothed_x")).alias("bin"))
     bins = binned.groupBy("id", "bin").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
     held = staging.table(_holding(bins, None, spec).withColumn("value", _value()), "cuts")
     done = [held.filter("value is not null").select("id", "i", "value")]

@@ -24,8 +24,8 @@ def confusion(predictions: DataFrame) -> DataFrame:
     )
 
 
-def metrics(counts: DataFrame) -> DataFrame:
-    """accuracy, acc, precision, recall, sensitivity, specificity, f1; 0/0 is NaN.
+def metrics(counts: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """accuracy, acc, precision, recall, sensitivity, specificity, f1; 0/0 is NaN. `also` names counts to keep.
 
     `accuracy` is the evaluator's share of equal labels, `acc` the share of the two true cells.
     """
@@ -43,6 +43,7 @@ def metrics(counts: DataFrame) -> DataFrame:
         recall.alias("sensitivity"),
         ratio(tn, tn + fp).alias("specificity"),
         f1.alias("f1"),
+        *(also or []),
     )
 
 

@@ -12,7 +12,7 @@ from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
 from wavesym.sources.staging import Staging
 
-POINT = [*RECORD_KEY, "pos", "x", "movingAvg"]
+POINT = [*RECORD_KEY, "pos", "x", "smoothed_x"]
 
 
 def _whole_frames(segments: DataFrame, spec: Spec) -> DataFrame:
@@ -30,7 +30,7 @@ def _whole_frames(segments: DataFrame, spec: Spec) -> DataFrame:
             *RECORD_KEY,
             (F.col("first") + F.col("i")).alias("pos"),
             "x",
-            trailing_mean(F.col("series"), F.col("i"), spec.lookback).alias("movingAvg"),
+            trailing_mean(F.col("series"), F.col("i"), spec.lookback).alias("smoothed_x"),
         )
     )
 
@@ -79,7 +79,7 @@ def _record_starts(
     return (
         carried.select(*RECORD_KEY, "carried", "head", F.posexplode("head").alias("i", "x"))
         .select(*RECORD_KEY, F.col("i").cast("long").alias("pos"), "x", frame.alias("frame"))
-        .select(*RECORD_KEY, "pos", "x", (total / F.size("frame")).alias("movingAvg"))
+        .select(*RECORD_KEY, "pos", "x", (total / F.size("frame")).alias("smoothed_x"))
     )
 
 
@@ -90,7 +90,7 @@ def moving_average(
     staging: Staging,
     sizes: KeySizes | None = None,
 ) -> DataFrame:
-    """label, id, sid, pos, x, movingAvg for every point; `sizes` are the points per id, if known."""
+    """label, id, sid, pos, x, smoothed_x for every point; `sizes` are the points per id, if known."""
     # an id has at least as many points as records
     cold = sizes is not None and sizes.hot is None
     starts = _record_starts(segments, spec, scale, staging, cold)

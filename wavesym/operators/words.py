@@ -49,7 +49,7 @@ def prefix_totals(columns: DataFrame, a: int) -> DataFrame:
     """Rows per prefix s1..s(a-1), incomplete prefixes (with nulls) included."""
     prefix = [f"s{i}" for i in range(1, a)]
     return columns.groupBy("label", "sid", "id", *prefix).agg(
-        F.count(F.lit(1)).alias("totalCount")
+        F.count(F.lit(1)).alias("n_prefix")
     )
 
 
@@ -57,7 +57,7 @@ def transition_counts(columns: DataFrame, a: int) -> DataFrame:
     """Rows per prefix and next letter."""
     word = [f"s{i}" for i in range(1, a + 1)]
     return columns.groupBy("label", "sid", "id", *word).agg(
-        F.count(F.lit(1)).alias("transitionCount")
+        F.count(F.lit(1)).alias("n_word")
     )
 
 
@@ -70,12 +70,12 @@ def transition_pivot(counts: DataFrame, a: int, spec: Spec) -> DataFrame:
             *RECORD_KEY,
             F.concat(*prefix).alias("SEQ"),
             F.coalesce(f"s{a}", F.lit(end)).alias("next"),
-            "transitionCount",
+            "n_word",
         )
         .filter(F.col("SEQ").isNotNull())
         .groupBy(*RECORD_KEY, "SEQ")
         .pivot("next", [*spec.letters, end])
-        .agg(F.sum("transitionCount"))
+        .agg(F.sum("n_word"))
     )
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in [*spec.letters, end]), F.lit(0))
     return wide.select(

@@ -34,10 +34,10 @@ SMOOTH = """ma as (
   select *, avg(x) over (partition by id order by sid, pos
                          rows between 16 preceding and current row) as ma
   from pts),
-q as (
+q as materialized (
   select id, quantile_disc(ma, [0.2, 0.4, 0.6, 0.8]) as q from ma group by id)"""
 
-SAX = """sax as (
+LETTERED = """lettered as (
   select p.*, case when x < q.q[1] then 'A' when x < q.q[2] then 'B'
                    when x < q.q[3] then 'C' when x < q.q[4] then 'D' else 'E' end as s
   from pts p join q using (id))"""
@@ -49,7 +49,7 @@ def words(a: int) -> str:
          string_agg(s, '') over (partition by id, sid order by pos
            rows between current row and {a - 2} following) as seq,
          lead(s, {a - 1}) over (partition by id, sid order by pos) as nx
-  from sax)"""
+  from lettered)"""
 
 
 def transitions(a: int) -> str:
@@ -137,6 +137,46 @@ _F1 = """case when tp = 0 and (fp = 0 or fn = 0) then cast('nan' as double)
               else 2 / (1 / (tp / (tp + fp)) + 1 / (tp / (tp + fn))) end"""
 
 
+_FEATURES = [*_NAMES, "dist6", "dist7"]
+
+# the best split of the training rows, 100 or more on each side, by one feature: the least Gini impurity, the first
+# feature, the least value
+STUMP = f"""f as (
+  select cast(label as int) as y, stats.id, stats.sid, {", ".join(f"coalesce({n}, cast('nan' as double)) as {n}" for n in _FEATURES)},
+         cast(id as bigint) % 7 = 0 as testing
+  from stats join dist using (label, id, sid)),
+long as (
+  {" union all ".join(f"select {j} as j, {n} as v, y from f where not testing" for j, n in enumerate(_FEATURES))}),
+steps as (
+  select j, v, lead(v) over w as following, sum(sum(1 - y)) over w as l0, sum(sum(y)) over w as l1,
+         sum(sum(1 - y)) over (partition by j) as t0, sum(sum(y)) over (partition by j) as t1
+  from long group by j, v window w as (partition by j order by v)),
+gains as (
+  select *, (v + following) / 2 as threshold, l0 + l1 as ln, t0 + t1 - l0 - l1 as rn
+  from steps where following is not null and least(l0 + l1, t0 + t1 - l0 - l1) >= 100),
+split as (
+  select * from gains
+  order by (1 - (l0 / ln) ** 2 - (l1 / ln) ** 2) * ln / (t0 + t1)
+         + (1 - ((t0 - l0) / rn) ** 2 - ((t1 - l1) / rn) ** 2) * rn / (t0 + t1), j, v limit 1),
+scored as (
+  select f.y, f.id, f.sid, f.testing,
+         case when (l1 / ln > 0.5) = ((t1 - l1) / rn > 0.5) then t1 / (t0 + t1) -- leaves that agree are one
+              when x <= threshold then l1 / ln else (t1 - l1) / rn end as p1
+  from (select *, case (select j from split) {" ".join(f"when {j} then {n}" for j, n in enumerate(_FEATURES))} end as x from f) f, split)"""
+
+
+# what a batch of all messages, some of them spoilt, holds
+BATCH = """k as (select vec_id % 97 as kind, len(embedding) as n, 1 + cast(vec_id % 97 = 4 as int) as copies from embeddings),
+b as (
+  select cast(sum(copies) as bigint) as n_messages,
+         count(*) filter (where kind not in (1, 2, 3, 4)) as n_records,
+         cast(sum(copies) filter (where kind in (1, 2, 3, 4)) as bigint) as n_rejects,
+         cast(sum(copies * n) filter (where kind not in (1, 2, 3)) as bigint) as n_points,
+         (select count(*) from dist where cast(id as bigint) % 97 not in (1, 2, 3, 4)) as n_features,
+         (select count(*) from dist where cast(id as bigint) % 97 not in (1, 2, 3, 4) and cast(id as bigint) % 7 = 0) as n_scored
+  from k)"""
+
+
 def _with(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
@@ -147,14 +187,14 @@ def _rounded(names, digits: int = 6) -> str:
 
 
 def _sql() -> dict[str, str]:
-    to_sax = (SMOOTH, SAX)
-    compared = (*to_sax, all_transitions(), TEMPLATES)
+    to_letters = (SMOOTH, LETTERED)
+    compared = (*to_letters, all_transitions(), TEMPLATES)
     probs = ", ".join(f"p{c} as {c}" for c in LETTERS)
     pooled = ", ".join(f"round(r{c} + 1e-9, 6) as {c}" for c in LETTERS)
     s16 = ", ".join(
         f"lead(s, {i - 1}) over (partition by id, sid order by pos) as s{i}" for i in range(1, 7)
     )
-    columns = f"cols as (select label, sid, id, {s16} from sax)"
+    columns = f"cols as (select label, sid, id, {s16} from lettered)"
     prefix = "label, sid, id, s1, s2, s3, s4, s5"
     kinds = "vec as (select *, cast(id as bigint) % 97 as kind from pts)"
     features = f"""select label, id, sid, {_rounded([n for n in _NAMES if n != 'variance'])},
@@ -199,12 +239,12 @@ from d, c""",
         + f"""select sink, batch_id, round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
         round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
         round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from sinks""",
-        "transition_sink": _with(EVENTS, *to_sax, all_transitions())
+        "transition_sink": _with(EVENTS, *to_letters, all_transitions())
         + f"""select cast(id as bigint) % 3 as batch_id, label, sid, id, word_length, {probs}, seq as "SEQ",
              hex(seq) as "HEX" from t""",
         "explode_points": _with(LINEITEM) + "select label, id, sid, pos, x from pts",
         "moving_average": _with(LINEITEM, SMOOTH)
-        + 'select label, id, sid, pos, x, round(ma + 1e-9, 6) as "movingAvg" from ma',
+        + 'select label, id, sid, pos, x, round(ma + 1e-9, 6) as "smoothed_x" from ma',
         "quantile_breakpoints": _with(LINEITEM, SMOOTH)
         + "select id, "
         + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
@@ -212,32 +252,40 @@ from d, c""",
         "quantiles_sql": _with(EVENTS, SMOOTH)
         + "select id, "
         + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
-        + " from q order by id",
-        "sax_symbols": _with(LINEITEM, *to_sax)
-        + 'select label, id, sid, pos, x, s as "SAX" from sax',
-        "sax_words": _with(EVENTS, *to_sax)
+        + ", row_number() over (order by id) as position from q",
+        "quantiles_hot": """
+with h as (select case when l_suppkey % 10 < 7 then 'hot' else cast(l_suppkey as varchar) end as id, l_extendedprice as x from lineitem),
+     q as (select id, quantile_disc(cast(x as double), [0.2, 0.4, 0.6, 0.8]) as q from h group by id)
+select id, """
+        + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
+        + " from q",
+        "ordered_points": _with(EVENTS)
+        + "select label, id, sid, pos, x, row_number() over (order by x, id, sid, pos) as position from pts",
+        "sax_symbols": _with(LINEITEM, *to_letters)
+        + "select label, id, sid, pos, x, s as letter from lettered",
+        "sax_words": _with(EVENTS, *to_letters)
         + """select label, id, sid, pos, string_agg(s, '') over (partition by id, sid order by pos
-             rows between current row and 5 following) as word from sax""",
-        "word_columns": _with(EVENTS, *to_sax, columns) + "select * from cols",
-        "prefix_totals": _with(EVENTS, *to_sax, columns)
-        + f'select {prefix}, count(*) as "totalCount" from cols group by {prefix}',
-        "transition_counts": _with(EVENTS, *to_sax, columns)
-        + f'select {prefix}, s6, count(*) as "transitionCount" from cols group by {prefix}, s6',
-        "transition_pivot": _with(EVENTS, *to_sax, words(6))
+             rows between current row and 5 following) as word from lettered""",
+        "word_columns": _with(EVENTS, *to_letters, columns) + "select * from cols",
+        "prefix_totals": _with(EVENTS, *to_letters, columns)
+        + f'select {prefix}, count(*) as "n_prefix" from cols group by {prefix}',
+        "transition_counts": _with(EVENTS, *to_letters, columns)
+        + f'select {prefix}, s6, count(*) as "n_word" from cols group by {prefix}, s6',
+        "transition_pivot": _with(EVENTS, *to_letters, words(6))
         + "select label, sid, id, "
         + ", ".join(
             f"nullif(count(*) filter (where nx = '{c}'), 0) / count(*) as {c}" for c in LETTERS
         )
         + """, seq as "SEQ", hex(seq) as "HEX" from w6 where length(seq) = 5
              group by label, sid, id, seq""",
-        "transition_probs": _with(LINEITEM, *to_sax, all_transitions((2, 3, 6, 7)))
+        "transition_probs": _with(LINEITEM, *to_letters, all_transitions((2, 3, 6, 7)))
         + f'select label, sid, id, word_length, {probs}, seq as "SEQ", hex(seq) as "HEX" from t',
-        "word_keys": _with(LINEITEM, *to_sax, all_transitions())
+        "word_keys": _with(LINEITEM, *to_letters, all_transitions())
         + """select word_length, seq as "SEQ", hex(seq) as "HEX", count(*) as n_records
              from t group by word_length, seq""",
         "template_build": _with(LINEITEM, *compared)
         + f'select word_length, seq as "SEQ", hex(seq) as "HEX", {pooled} from tpl',
-        "template_rows": _with(EVENTS, *to_sax, all_transitions())
+        "template_rows": _with(EVENTS, *to_letters, all_transitions())
         + f"""select word_length, seq as "SEQ", hex(seq) as "HEX", {probs}, count(*) as weight
              from t where {COHORT} group by word_length, seq, {", ".join(f"p{c}" for c in LETTERS)}""",
         "template_read": _with(EVENTS, *compared)
@@ -249,6 +297,9 @@ from d, c""",
         "template_distance": _with(LINEITEM, *compared, DISTANCES)
         + """select label, id, sid, word_length, seq as "SEQ", hex(seq) as "HEX",
              round(dist + 1e-9, 6) as dist from d""",
+        "distances_sql": _with(EVENTS, *compared, DISTANCES)
+        + """select label, id, sid, word_length, seq as "SEQ", round(dist + 1e-9, 6) as dist from d""",
+        "letters_sql": _with(EMBEDDINGS, *to_letters) + "select id, cast(pos as int) as pos, s as letter from lettered",
         "merge_lengths": _with(EVENTS, *compared, DISTANCES, MERGED)
         + """select label, id, sid, cast(pairs as double) as pairs,
              round(total6 + 1e-9, 6) as dist6_total, round(total7 + 1e-9, 6) as dist7_total from dist""",
@@ -279,20 +330,34 @@ from events""",
         round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
         round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
         "rf_train": _with(EMBEDDINGS, *compared, DISTANCES, MERGED)
-        + f"""select 'training_rows' as name, cast(count(*) as double) as value from dist
-        where cast(id as bigint) % 7 <> 0
-        union all values ('folds', 10.0), ('trees', 40.0), ('depth', 5.0), ('features', {len(_NAMES) + 2}.0),
-        ('importances', 1.0), ('accuracy_is_a_share', 1.0)""",
-        "rf_score": _with(EMBEDDINGS, *compared, DISTANCES, MERGED)
-        + """select cast(label as int) as label, id, sid, cast(1.0 as double) as total, true as largest_decides
-        from dist where cast(id as bigint) % 7 = 0""",
-        "pipeline_batch": _with(EMBEDDINGS, kinds, *compared, DISTANCES, MERGED)
-        + """select cast(0 as bigint) as batch_id, true as accuracy_is_a_share,
-        (select count(distinct id) from vec where kind not in (1, 2, 3, 4)) as n_records,
-        (select count(distinct id) + count(distinct id) filter (where kind = 4)
-         from vec where kind in (1, 2, 3, 4)) as n_rejects,
-        (select count(*) from dist where cast(id as bigint) % 7 = 0
-         and cast(id as bigint) % 97 not in (1, 2, 3, 4)) as n_scored""",
+        + """, k as (select cast(('0x' || substr(md5(id), 1, 8))::bigint % 10 as int) as fold from dist
+        where cast(id as bigint) % 7 <> 0)
+        select fold, (select count(*) from k) - count(*) as training, count(*) as validation from k group by fold""",
+        "stump_score": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, STATS, STUMP)
+        + """select y as label, id, sid, round(1 - p1 + 1e-9, 6) as p0, round(p1 + 1e-9, 6) as p1,
+        cast(p1 > 0.5 as double) as prediction from scored where testing""",
+        "stream_restart": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, STATS, STUMP)
+        + """select cast(y as varchar) as label, id, sid, round(1 - p1 + 1e-9, 6) as p0, round(p1 + 1e-9, 6) as p1,
+        cast(p1 > 0.5 as double) as prediction, cast(1 as bigint) as n_features from scored""",
+        "pipeline_batch": _with(
+            EMBEDDINGS,
+            *compared,
+            DISTANCES,
+            MERGED,
+            STATS,
+            STUMP,
+            "g as (select y as label, cast(p1 > 0.5 as double) as prediction from scored "
+            "where testing and cast(id as bigint) % 97 not in (1, 2, 3, 4))",
+            "c as (" + CELLS.format(group="") + ")",
+        )
+        + f"""select cast(0 as bigint) as batch_id, total as n_scored, round({_ratio('hits', 'total')} + 1e-9, 6) as accuracy,
+        round({_ratio('tp', 'tp + fn')} + 1e-9, 6) as sensitivity,
+        round({_ratio('tn', 'tn + fp')} + 1e-9, 6) as specificity, round({_F1} + 1e-9, 6) as f1 from c""",
+        "batch_metrics": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, BATCH)
+        + """select cast(0 as bigint) as batch_id, unnest(['messages', 'records', 'rejects', 'points', 'features', 'scored']) as stage,
+        unnest([n_messages, n_records, n_rejects, n_points, n_features, n_scored]) as n from b""",
+        "stream_progress": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, BATCH)
+        + "select n_messages, n_records, n_rejects, n_points, n_features from b",
         "stream_features": _with(EMBEDDINGS, *compared, DISTANCES, MERGED, STATS)
         + f"""select label, id, sid, {_rounded([*_NAMES, 'dist6', 'dist7'])}
         from stats join dist using (label, id, sid)""",

@@ -6,7 +6,8 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.ml.tuning import CrossValidatorModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from wavesym.operators.evaluation import confusion, metrics, split_by_id
 from wavesym.operators.features import (
@@ -98,23 +99,22 @@ def run_batch(
     """`keep_transitions` stores the transition table of every record, for a sink of its own."""
     started = time.time()
     spec, scale = classifier.spec, classifier.scale
-    segments, rejects = ingest(messages, spec, scale, staging)
+    counts: dict[str, int] = {}
+    segments, rejects = ingest(messages, spec, scale, staging, counts)
     ingested = time.time()
     transition = None
     if keep_transitions:
         transition = staging.table(transition_table(segments, spec, scale, staging), "transitions")
-    table = staging.table(
-        features(segments, classifier.templates, spec, scale, staging, transition), "features"
-    )
+    seen = Observation()
+    table = features(segments, classifier.templates, spec, scale, staging, transition)
+    table = staging.table(table.observe(seen, F.count(F.lit(1)).alias("records")), "features")
     described = time.time()
     vectors = feature_vector(table, spec)
     # with an empty list of test ids every record with an id is on the first side
     rest, chosen = split_by_id(vectors, [] if classifier.test_ids is None else classifier.test_ids)
     predictions = score(classifier.model, rest if classifier.test_ids is None else chosen)
-    row = metrics(confusion(predictions)).first()
-    scored = time.time()
-    n_records, n_rejects = segments.filter("start = 0").count(), rejects.count()
-    now = time.time()
+    row = metrics(confusion(predictions), ["total"]).first()
+    scored = now = time.time()
     result = [
         (
             batch_id,
@@ -123,8 +123,12 @@ def run_batch(
             ingested - started,
             described - ingested,
             scored - described,
-            n_records,
-            n_rejects,
+            counts["messages"],
+            counts["messages"] - counts["rejects"],
+            counts["rejects"],
+            counts["points"],
+            seen.get["records"],
+            row.total,
             row.accuracy,
             row.sensitivity,
             row.specificity,

@@ -27,8 +27,12 @@ RESULT = T.StructType(
         T.StructField("ingest_s", T.DoubleType()),
         T.StructField("features_s", T.DoubleType()),
         T.StructField("score_s", T.DoubleType()),
-        T.StructField("n_records", T.LongType()),
+        T.StructField("n_messages", T.LongType()),
+        T.StructField("n_records", T.LongType()),  # usable ones
         T.StructField("n_rejects", T.LongType()),
+        T.StructField("n_points", T.LongType()),  # of all messages that could be read
+        T.StructField("n_features", T.LongType()),  # records with features
+        T.StructField("n_scored", T.LongType()),
         T.StructField("accuracy", T.DoubleType()),
         T.StructField("sensitivity", T.DoubleType()),
         T.StructField("specificity", T.DoubleType()),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,18 +67,29 @@ def decode(parsed: DataFrame) -> DataFrame:
 
 
 def ingest(
-    messages: DataFrame, spec: Spec, scale: Scale, staging: Staging
+    messages: DataFrame, spec: Spec, scale: Scale, staging: Staging, counts: dict[str, int] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(segments, rejects): segments of the usable records, and label, id, sid, text, reason.
 
     Messages are read and parsed once and written once: segments, of which the first of a record
     keeps its text, and the rejects among them. All later passes read columns of that table.
+    `counts` is given what that pass saw: messages, points (of readable messages) and rejects.
     """
     decoded = decode(parse_messages(messages))
     usable = decoded.withColumn("data", F.when(F.col("reason").isNull(), F.col("data")))
     cut = segments_of_records(usable, spec, scale, ["text", "reason"])
     first = F.coalesce("start", F.lit(0)) == 0  # a reject has no start
-    table = staging.table(cut.withColumn("text", F.when(first, F.col("text"))), "ingested")
+    good = F.col("reason").isNull()
+    seen = Observation()
+    watched = cut.withColumn("text", F.when(first, F.col("text"))).observe(
+        seen,
+        F.count_if(first).alias("messages"),
+        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).cast("long").alias("points"),
+        F.count_if(~good).alias("rejects"),
+    )
+    table = staging.table(watched, "ingested")
+    if counts is not None:
+        counts.update(seen.get)
     kept = table.filter("reason is null").drop("text", "reason")
     rejects = table.filter("reason is not null").select(*RECORD_KEY, "text", "reason")
 
@@ -86,10 +97,13 @@ def ingest(
     sizes = key_sizes(kept.filter("start = 0"), key, scale)
     if sizes.largest <= 1:
         return kept, rejects
-    repeated = staging.table(sizes.table.filter("n > 1").select(*key), "repeated")
+    repeated = staging.table(sizes.table.filter("n > 1").select(*key, "n"), "repeated")
     n = repeated.count()
+    keys = repeated.select(*key)
     whole = table.filter("reason is null and start = 0").select(*RECORD_KEY, "text")
-    copies = join_per_key(whole, repeated, sizes, None, "left_semi", small_rows=n)
+    copies = join_per_key(whole, keys, sizes, None, "left_semi", small_rows=n)
     copies = copies.select(*RECORD_KEY, "text", F.lit("duplicate_key").alias("reason"))
-    kept = join_per_key(kept, repeated, sizes, None, "left_anti", small_rows=n)
+    if counts is not None:
+        counts["rejects"] += repeated.agg(F.sum("n")).first()[0]
+    kept = join_per_key(kept, keys, sizes, None, "left_anti", small_rows=n)
     return kept, rejects.unionByName(copies)
