@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavesym.operators.moments import moment_statistics, record_moments
 from wavesym.operators.segments import record_sizes
 from wavesym.operators.skew import join_per_key
 from wavesym.schemas import DESCRIPTIVES, RECORD_KEY, feature_names
@@ -34,14 +35,18 @@ def values(segments: DataFrame) -> DataFrame:
     return segments.select(*RECORD_KEY, F.explode("data").alias("x"))
 
 
+def _described(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("range", F.col("max") - F.col("min")).select(*RECORD_KEY, *DESCRIPTIVES)
+
+
 def descriptives(points: DataFrame) -> DataFrame:
     """The nine descriptives per record of points (label, id, sid, x), in any order."""
-    return (
-        points.groupBy(*RECORD_KEY)
-        .agg(*statistics())
-        .withColumn("range", F.col("max") - F.col("min"))
-        .select(*RECORD_KEY, *DESCRIPTIVES)
-    )
+    return _described(points.groupBy(*RECORD_KEY).agg(*statistics()))
+
+
+def segment_descriptives(segments: DataFrame, scale: Scale) -> DataFrame:
+    """The same from the moments stored with the segments; no point is read."""
+    return _described(record_moments(segments, scale).select(*RECORD_KEY, *moment_statistics()))
 
 
 def point_statistics(segments: DataFrame, scale: Scale) -> DataFrame:
@@ -52,7 +57,7 @@ def point_statistics(segments: DataFrame, scale: Scale) -> DataFrame:
     sizes = record_sizes(segments, RECORD_KEY, scale)
     joined = join_per_key(
         segments.select(*RECORD_KEY, "start", "data"),
-        values(segments).groupBy(*RECORD_KEY).agg(*statistics()),
+        record_moments(segments, scale).select(*RECORD_KEY, *moment_statistics()),
         sizes,
         spread=["start"],
     )

@@ -3,7 +3,8 @@
 Columns: ``label, id, sid``, ``start`` (position of the first point), ``n``, ``data``; ``before``
 and ``after`` repeat the few neighbouring points of the same record that a trailing mean or a word
 reaches, so later operators need no exchange between segments. ``head`` (first segment of a record)
-and ``tail`` (last one) hold the ends that the mean carries from one record to the next.
+and ``tail`` (last one) hold the ends that the mean carries from one record to the next. ``moments`` are the central
+moments of ``data``, from which the statistics of a record are combined.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavesym.operators.moments import with_moments
 from wavesym.operators.skew import KeySizes, join_per_key, positions, totals
 from wavesym.schemas import RECORD_KEY
 from wavesym.settings import Scale, Spec
@@ -22,9 +24,9 @@ def last_points(values: Column, k: int) -> Column:
 
 
 def _with_ends(df: DataFrame, spec: Spec, also: list[str]) -> DataFrame:
-    """Add n, head and tail to label, id, sid, start, before, data, after."""
+    """Add n, head, tail and moments to label, id, sid, start, before, data, after."""
     k = spec.lookback
-    return df.select(
+    ends = df.select(
         *RECORD_KEY,
         F.col("start").cast("long").alias("start"),
         F.when(F.col("data").isNotNull(), F.size("data")).alias("n"),
@@ -35,6 +37,7 @@ def _with_ends(df: DataFrame, spec: Spec, also: list[str]) -> DataFrame:
         F.when(F.size("after") == 0, last_points(F.concat("before", "data"), k)).alias("tail"),
         *also,
     )
+    return with_moments(ends)
 
 
 def segments_of_records(

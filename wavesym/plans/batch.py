@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from wavesym.operators.evaluation import confusion, metrics, split_by_id
 from wavesym.operators.features import (
-    descriptives,
     distance_features,
     distance_sums,
     feature_table,
     feature_vector,
     merge_lengths,
-    values,
+    segment_descriptives,
 )
 from wavesym.operators.segments import record_sizes
 from wavesym.operators.skew import key_sizes
@@ -65,7 +64,7 @@ def features(
     if transition is None:
         transition = transition_table(segments, spec, scale, staging)
     return feature_table(
-        descriptives(values(segments)), distances(transition, templates, spec, scale), spec
+        segment_descriptives(segments, scale), distances(transition, templates, spec, scale), spec
     )
 
 

@@ -33,6 +33,7 @@ class Scale:
     """
 
     segment: int = 4096  # points per array row
+    fan: int = 4096  # segments whose moments are combined at once
     hot_rows: int = 4_000_000
     hot_keys: int = 100_000
     broadcast_rows: int = 200_000  # short rows a broadcast table may have, counted beforehand
