@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -265,7 +266,53 @@ def test_point_statistics_equal_the_descriptives(records, points, staging):
                 assert a == b or a == pytest.approx(b, abs=1e-9)
 
 
-def test_few_keys_are_ever_hot(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    sizes = key_sizes(df, ["k"], Scale(hot_rows=1, hot_keys=50))
-    assert sizes.limit == 20 and sizes.hot is None
+def test_the_limit_does_not_grow_with_the_rows(spark):
+    for rows in (1000, 5000):
+        df = spark.range(rows).select((F.col("id") % 100).alias("k"))
+        sizes = key_sizes(df, ["k"], Scale(hot_rows=20, hot_keys=50))
+        assert sizes.limit == 20 and (sizes.hot is None) == (rows == 1000)
+
+
+def exchanges(df):
+    """The columns that each exchange of a plan carries."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    found = []
+    for block in text.split("\n\n"):
+        if re.match(r"\(\d+\) Exchange", block.strip()):
+            found.append(re.search(r"Input \[\d+\]: \[(.*)\]", block)[1])
+    return found
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40], ids=["cold", "hot"])
+def test_segments_in_buckets_join_their_cuts_in_place(spark, records, points, staging, hot_rows):
+    """Many ids: no exchange of the plan carries a series, and letters and words are the same."""
+    scale = Scale(segment=64, broadcast_rows=0, hot_rows=hot_rows, hot_keys=1000)
+    made = build("records", records, points, scale, staging)
+    ids = key_sizes(made, ["id"], scale, weight="n")
+    assert (ids.hot is not None) == (hot_rows == 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cut = symbols.with_breakpoints(made, SPEC, scale, staging, ids)
+        found = transition_table(made, SPEC, scale, staging)
+        assert not any(re.search(r"\bdata#", e) for e in exchanges(found))
+        if ids.hot is None:
+            assert exchanges(found) == []  # words are counted where the segments lie
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = fixtures.letters(RECORDS)
+    for r in symbols.point_symbols(cut, SPEC).collect():
+        assert r.SAX == want[r.id, r.sid][r.pos]
+    wide = transition_table(build("records", records, points, WIDE, staging), SPEC, WIDE, staging)
+    assert sorted(map(tuple, found.select(wide.columns).collect())) == as_set(wide)
+
+
+def test_hot_keys_are_a_stored_table(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    assert key_sizes(df, ["k"], Scale(hot_rows=100)).hot is None
+    few = key_sizes(df, ["k"], Scale(hot_rows=99))
+    assert few.hot.count() == 10 and few.hot.inputFiles() and few.few_hot
+    many = key_sizes(df, ["k"], Scale(hot_rows=99, hot_keys=9, broadcast_rows=0))
+    assert not many.few_hot
+    small = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("y"))
+    assert join_per_key(df, small, many, ["k"]).count() == 1000
+    assert positions(df.withColumn("t", F.lit(1)), ["k"], ["t"], "pos", Scale(hot_rows=20, hot_keys=3), Staging(spark)).groupBy("k").agg(F.max("pos").alias("m")).filter("m <> 99").isEmpty()

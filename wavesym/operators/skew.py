@@ -26,15 +26,22 @@ class KeySizes:
 
     @property
     def limit(self) -> int:
-        return max(self.scale.hot_rows, self.rows // self.scale.hot_keys)
+        return self.scale.hot_rows
 
     @cached_property
     def hot(self) -> DataFrame | None:
-        """Keys above the limit, with their counts; fewer than `hot_keys` by construction."""
+        """Keys above the limit, with their counts, as a stored table; None if there is none."""
         if self.largest <= self.limit:
             return None
-        rows = self.table.filter(F.col("n") > self.limit).collect()
-        return self.table.sparkSession.createDataFrame(rows, self.table.schema)
+        return Staging(self.table.sparkSession).table(self.table.filter(F.col("n") > self.limit), "hot-keys")
+
+    @cached_property
+    def few_hot(self) -> bool:
+        return self.hot is not None and self.hot.count() <= self.scale.hot_keys
+
+    def hinted(self, hot: DataFrame) -> DataFrame:
+        """A table of the hot keys for a join: broadcast where they are few."""
+        return F.broadcast(hot) if self.few_hot else hot
 
 
 def key_sizes(df: DataFrame, keys: list[str], scale: Scale, weight: str | None = None) -> KeySizes:
@@ -73,7 +80,7 @@ def join_per_key(
     hot = sizes.hot
     if hot is None:
         return big.join(small, keys, how)
-    salts = F.broadcast(hot.select(*keys, F.ceil(F.col("n") / sizes.limit).alias("_salts")))
+    salts = sizes.hinted(hot.select(*keys, F.ceil(F.col("n") / sizes.limit).alias("_salts")))
     n_salts = F.coalesce("_salts", F.lit(1))
     deal = F.xxhash64(*spread) if spread else F.monotonically_increasing_id()
     big = big.join(salts, keys, "left").withColumn("_salt", F.pmod(deal, n_salts))
@@ -109,7 +116,7 @@ def positions(
     hot = sizes.hot
     if hot is None:
         return df.select("*", number)
-    hot_keys = F.broadcast(hot.select(*group))
+    hot_keys = sizes.hinted(hot.select(*group))
     cold = df.join(hot_keys, group, "left_anti").select(*df.columns, number)
 
     n_ranges = max(1, ceil(hot.agg(F.sum("n")).first()[0] / sizes.limit) * 2)

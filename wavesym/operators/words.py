@@ -95,19 +95,21 @@ def _word_tasks(spark: SparkSession, records: KeySizes) -> int:
     return max(1, min(partitions, ceil(records.rows / few)), ceil(records.rows / many))
 
 
-def transitions(lettered: DataFrame, spec: Spec, records: KeySizes) -> DataFrame:
+def transitions(lettered: DataFrame, spec: Spec, records: KeySizes, in_place: bool = False) -> DataFrame:
     """label, sid, id, word_length, A..E, SEQ, HEX for all word lengths, in one pass.
 
     The letters (a byte per point) are brought together by record before they become words, so no
     words are shuffled. `records` holds the points per (id, sid): words of a hot record are counted
     where they are, and the counts meet by record and prefix. (Points per id will do as `records`
-    if no id is hot.)
+    if no id is hot.) `in_place` says that the segments lie in buckets by id already.
     """
+    if in_place:
+        return _shares(lettered, spec)
     n_tasks = _word_tasks(lettered.sparkSession, records)
     hot = records.hot
     if hot is None:
         return _shares(lettered.repartition(n_tasks, "id", "sid"), spec)
-    keys = F.broadcast(hot.select("id", "sid"))
+    keys = records.hinted(hot.select("id", "sid"))
     cold = lettered.join(keys, ["id", "sid"], "left_anti").repartition(n_tasks, "id", "sid")
     return _shares(cold, spec).unionByName(
         _shares(lettered.join(keys, ["id", "sid"], "left_semi"), spec)

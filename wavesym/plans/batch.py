@@ -38,7 +38,7 @@ def transition_table(
     lettered = letter_segments(with_breakpoints(segments, spec, scale, staging, ids), spec)
     # without a hot id there is no hot record
     records = ids if ids.hot is None else record_sizes(segments, ["id", "sid"], scale)
-    return transitions(lettered, spec, records)
+    return transitions(lettered, spec, records, in_place=ids.hot is None and ids.n_keys > scale.broadcast_rows)
 
 
 def distances(

@@ -28,13 +28,14 @@ class Spec:
 class Scale:
     """Limits that keep one task's share of the data bounded, whatever the key distribution.
 
-    A key is *hot* when it holds more than ``max(hot_rows, total / hot_keys)`` rows, so at most
-    ``hot_keys`` keys are ever hot and the list of them can be broadcast.
+    A key is *hot* when it holds more than ``hot_rows`` rows, however many rows there are. Hot keys are a stored
+    table, which is broadcast up to ``hot_keys`` rows and joined by a shuffle beyond.
     """
 
     segment: int = 4096  # points per array row
     fan: int = 4096  # segments whose moments are combined at once
     hot_rows: int = 4_000_000
     hot_keys: int = 100_000
+    bucket_points: int = 32_000_000  # of segments that are stored by id, a bucket's
     broadcast_rows: int = 200_000  # short rows a broadcast table may have, counted beforehand
     task_points: tuple[int, int] = (50_000, 64_000_000)  # whose words one task counts: few, many
