@@ -2,9 +2,11 @@
 
 A run of symbols is read in the smallest encoding that has them all. Three tests ask whether it could be drawn
 at random from that alphabet: chi-squared for even use, runs above and below the middle, serial correlation;
-Fisher's sum makes one p-value of them. Words pass too now and then, the more the shorter. So runs of letters
-alone serve as decoys: for each class of length the p-value a run needs is the least at which the decoys of
-that length or shorter foretell at most FALSE_SHARE false finds among the finds.
+Fisher's sum makes one p-value of them. Ordinary text passes too now and then, the more the shorter. So decoys
+tell, for each class of length, the least p-value at which at most FALSE_SHARE of the finds are foretold to be
+false: for runs with digits or signs the long runs of letters alone, read in the same alphabets, of that length or
+shorter; for runs of letters, which are read in alphabets of letters, the words of each text joined to that length.
+Where decoys are few a prior speaks: PRIOR of them, of which half as many pass with every HALVING characters.
 """
 
 from __future__ import annotations
@@ -39,20 +41,35 @@ ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 )
+# fixed values: alphabets of runs of letters alone
+LETTERS = (
+    "abcdefghijklmnopqrstuvwxyz",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+)
 LEAST = 16
 RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}")
 LENGTH_STEPS = (16, 18, 20, 22, 24, 28, 32, 40, 48, 64, 96, 128)
 STEPS = 100  # of a p-value
 FALSE_SHARE = 0.05
 LEAST_P = 0.01
+PRIOR, HALVING = 20, 8
+CLASSES = len(LENGTH_STEPS)  # those of letters alone come after the others
+WORD = re.compile(r"[A-Za-z]{2,15}")
+
+
+class _Tables:
+    def __init__(self, alphabets: tuple[str, ...]):
+        self.of = np.zeros(256, np.uint16)  # bit k: the byte is in alphabet k
+        self.place = np.zeros((len(alphabets), 256), np.int64)
+        for k, letters in enumerate(alphabets):
+            for n, c in enumerate(letters):
+                self.of[ord(c)] |= 1 << k
+                self.place[k, ord(c)] = n
+        self.size = np.array([len(a) for a in alphabets])
 
-_OF = np.zeros(256, np.uint16)  # bit k: the byte is in alphabet k
-_PLACE = np.zeros((len(ALPHABETS), 256), np.int64)
-for _k, _letters in enumerate(ALPHABETS):
-    for _n, _c in enumerate(_letters):
-        _OF[ord(_c)] |= 1 << _k
-        _PLACE[_k, ord(_c)] = _n
-_SIZE = np.array([len(a) for a in ALPHABETS])
+
+_MIXED, _ALONE = _Tables(ALPHABETS), _Tables(LETTERS)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
@@ -65,8 +82,8 @@ def _chi_tail(x: np.ndarray, df: np.ndarray) -> np.ndarray:
     return 0.5 * _erfc((np.cbrt(x / df) - (1 - spread)) / np.sqrt(2 * spread))
 
 
-def battery(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The combined p-value of each run, and whether it is of letters alone."""
+def battery(runs: list[bytes], tables: _Tables = _MIXED) -> tuple[np.ndarray, np.ndarray]:
+    """The combined p-value of each run, and whether it is of letters alone; `tables` has an alphabet for each."""
     if not runs:
         return np.zeros(0), np.zeros(0, bool)
     data = np.frombuffer(b"".join(runs), np.uint8)
@@ -74,10 +91,10 @@ def battery(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(n) - n
     run = np.repeat(np.arange(len(runs)), n)
     letters = np.logical_and.reduceat(_LETTER[data], first)
-    common = np.bitwise_and.reduceat(_OF[data], first)
-    kind = np.argmax((common[:, None] >> np.arange(len(ALPHABETS))) & 1, axis=1)
-    size = _SIZE[kind]
-    symbol = _PLACE[kind[run], data]
+    common = np.bitwise_and.reduceat(tables.of[data], first)
+    kind = np.argmax((common[:, None] >> np.arange(len(tables.size))) & 1, axis=1)
+    size = tables.size[kind]
+    symbol = tables.place[kind[run], data]
     # even use, over as many equal classes of symbols as the length bears
     classes = np.minimum(np.clip(n // 5, 2, 12), size)
     own = symbol * classes[run] // size[run]
@@ -121,11 +138,36 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def joined_words(text: str) -> list[bytes]:
+    """For each class of length the ordinary words of a text from some place on, joined to that length; classes
+    begin at places spread over the text, those that it can't fill are left out."""
+    words = WORD.findall(text)
+    out = []
+    for k, size in enumerate(LENGTH_STEPS):
+        at = len(words) * k // CLASSES
+        some, length = [], 0
+        while at < len(words) and length < size:
+            some.append(words[at])
+            length += len(words[at])
+            at += 1
+        if length >= size:
+            out.append("".join(some)[:size].encode())
+    return out
+
+
+def _codes(runs: list[bytes], p: np.ndarray) -> np.ndarray:
+    """Class of length and step of the p-value, as one number."""
+    step = np.minimum((p * STEPS).astype(np.int64), STEPS - 1)
+    length = np.searchsorted(LENGTH_STEPS, [len(r) for r in runs], "right") - 1
+    return length * STEPS + step
+
+
 def _find(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             base, runs, owner, places = [], [], [], []
+            words, of = [], []
             for row, text in enumerate(texts):
                 text = text or ""
                 spans = base_spans(text)
@@ -135,43 +177,62 @@ def _find(docs: DataFrame) -> DataFrame:
                         runs.append(m[0].encode())
                         owner.append(row)
                         places.append(m.span())
+                own = joined_words(text)
+                words += own
+                of += [row] * len(own)
             p, letters = battery(runs)
-            step = np.minimum((p * STEPS).astype(np.int64), STEPS - 1)
-            length = np.searchsorted(LENGTH_STEPS, [len(r) for r in runs], "right") - 1
+            code = _codes(runs, p)
+            alone = np.flatnonzero(letters)
+            q = np.zeros(len(runs))
+            some = [runs[k] for k in alone]
+            q[alone] = battery(some, _ALONE)[0]
+            alike = np.where(letters, q, p)
+            own = code.copy()
+            own[alone] = _codes(some, q[alone]) + CLASSES * STEPS
             more: list[list] = [[] for _ in texts]
+            tested: list[list] = [[] for _ in texts]
             decoys: list[list] = [[] for _ in texts]
             for k, row in enumerate(owner):
+                tested[row].append(int(own[k]))
                 if letters[k]:
-                    decoys[row].append(int(length[k]) * STEPS + int(step[k]))
-                elif p[k] >= LEAST_P:
-                    more[row].append({"start": places[k][0], "end": places[k][1], "length": int(length[k]), "step": int(step[k])})
+                    decoys[row].append(int(code[k]))
+                if alike[k] >= LEAST_P:
+                    step = {"length": int(own[k]) // STEPS, "step": int(own[k]) % STEPS}
+                    more[row].append({"start": places[k][0], "end": places[k][1], **step})
+            for row, c in zip(of, (_codes(words, battery(words, _ALONE)[0]) + CLASSES * STEPS).tolist() if words else []):
+                decoys[row].append(c)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([[{"start": a, "kind": k, "end": b} for a, k, b in s] for s in base], _BASE),
                     pa.array(more, _MORE),
+                    pa.array(tested, pa.list_(pa.int32())),
                     pa.array(decoys, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "base", "more", "decoys"],
+                ["doc_id", "base", "more", "tested", "decoys"],
             )
 
     _BASE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     _MORE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("length", pa.int32()), ("step", pa.int32())]))
     schema = (
         "doc_id long, base array<struct<start int, kind int, end int>>, "
-        "more array<struct<start int, end int, length int, step int>>, decoys array<int>"
+        "more array<struct<start int, end int, length int, step int>>, tested array<int>, decoys array<int>"
     )
     return docs.mapInArrow(find, schema)
 
 
-def thresholds(finds: np.ndarray, decoys: np.ndarray) -> np.ndarray:
-    """Per length class the step that a find needs (STEPS: none passes), from counts [length, step]."""
-    out = np.full(len(LENGTH_STEPS), STEPS)
-    pooled = np.cumsum(decoys, axis=0)  # shorter runs are the harder decoys
-    for k in range(len(LENGTH_STEPS)):
-        found = finds[k][::-1].cumsum()[::-1]
-        false = (pooled[k][::-1].cumsum()[::-1] + 1) / (pooled[k].sum() + 1)
-        ok = (found > 0) & (finds[k].sum() * false <= FALSE_SHARE * found)
+def thresholds(tested: np.ndarray, decoys: np.ndarray) -> np.ndarray:
+    """Per class the step that a run needs (STEPS: none passes), from counts [class, step] of runs and decoys."""
+    out = np.full(len(tested), STEPS)
+    pooled = decoys.copy()
+    pooled[:CLASSES] = np.cumsum(decoys[:CLASSES], axis=0)  # shorter runs are the harder decoys
+    spare = 1 - np.arange(STEPS) / STEPS
+    for k in range(len(tested)):
+        prior = PRIOR * 0.5 ** (LENGTH_STEPS[k % CLASSES] / HALVING) * spare
+        found = tested[k][::-1].cumsum()[::-1]
+        false = (pooled[k][::-1].cumsum()[::-1] + prior) / (pooled[k].sum() + PRIOR)
+        ok = (found > 0) & (tested[k].sum() * false <= FALSE_SHARE * found)
+        ok[: int(LEAST_P * STEPS)] = False
         if ok.any():
             out[k] = int(ok.argmax())
     return out
@@ -185,14 +246,11 @@ def secrets(docs: DataFrame, work: Work | None = None) -> DataFrame:
     """
     work = work or Work(docs.sparkSession)
     found = work.table(_find(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "secret-spans")
-    finds, decoys = (np.zeros((len(LENGTH_STEPS), STEPS)) for _ in range(2))
-    one = found.select(F.explode("more").alias("m")).groupBy("m.length", "m.step").count()
-    for row in one.collect():  # at most length classes x steps
-        finds[row["length"], row["step"]] = row["count"]
-    two = found.select(F.explode("decoys").alias("code")).groupBy("code").count()
-    for row in two.collect():
-        decoys[row["code"] // STEPS, row["code"] % STEPS] = row["count"]
-    least = thresholds(finds, decoys).tolist()
+    tested, decoys = (np.zeros((2 * CLASSES, STEPS)) for _ in range(2))
+    for name, counts in (("tested", tested), ("decoys", decoys)):
+        for row in found.select(F.explode(name).alias("code")).groupBy("code").count().collect():  # classes x steps
+            counts[row["code"] // STEPS, row["code"] % STEPS] = row["count"]
+    least = thresholds(tested, decoys).tolist()
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

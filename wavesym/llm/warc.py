@@ -125,6 +125,7 @@ class BundleReader:
         self.frames = entries[:-1]
         raw = file.read_at(entries[-1][0], self.starts[-2])
         self.index = json.loads(zstandard.ZstdDecompressor().decompress(raw[8:]))
+        self.places: dict[str, list[int]] = {}
 
     def frame(self, k: int) -> bytes:
         packed, size = self.frames[k]
@@ -132,7 +133,9 @@ class BundleReader:
 
     def record(self, name: str) -> bytes:
         """One record by its id: a frame is read, no more."""
-        _, frame, offset, size = next(e for e in self.index if e[0] == name)
+        if not self.places:
+            self.places = {name: place for name, *place in reversed(self.index)}  # the first of equal names
+        frame, offset, size = self.places[name]
         return self.frame(frame)[offset : offset + size]
 
     def records(self) -> Iterator[bytes]:
@@ -189,7 +192,7 @@ _FIELDS = {
 
 
 def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the bundles that an index names."""
+    """The records of the bundles that an index names; a task for each bundle, about."""
     names = [c for c in _FIELDS if payloads or c != "payload"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +210,8 @@ def read_bundles(index: DataFrame, payloads: bool = True) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], _FIELDS[c]) for c in names], names)
 
     types = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
-    return index.select("path").distinct().mapInArrow(read, ", ".join(f"{c} {types[_FIELDS[c]]}" for c in names))
+    paths = index.select("path").distinct()
+    return paths.repartition(max(1, paths.count())).mapInArrow(read, ", ".join(f"{c} {types[_FIELDS[c]]}" for c in names))
 
 
 def archive(pages: DataFrame, payloads: bool = True, work: Work | None = None) -> DataFrame:
