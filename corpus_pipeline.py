@@ -23,9 +23,18 @@ NEAR = MinHash(num=80, den=100, bands=40, rows=5)
 CAPACITY, END_ID = 2048, 0
 
 
+FEW = 1_000_000  # numbers that may be broadcast
+
+
+def _small(numbers: DataFrame) -> DataFrame:
+    """A table of numbers for a join with the documents: broadcast up to FEW rows, counted, shuffled beyond."""
+    return F.broadcast(numbers) if numbers.count() <= FEW else numbers
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    """The documents themselves are not shuffled for the few that go."""
+    gone = Work(docs.sparkSession).table(ids.select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return docs.join(_small(gone), docs["doc_id"].cast("long") == gone["gone"], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +43,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays, that with the smallest id."""
-    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text"))
+    """One row of each group of equal texts stays, that with the smallest id.
+
+    Texts that no other row has stay where they are; only the rows of groups are brought together.
+    """
+    work = Work(spark)
+    found = work.table(exact_duplicates(docs), "exact")
+    groups = found.filter("group_size > 1")
+    repeated = work.table(groups.select(F.xxhash64("text_sha256").alias("mark")).distinct(), "repeated")
+    kept = groups.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text"))
     digest = F.sha2(normal_text(docs["text"]).cast("binary"), 256)
     marked = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("id"), digest.alias("digest"))
-    stay = marked.join(kept, marked["id"].eqNullSafe(kept["kept_id"]) & (marked["digest"] == kept["kept_text"]), "left_semi")
-    return stay.dropDuplicates(["id", "digest"]).select("row.*")
+    marked = marked.withColumn("mark", F.xxhash64("digest"))
+    single = marked.join(_small(repeated), "mark", "left_anti")
+    several = marked.join(_small(repeated), "mark", "left_semi")
+    first = several.join(kept, several["id"].eqNullSafe(kept["kept_id"]) & (several["digest"] == kept["kept_text"]), "left_semi")
+    return single.select("row.*").unionByName(first.dropDuplicates(["id", "digest"]).select("row.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
