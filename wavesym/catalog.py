@@ -227,6 +227,18 @@ def quantile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     return quantile_columns(bp.breakpoints(smoothed, SPEC, SCALE, run.staging))
 
 
+def quantiles_by_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Breakpoints of ids whose records arrive in two batches: each batch has its own, nothing is carried over."""
+    run = Run(spark, folder, "events")
+    batches = []
+    for batch_id in (0, 1):
+        part = run.segments.filter((F.length("sid") % 2) == batch_id)
+        smoothed = smoothing.moving_average(part, SPEC, SCALE, run.staging)
+        cuts = quantile_columns(bp.breakpoints(smoothed, SPEC, SCALE, run.staging))
+        batches.append(cuts.withColumn("batch_id", F.lit(batch_id).cast("long")))
+    return batches[0].unionByName(batches[1])
+
+
 def hot_points(spark: SparkSession, folder: str) -> DataFrame:
     """All prices, seven suppliers of ten taken together as one id: it holds most points."""
     hot = F.when(F.col("l_suppkey") % 10 < 7, F.lit("hot")).otherwise(F.col("l_suppkey").cast("string"))
@@ -615,6 +627,7 @@ QUERIES: dict[str, Query] = {
         explode_points,
         moving_average,
         quantile_breakpoints,
+        quantiles_by_batch,
         quantiles_hot,
         quantiles_sql,
         ordered_points,

@@ -253,6 +253,15 @@ from d, c""",
         + "select id, "
         + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
         + ", row_number() over (order by id) as position from q",
+        "quantiles_by_batch": _with(
+            EVENTS,
+            """b as (select id, length(sid) % 2 as batch_id, avg(x) over (partition by id, length(sid) % 2 order by sid, pos
+                         rows between 16 preceding and current row) as ma from pts),
+        q as (select id, batch_id, quantile_disc(ma, [0.2, 0.4, 0.6, 0.8]) as q from b group by id, batch_id)""",
+        )
+        + "select id, batch_id, "
+        + ", ".join(f"round(q[{i}] + 1e-9, 6) as q{i}" for i in range(1, 5))
+        + " from q",
         "quantiles_hot": """
 with h as (select case when l_suppkey % 10 < 7 then 'hot' else cast(l_suppkey as varchar) end as id, l_extendedprice as x from lineitem),
      q as (select id, quantile_disc(cast(x as double), [0.2, 0.4, 0.6, 0.8]) as q from h group by id)
