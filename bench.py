@@ -20,6 +20,8 @@ HEADLINE = [
     "ingest_records",
     "moving_average",
     "quantile_breakpoints",
+    "quantiles_hot",
+    "ordered_points",
     "sax_symbols",
     "transition_probs",
     "template_build",
@@ -29,9 +31,11 @@ HEADLINE = [
     "descriptives",
     "feature_table",
     "metrics",
+    "rf_train",
     "rf_score",
     "pipeline_batch",
     "stream_features",
+    "stream_restart",
 ]
 
 

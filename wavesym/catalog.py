@@ -539,9 +539,13 @@ def batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 class Streamed:
-    """A stream of messages in some four batches of files; equal messages are in one file."""
+    """A stream of messages in some four batches of files; equal messages are in one file.
 
-    def __init__(self, spark: SparkSession, folder: str, texts: DataFrame, parameters: dict = model.FOREST):
+    Its classifier is a forest of one split: the streams' queries ask for features, rejects and counts, or for scores
+    that SQL can state.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, texts: DataFrame, parameters: dict = model.STUMP):
         self.spark = spark
         run = Run(spark, folder, "embeddings")
         self.inbox, self.output, self.checkpoint = (
@@ -586,7 +590,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 
     Every record's prediction, and how many committed batches have it: the dead attempt has left no trace.
     """
-    stream = Streamed(spark, folder, messages(spark, folder), model.STUMP)
+    stream = Streamed(spark, folder, messages(spark, folder))
 
     def fail(batch_id: int, sink: str) -> None:
         if (batch_id, sink) == (1, "features"):
@@ -604,7 +608,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of what the batches of a stream say of themselves, over those that its listener was told of."""
-    stream = Streamed(spark, folder, flawed_messages(spark, folder), model.STUMP)
+    stream = Streamed(spark, folder, flawed_messages(spark, folder))
     with ProgressLog(spark) as log:
         query = stream.start()
         query.awaitTermination()
