@@ -35,7 +35,6 @@ HEADLINE = [
     "rf_score",
     "pipeline_batch",
     "stream_features",
-    "stream_restart",
 ]
 
 
