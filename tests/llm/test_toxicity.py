@@ -137,3 +137,13 @@ def test_the_scoring_table_keeps_every_key(spark):
         assert (tx.look_up(more, keys, ratios)[:, 0] == (more >> np.uint64(8)) // np.uint64(77) + np.uint64(n)).all()
         seen += len(own)
     assert seen == n
+
+
+def test_shared_model_is_made_once(spark):
+    """Contexts need no shared model, and grams that no label teaches none of the joins by class."""
+    rows = [(97 + 256 * k, 1, 0, k % 2, 0, 1) for k in range(9)] + [(98 + 256 * k, 0, 0, 0, 0, 5) for k in range(9)]
+    grams = spark.createDataFrame(rows, "gram long, " + ", ".join(f"{c} long" for c in tx.COUNTS))
+    ratios = tx.log_ratios(grams)
+    plan = ratios._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 5
+    assert {r.key for r in ratios.collect()} == {g for g, *_ in rows[:9]} | {-(g >> 8) - 1 for g, *_ in rows[:9]}

@@ -88,8 +88,9 @@ def count_grams(texts: DataFrame, ranges: int) -> DataFrame:
     return merged(texts.select("text", "group").mapInArrow(count, PACKED), list(COUNTS)).withColumnRenamed("key", "gram")
 
 
-def shared_model(grams: DataFrame) -> DataFrame:
-    """gram, shared: the continuation probability of its last byte after the three before it, over all documents."""
+def shared_model(grams: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`wanted` (some of `grams`) with `shared`: the continuation probability of the last byte of a gram after the three
+    before it, over all documents."""
     four = grams.groupBy(F.col("gram").bitwiseAND(0xFFFFFFFF).alias("g4")).agg(F.count("*").alias("n"))
     three = four.groupBy(F.col("g4").bitwiseAND(0xFFFFFF).alias("g3")).agg(F.count("*").alias("n3"))
     after2 = three.groupBy(F.shiftright("g3", 8).alias("h2")).agg(F.sum("n3").alias("sum3"), F.count("*").alias("kinds3"))
@@ -100,7 +101,7 @@ def shared_model(grams: DataFrame) -> DataFrame:
     upper = four.withColumn("h3", F.shiftright("g4", 8)).withColumn("g3", F.col("g4").bitwiseAND(0xFFFFFF)).join(after3, "h3").join(lower, "g3")
     p4 = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds4") * F.col("p3")) / F.col("sum4")
     upper = upper.select("g4", p4.alias("shared"))
-    return grams.withColumn("g4", F.col("gram").bitwiseAND(0xFFFFFFFF)).join(upper, "g4").drop("g4")
+    return wanted.withColumn("g4", F.col("gram").bitwiseAND(0xFFFFFFFF)).join(upper, "g4").drop("g4")
 
 
 def log_ratios(grams: DataFrame) -> DataFrame:
@@ -111,8 +112,10 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     negative.
     """
     columns = {(kind, m): sum(F.col(f"{kind}{f}") for f in folds) for m, folds in MODELS.items() for kind in ("ord", "tox")}
-    seen = shared_model(grams).withColumn("context", F.shiftrightunsigned("gram", 8))
-    seen = seen.select("gram", "context", "shared", *(c.alias(f"{k}_{m}") for (k, m), c in columns.items()))
+    weight = F.col("ord_all") + F.col("tox_all")
+    context = F.shiftrightunsigned("gram", 8).alias("context")
+    # grams that no label teaches count in the shared model alone
+    seen = grams.select("gram", context, *(c.alias(f"{k}_{m}") for (k, m), c in columns.items())).filter(weight > 0)
     totals = [
         x
         for k, m in columns
@@ -127,13 +130,11 @@ def log_ratios(grams: DataFrame) -> DataFrame:
         own = F.greatest(F.col(f"{k}_{m}") - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"sum_{k}_{m}"), F.lit(1))
         return own + saved(k, m) * F.col("shared")
 
-    weight = F.col("ord_all") + F.col("tox_all")
-    own = seen.join(contexts, "context").filter(weight > 0)
+    own = shared_model(grams, seen).join(contexts, "context")
     own = own.select(
         F.col("gram").alias("key"), *(F.log(chance("tox", m) / chance("ord", m)).cast("float").alias(m) for m in MODELS)
     )
-    total = F.col("sum_ord_all") + F.col("sum_tox_all")
-    unseen = contexts.filter(total > 0).select(
+    unseen = contexts.select(
         (-F.col("context") - 1).alias("key"), *(F.log(saved("tox", m) / saved("ord", m)).cast("float").alias(m) for m in MODELS)
     )
     return own.union(unseen)
