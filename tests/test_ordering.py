@@ -51,3 +51,20 @@ def test_empty_result(spark, tmp_path):
     store_ordered(df, ["id"], path)
     assert read_ordered(spark, path, df.schema, Scale()).collect() == []
     assert read_positions(spark, path, df.schema, 1, 5).collect() == []
+
+
+def test_a_file_id_that_looks_like_a_part_number(spark, tmp_path, rows):
+    """Spark names files part-<task>-<uuid>-c<part>; a group of the uuid may begin with c and digits, too."""
+    path, named = tmp_path / "ordered", tmp_path / "named"
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        store_ordered(df, ["id", "x"], str(path), 5)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    named.mkdir()
+    for file in path.glob("part-*"):
+        task, part = file.name.split("-")[1], file.name.rsplit("-c", 1)[1]
+        (named / f"part-{task}-0a1b2c3d-c123-4567-89ab-c45678901234-c{part}").write_bytes(file.read_bytes())
+    got = read_ordered(spark, str(named), df.schema, Scale()).collect()
+    assert [(r.id, r.x) for r in sorted(got, key=lambda r: r.position)] == sorted(rows)

@@ -30,7 +30,7 @@ def _rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(
         "*",
         F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("_part"),
-        F.coalesce(F.regexp_extract(name, r"[.-]c(\d+)", 1).try_cast("long"), F.lit(0)).alias("_cut"),
+        F.coalesce(F.regexp_extract(name, r"[.-]c(\d+)\.", 1).try_cast("long"), F.lit(0)).alias("_cut"),
         F.col("_metadata.row_index").alias("_row"),
         F.col("_metadata.file_path").alias("_path"),
     )
