@@ -105,6 +105,44 @@ def test_segments_hold_every_point_once(records, points, staging, kind, scale):
     assert ends == (len(RECORDS), len(RECORDS))
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_records_are_gathered_without_a_sort_of_all_points(spark, staging, points):
+    """Sizes by hash; no window numbers the points of records that fit into one segment."""
+    assert "SortAggregate" not in plan(segments.labelled_sizes(points))
+    assert "Window" not in plan(segments.segments_of_points(points, ["t"], SPEC, WIDE, staging))
+
+
+def test_labelled_sizes_count_a_null_label_as_one(spark):
+    rows = [("a", "1", "s"), ("a", "1", "s"), ("a", "2", "s"), ("b", "2", "s"), ("a", "3", "s"), (None, "3", "s"), (None, "4", "s"), (None, "4", "s")]
+    got = segments.labelled_sizes(spark.createDataFrame(rows, "label string, id string, sid string"))
+    assert sorted((r.id, r.n, r.mixed) for r in got.collect()) == [("1", 2, False), ("2", 2, True), ("3", 2, True), ("4", 2, False)]
+
+
+@pytest.mark.parametrize("segment,hot_rows", [(32, 4_000_000), (64, 10), (4096, 4_000_000)])
+def test_small_and_large_records_together(spark, staging, segment, hot_rows):
+    """Short records, long ones, equal points, nulls among the order's columns and a null label in one table."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k, n in enumerate([1, 31, 32, 33, 64, 65, 200, 5]):
+        label = None if k == 3 else "1"
+        own = [(label, f"i{k}", "s", float(rng.randrange(9)), rng.choice([None, 1, 2, 3])) for _ in range(n)]
+        rows += own
+        want[f"i{k}"] = sorted((-1 if t is None else t, x) for _, _, _, x, t in own)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "label string, id string, sid string, x double, t int")
+    made = segments.segments_of_points(df, ["t", "x"], SPEC, Scale(segment=segment, hot_rows=hot_rows, broadcast_rows=0), staging)
+    got = {}
+    for r in sorted(made.collect(), key=lambda r: (r.id, r.start)):
+        data = got.setdefault(r.id, [])
+        assert r.start == len(data) and r.n == len(r.data) <= segment
+        assert list(r.before) == data[-SPEC.lookback :]
+        data += r.data
+    assert got == {k: [x for _, x in v] for k, v in want.items()}
+
+
 def test_segments_of_points_and_of_records_are_equal(records, points, staging):
     names = ["label", "id", "sid", "start", "n", "before", "data", "after", "head", "tail"]
     one = build("records", records, points, TIGHT, staging).select(names)
