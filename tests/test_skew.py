@@ -14,6 +14,7 @@ from wavesym.operators import segments, smoothing, symbols, words
 from wavesym.operators.features import descriptives, point_statistics, values
 from wavesym.operators.skew import join_per_key, key_sizes, positions
 from wavesym.plans.batch import transition_table
+from wavesym.sources import tables
 from wavesym.sources.staging import Staging
 
 SPEC = Spec()
@@ -121,6 +122,37 @@ def test_labelled_sizes_count_a_null_label_as_one(spark):
     assert sorted((r.id, r.n, r.mixed) for r in got.collect()) == [("1", 2, False), ("2", 2, True), ("3", 2, True), ("4", 2, False)]
 
 
+@pytest.mark.parametrize("segment", [32, 64, 4096])
+def test_records_of_small_ids_are_not_counted(spark, segment):
+    """Points are counted by id alone; a record of several labels (a null counts as one) is left out all the same."""
+    stored = []
+
+    class Watched(Staging):
+        def table(self, df, name):
+            stored.append(name)
+            return super().table(df, name)
+
+    labels = {"1": ["a", "a"], "2": ["a", "b"], "3": ["a", None], "4": [None, None], "5": ["b"] * 20, "6": ["b"] * 39 + ["a"]}
+    rows = [(la, i, f"s{k % 2}", float(k), k) for i, own in labels.items() for k, la in enumerate([x for x in own for _ in (0, 1)])]
+    df = spark.createDataFrame(rows, "label string, id string, sid string, x double, t int")
+    with Watched(spark) as staging:
+        made = segments.segments_of_points(df, ["t"], SPEC, Scale(segment=segment), staging)
+        got = sorted((r.label, r.id, r.sid, r.data) for r in made.filter("label is not null and n <= 20").collect())
+        nulls = sorted((r.id, r.sid) for r in made.filter("label is null").collect())
+    want = [("a", "1", s, [float(s[1]), 2.0 + int(s[1])]) for s in ("s0", "s1")]
+    want += [("b", "5", s, [float(k) for k in range(int(s[1]), 40, 2)]) for s in ("s0", "s1")]
+    assert got == want
+    assert nulls == [("4", "s0"), ("4", "s1")]
+    assert ("records" in stored) == (segment < 80)
+
+
+def test_prices_are_shuffled_once(spark, tmp_path):
+    columns = "0L l_orderkey, 0L l_partkey, 0L l_suppkey, 0 l_linenumber, 1.5D l_extendedprice, 'A' l_returnflag, timestamp'2020-01-01' l_shipdate"
+    spark.sql(f"select {columns}").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert tables.lineitem_points(spark, str(tmp_path)).columns.count("x") == 1
+    assert "l_extendedprice" not in tables.lineitem_points(spark, str(tmp_path)).columns
+
+
 @pytest.mark.parametrize("segment,hot_rows", [(32, 4_000_000), (64, 10), (4096, 4_000_000)])
 def test_small_and_large_records_together(spark, staging, segment, hot_rows):
     """Short records, long ones, equal points, nulls among the order's columns and a null label in one table."""
