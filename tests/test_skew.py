@@ -386,3 +386,21 @@ def test_hot_keys_are_a_stored_table(spark):
     small = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("y"))
     assert join_per_key(df, small, many, ["k"]).count() == 1000
     assert positions(df.withColumn("t", F.lit(1)), ["k"], ["t"], "pos", Scale(hot_rows=20, hot_keys=3), Staging(spark)).groupBy("k").agg(F.max("pos").alias("m")).filter("m <> 99").isEmpty()
+
+
+def test_words_are_bytes_until_they_are_grouped(spark, staging, records):
+    """No structure for a point, no letters made twice; words of one letter and empty records too."""
+    spec = Spec(word_lengths=(2, 3))
+    rows = [("1", "a", "s", 0, 4, "ABAB"), ("1", "b", "s", 0, 1, "A"), ("1", "c", "s", 0, 0, ""), ("1", "d", "s", None, None, None)]
+    lettered = spark.createDataFrame(rows, "label string, id string, sid string, start long, n int, symbols string")
+    sizes = key_sizes(lettered, ["id", "sid"], WIDE)
+    made = words.transitions(lettered, spec, sizes)
+    assert "inline" not in plan(made)
+    got = {(r.id, r.word_length, r.SEQ): (r.A, r.B, r.C, r.HEX) for r in made.collect()}
+    assert got == {
+        ("a", 2, "A"): (0.0, 1.0, 0.0, "41"), ("a", 2, "B"): (0.5, 0.0, 0.0, "42"), ("b", 2, "A"): (0.0, 0.0, 0.0, "41"),
+        ("a", 3, "AB"): (0.5, 0.0, 0.0, "4142"), ("a", 3, "BA"): (0.0, 1.0, 0.0, "4241"),
+    }
+    series = staging.table(build("records", records, None, WIDE, staging).withColumn("quantiles", F.array(*map(F.lit, [0.0, 1.0, 2.0, 3.0]))), "cut")
+    letters = plan(words.transitions(symbols.letter_segments(series, SPEC), SPEC, sizes))
+    assert letters.count("array_join(") == 1
